@@ -39,7 +39,7 @@ def merge_batch(wh: Warehouse, batch: int, run_ts: Column) -> list[str]:
             rows = clean_rows(changes, feed, suppressed, suppressed_orders)
             folders[feed.name] = wh.clean.rewrite(
                 feed.name, rows, [feed.key], snap, batch,
-                lambda stored, rows=rows, key=feed.key: merge_changes(stored, rows, key, batch),
+                lambda stored, source, key=feed.key: merge_changes(stored, source, key, batch),
             )
             consumed[feed.name] = last
         if consumed:

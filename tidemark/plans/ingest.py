@@ -17,7 +17,9 @@ def _store(wh: Warehouse, feed: Feed, run_ts: Callable[[], Column]) -> Callable[
     load = landing.load_json if feed.append_only else landing.load_csv
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        rows, rejects = load(landing.with_sequence(batch), feed, run_ts())
+        # Rows and rejects both come from the parsed files; a lost cached block is read again.
+        parsed = landing.with_sequence(batch).persist()
+        rows, rejects = load(parsed, feed, run_ts())
         suppressed = wh.suppressed.rows()
         if feed.name == "orders":
             # Remember whose orders these were before dropping them: their payments
@@ -26,6 +28,7 @@ def _store(wh: Warehouse, feed: Feed, run_ts: Callable[[], Column]) -> Callable[
         kept = purge_feeds({feed.name: rows}, suppressed, wh.suppressed_orders.rows())[feed.name]
         wh.raw[feed.name].append(kept, batch_id)
         wh.rejects[feed.name].append(rejects, batch_id)
+        parsed.unpersist()
 
     return store
 

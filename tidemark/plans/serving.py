@@ -70,9 +70,8 @@ def build_batch(
         result.updated.append(name)
 
     def upsert(name: str, rows: DataFrame, key: str) -> None:
-        source = _stamp(rows, batch)
         folders[name] = wh.served.rewrite(
-            name, source, [key], snap, batch, lambda stored: overwrite_by_key(stored, source, [key])
+            name, _stamp(rows, batch), [key], snap, batch, lambda stored, source: overwrite_by_key(stored, source, [key])
         )
         result.updated.append(name)
 

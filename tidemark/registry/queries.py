@@ -302,10 +302,7 @@ def session_kpis(star):
 
 @register
 def session_windows(star):
-    return bounded.session_windows(star.events().filter("user_id is not null")).select(
-        "user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "events", "purchases",
-    )
+    return bounded.session_windows(star.events().filter("user_id is not null"))
 
 
 # --- sales and reconciliation ---------------------------------------------------------------------

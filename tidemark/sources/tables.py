@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.scratch import cut_lineage
+
 BATCH = "_batch"
 PART = "_part"
 WHOLE = "all"
@@ -218,12 +220,16 @@ class SnapshotTables:
         keys: Sequence[str],
         snap: Snapshot,
         batch: int,
-        merge: Callable[[DataFrame], DataFrame],
+        merge: Callable[[DataFrame, DataFrame], DataFrame],
     ) -> dict[str, str]:
-        """Apply ``merge`` to the partitions ``source`` touches; returns the table's new listing."""
+        """``merge(stored, source)`` for the partitions ``source`` touches; returns the table's new listing.
+
+        The batch is needed several times, so it is computed once and kept in the shared folder.
+        """
+        source = cut_lineage(source)
         touched = self.touched_parts(name, source, keys, snap)
         kept = {p: f for p, f in snap.folders.get(name, {}).items() if p not in touched}
-        return {**kept, **self.write(name, merge(self.read_stored(name, snap, touched)), batch)}
+        return {**kept, **self.write(name, merge(self.read_stored(name, snap, touched), source), batch)}
 
     def publish(self, snap: Snapshot, folders: dict[str, dict[str, str]], consumed: dict[str, int]) -> Snapshot:
         """Make new listings current. This is a run's last step, and a single small file."""

@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 
 def with_instant(events: DataFrame, column: str = "event_ts") -> DataFrame:
     """Add ``event_time``, the instant of a zoneless timestamp in UTC."""
-    return events.withColumn("event_time", F.to_utc_timestamp(F.col(column).cast("timestamp"), F.current_timezone()))
+    return events.withColumn("event_time", F.from_utc_timestamp(F.col(column).cast("timestamp"), F.current_timezone()))
+
+
+def utc_clock(instant: str):
+    """The zoneless UTC time of an instant: the reverse of :func:`with_instant`."""
+    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
 
 
 def dedup_within(events: DataFrame, key: str = "event_id", delay: str = "7 days") -> DataFrame:
@@ -31,5 +36,5 @@ def session_windows(events: DataFrame, gap: str = "30 minutes", delay: str = "1
         F.count("*").alias("events"), F.count_if(F.col("event_name") == "purchase").alias("purchases")
     )
     return windows.select(
-        "user_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "events", "purchases"
+        "user_id", utc_clock("w.start").alias("window_start"), utc_clock("w.end").alias("window_end"), "events", "purchases"
     )
