@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import facts, history, sales, sessions
 from tidemark.operators.upsert import insert_new, overwrite_by_key
 from tidemark.plans.warehouse import Warehouse
-from tidemark.sources.tables import BATCH
+from tidemark.sources.tables import BATCH, Snapshot, batch_of
 
 
 @dataclass
@@ -32,9 +32,8 @@ def _stamp(df: DataFrame, batch: int) -> DataFrame:
     return df.withColumn(BATCH, F.lit(batch).cast("bigint"))
 
 
-def _newest_batch(snap, name: str) -> int | None:
-    runs = [int(f.split("/run=")[1].split("/")[0]) for f in snap.folders.get(name, {}).values()]
-    return max(runs, default=None)
+def _newest_batch(snap: Snapshot, name: str) -> int | None:
+    return max((batch_of(f) for f in snap.folders.get(name, {}).values()), default=None)
 
 
 def build_batch(
@@ -61,9 +60,8 @@ def build_batch(
         consumed[name] = newest
         return None if rows.isEmpty() else rows
 
-    def table(name: str) -> DataFrame:
-        view = type(snap)(snap.version, {**snap.folders, **folders})
-        return wh.served.read(name, view)
+    def table(name: str, since: str | None = None) -> DataFrame:
+        return wh.served.read(name, Snapshot(snap.version, {**snap.folders, **folders}), since)
 
     def replace(name: str, df: DataFrame) -> None:
         folders[name] = wh.served.write(name, _stamp(df, batch), batch)
@@ -97,11 +95,16 @@ def build_batch(
 
 
 def _refresh_sales(wh, table, replace, run_ts, as_of, days) -> None:
-    all_orders, all_returns = table("fact_orders"), table("fact_returns")
-    builders = (("daily_sales_cash", sales.daily_sales_cash), ("daily_sales_accrual", sales.daily_sales_accrual))
-    for name, build in builders:
-        fresh = build(all_orders, all_returns, as_of, run_ts, days)
-        replace(name, overwrite_by_key(table(name), fresh, ["order_date"]))
+    # Months before the refreshed days are not opened. A return may undo an order of any
+    # earlier date, so the accrual view looks through all returns.
+    since = None if days is None else (as_of - timedelta(days=days)).strftime("%Y-%m")
+    recent = table("fact_orders", since)
+    fresh = {
+        "daily_sales_cash": sales.daily_sales_cash(recent, table("fact_returns", since), as_of, run_ts, days),
+        "daily_sales_accrual": sales.daily_sales_accrual(recent, table("fact_returns"), as_of, run_ts, days),
+    }
+    for name, rows in fresh.items():
+        replace(name, overwrite_by_key(table(name), rows, ["order_date"]))
 
 
 def build_events(wh: Warehouse, events: DataFrame, batch: int, run_ts: Column) -> BuildResult:

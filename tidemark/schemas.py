@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STRING = T.StringType()
@@ -310,8 +312,9 @@ RUN_LOG = _schema(
 )
 
 
-def conform(df, schema: T.StructType):
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: its columns, order and types."""
-    from pyspark.sql import functions as F
-
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    given = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(
+        *[f.name if given[f.name] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )

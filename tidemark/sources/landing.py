@@ -11,10 +11,14 @@ from pyspark.sql import types as T
 
 from tidemark.functions.expressions import blank_to_null, parse_text
 from tidemark.schemas import Feed
+from tidemark.sources.scratch import cut_lineage
 
 _CELL = "_cell_"
 _PLACE = ["_file", "_row"]
 
+# Blocks whose positions are sent to every task: some 100 bytes each, 128 MB of input each.
+BROADCAST_BLOCKS = 500_000
+
 
 def _file_position() -> list[Column]:
     return [
@@ -121,13 +125,19 @@ def file_row_numbers(text: DataFrame) -> DataFrame:
 
     Rows of one file block are read consecutively by one task, so a row's place in
     its block is its distance from the block's first row. Only one row per block is
-    then ordered within its file to turn block sizes into starting positions.
+    then ordered within its file to turn block sizes into starting positions. Those
+    are counted before they are broadcast; beyond the limit the rows are shuffled to
+    them instead.
     """
-    blocks = text.groupBy("_file", "_block").agg(F.min("_seq").alias("_first"), F.count("*").alias("_rows"))
+    blocks = cut_lineage(
+        text.groupBy("_file", "_block").agg(F.min("_seq").alias("_first"), F.count("*").alias("_rows"))
+    )
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(
         "_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
+    if blocks.count() <= BROADCAST_BLOCKS:
+        starts = F.broadcast(starts)
     return (
         text.join(starts, ["_file", "_block"])
         .withColumn("_row", F.col("_start") + F.col("_seq") - F.col("_first") + 1)

@@ -6,7 +6,9 @@ fixed rules, so that every operator can run on data of any scale.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,12 +43,25 @@ FIRST_VERSION = "1995-01-01 00:00:00"
 VERSION_DAYS = 730
 
 
+def _once(derive: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
+    """Plan a derived table once per :class:`Star`, however often a query uses it."""
+
+    @wraps(derive)
+    def planned(star: Star) -> DataFrame:
+        if derive.__name__ not in star._derived:
+            star._derived[derive.__name__] = derive(star)
+        return star._derived[derive.__name__]
+
+    return planned
+
+
 class Star:
     """The parquet tables of one folder, and the feeds derived from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._tables: dict[str, DataFrame] = {}
+        self._derived: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         # Kept so that a table's footer is read for its schema once per query.
@@ -56,6 +71,7 @@ class Star:
 
     # --- clean feeds -------------------------------------------------------------------------
 
+    @_once
     def orders(self) -> DataFrame:
         total = F.col("o_totalprice").cast("decimal(10,2)")
         shipping = F.when(F.col("o_orderkey") % 2 == 0, 5).otherwise(0).cast("decimal(10,2)")
@@ -76,6 +92,7 @@ class Star:
         )
         return conform(rows, ORDERS.clean)
 
+    @_once
     def customer_versions(self) -> DataFrame:
         """Clean rows of every version of every customer: one to three, by key."""
         places = self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -102,11 +119,13 @@ class Star:
             "customer_id", F.col("customer_id").cast("string")
         )
 
+    @_once
     def customers(self) -> DataFrame:
         """Each customer's last version."""
         last = F.col("v") == F.col("customer_id").cast("bigint") % 3
         return self.customer_versions().filter(last).drop("v")
 
+    @_once
     def products(self) -> DataFrame:
         changed = timestamp("2000-01-01 00:00:00") + _days(F.col("p_size"))
         rows = self.table("part").select(
@@ -123,6 +142,7 @@ class Star:
         )
         return conform(rows, PRODUCTS.clean)
 
+    @_once
     def payments(self) -> DataFrame:
         """None to two payments per order, by the order key's remainder.
 
@@ -156,6 +176,7 @@ class Star:
         )
         return conform(rows, PAYMENTS.clean)
 
+    @_once
     def returns(self) -> DataFrame:
         """One return per order with returned lines, and one of the whole total per sixth order."""
         lines = (
@@ -192,6 +213,7 @@ class Star:
         )
         return conform(rows, RETURNS.clean)
 
+    @_once
     def events(self) -> DataFrame:
         """Clickstream events; one in four has a sourced session, a few are anonymous."""
         key = F.col("event_id")
@@ -223,6 +245,7 @@ class Star:
 
     # --- serving tables ----------------------------------------------------------------------
 
+    @_once
     def dim_customer(self) -> DataFrame:
         """Customer history with the key ten times the customer number plus the version."""
         number = F.col("customer_id").cast("bigint")
@@ -243,19 +266,23 @@ class Star:
         number = person.cast("bigint")
         return df.withColumn("customer_sk", number * 10 + number % 3).withColumn("load_ts", timestamp(RUN_TS))
 
+    @_once
     def fact_orders(self) -> DataFrame:
         rows = self._keyed(self.orders(), F.col("customer_id")).withColumns(
             {"order_date": F.to_date("order_ts"), "order_status": F.col("status")}
         )
         return conform(rows, FACT_ORDERS)
 
+    @_once
     def fact_payments(self) -> DataFrame:
         return conform(self._keyed(self.payments(), F.lit(None)), FACT_PAYMENTS)
 
+    @_once
     def fact_returns(self) -> DataFrame:
         rows = self._keyed(self.returns(), F.col("customer_id")).withColumn("return_date", F.to_date("return_ts"))
         return conform(rows, FACT_RETURNS)
 
+    @_once
     def fact_events(self) -> DataFrame:
         rows = self._keyed(self.events(), F.col("user_id")).withColumns(
             {
@@ -267,6 +294,7 @@ class Star:
 
     # --- change rows -------------------------------------------------------------------------
 
+    @_once
     def raw_orders(self) -> DataFrame:
         """Raw order rows: each order once, and for many of them newer, older and undated copies."""
         base = self.orders().select(*ORDERS.columns, F.col("load_ts").alias("ingestion_ts"))
@@ -288,6 +316,7 @@ class Star:
         )
         return conform(rows, ORDERS.raw)
 
+    @_once
     def check_log(self) -> DataFrame:
         """A log of check results: one per day and order priority, from the number of orders."""
         counted = self.table("orders").groupBy("o_orderdate", "o_orderpriority").agg(F.count("*").alias("n"))
@@ -309,6 +338,7 @@ class Star:
         )
         return conform(rows, CHECK_RESULTS)
 
+    @_once
     def run_log(self) -> DataFrame:
         """A run log with one run per event."""
         prefix = F.when(F.col("event_type") == "error", "job_").otherwise("task_")
@@ -324,6 +354,7 @@ class Star:
         )
         return conform(rows, RUN_LOG)
 
+    @_once
     def suppressed(self) -> DataFrame:
         """A suppression list of every eleventh customer."""
         return self.table("customer").filter("c_custkey % 11 = 3").select(F.col("c_custkey").cast("string").alias("customer_id"))

@@ -189,7 +189,7 @@ class SnapshotTables:
         listed = snap.folders.get(name, {})
         if after is None:
             return self.read_stored(name, snap).drop(BATCH)
-        recent = {p for p, folder in listed.items() if _batch_of(folder) > after}
+        recent = {p for p, folder in listed.items() if batch_of(folder) > after}
         return self.read_stored(name, snap, recent).filter(F.col(BATCH) > after).drop(BATCH)
 
     def _part(self, name: str) -> Column:
@@ -242,5 +242,6 @@ class SnapshotTables:
         return new
 
 
-def _batch_of(folder: str) -> int:
+def batch_of(folder: str) -> int:
+    """The batch that wrote a listed folder."""
     return int(folder.split("/run=")[1].split("/")[0])
