@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import recon, sessions
+from tidemark.operators.asof import as_of_customer
+from tidemark.operators.joins import left_join, without
 from tidemark.operators.latest import latest_by_key
+from tidemark.operators.sliced import running_sum_sliced
 from tidemark.operators.upsert import insert_new
 from tidemark.registry.queries import QUERIES
 from tidemark.sources.star import Star
@@ -82,14 +85,59 @@ def test_new_rows_are_found_without_shuffling_a_large_target(spark):
     assert re.search(r"BroadcastHashJoin \[k#\d+\], \[k#\d+\], LeftSemi, BuildRight", text)
 
 
-def test_hot_key_is_spread_by_the_operators(spark):
-    """A third of all rows on one key: the shuffles they go through stay balanced."""
-    rows = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("customer_sk"),
-        (F.floor(F.col("id") / 20)).alias("minute"),
+def _rows_per_task(df) -> list[int]:
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+@pytest.fixture
+def eight_tasks(spark, large_tables):
+    """Shuffles of eight partitions, left as they are."""
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def _clicks(spark, hot, n=40_000):
+    """Events over a month, a third of them of one customer (or of none, for ``hot`` None)."""
+    at = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id").cast("int"))
+    sk = F.when(F.col("id") % 3 == 0, F.lit(hot).cast("bigint")).otherwise(F.col("id") % 5000 + 10)
+    return spark.range(n).select(
+        F.col("id").cast("string").alias("event_id"), at.alias("event_ts"), F.to_date(at).alias("event_date"),
+        sk.alias("customer_sk"), sk.cast("string").alias("user_id"), F.lit(None).cast("string").alias("session_id"),
+        F.lit("page_view").alias("event_name"), F.lit("web").alias("device_type"),
+        F.lit(None).cast("string").alias("product_id"), at.alias("load_ts"),
+    )
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_sessions_of_a_hot_customer_are_spread(spark, eight_tasks, hot):
+    tasks = _rows_per_task(sessions.computed_sessions(_clicks(spark, hot)))
+    assert sum(tasks) == 40_000 and len(tasks) == 8
+    assert max(tasks) < 1.5 * 40_000 / 8
+
+
+def test_facts_without_a_person_are_spread(spark, eight_tasks):
+    dim = Star(spark, FOLDER).dim_customer()
+    clicks = _clicks(spark, None)
+    assert max(_rows_per_task(as_of_customer(clicks.drop("customer_sk"), dim, "user_id", "event_ts"))) < 1.5 * 40_000 / 8
+    nobody = spark.createDataFrame([("x",)], "user_id string")
+    assert max(_rows_per_task(without(clicks, "user_id", nobody, "user_id"))) < 1.5 * 40_000 / 8
+    assert max(_rows_per_task(left_join(clicks, nobody.withColumn("n", F.lit(1)), "user_id"))) < 1.5 * 40_000 / 8
+
+
+def test_copies_of_a_hot_key_are_reduced_before_the_shuffle(spark, eight_tasks):
+    rows = spark.range(0, 30_000, 1, 6).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
+    newest = latest_by_key(rows, ["k"], [F.desc("id")])
+    assert newest.filter("k = 1").first().id == 29_997
+    text = plan(newest)
+    assert re.search(r"Exchange hashpartitioning\(k#[\s\S]*WindowGroupLimit \[k#.*Partial", text)
+
+
+def test_a_long_history_is_walked_in_slices(spark, eight_tasks):
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("at"), F.floor(F.col("id") / 500).alias("slice"), F.lit(1).alias("v"),
     )
-    spread = rows.repartition(8, "customer_sk", "minute").groupBy(F.spark_partition_id().alias("p")).count()
-    counts = [r["count"] for r in spread.collect()]
-    assert max(counts) < 2 * 30_000 / 8
-    top = latest_by_key(rows, ["customer_sk"], [F.desc("minute")])
-    assert top.filter("customer_sk = 1").first().minute == 1499
+    assert max(_rows_per_task(running_sum_sliced(rows, ["k"], "slice", ["at"], F.col("v"), "n"))) < 1.5 * 40_000 / 8

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import spread_nulls
+
 
 
 def as_of_customer(facts: DataFrame, dim: DataFrame, person: str, at: str) -> DataFrame:
@@ -13,7 +15,8 @@ def as_of_customer(facts: DataFrame, dim: DataFrame, person: str, at: str) -> Da
     The person is the join key and the interval its residual condition, so the
     facts are shuffled once, or not at all when the dimension is small enough to be
     broadcast. The join is left outer with the facts on the left, so adaptive
-    execution can split a person with very many facts.
+    execution can split a person with very many facts. Facts without a person, who
+    may be a large share of the clickstream, are spread over the tasks.
     """
     versions = dim.select(
         F.col("customer_id").alias("_person"),
@@ -21,9 +24,10 @@ def as_of_customer(facts: DataFrame, dim: DataFrame, person: str, at: str) -> Da
         F.col("valid_to").alias("_to"),
         "customer_sk",
     )
-    in_force: Column = (
-        (F.col(person) == F.col("_person")) & (F.col(at) >= F.col("_from")) & (F.col(at) < F.col("_to"))
+    in_force = (
+        (F.col("_probe") == F.col("_person")) & (F.col(at) >= F.col("_from")) & (F.col(at) < F.col("_to"))
     )
-    return facts.join(versions, in_force, "left").drop("_person", "_from", "_to")
+    probe = facts.withColumn("_probe", spread_nulls(person, [at]))
+    return probe.join(versions, in_force, "left").drop("_probe", "_person", "_from", "_to")
 
 

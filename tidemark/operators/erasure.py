@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.history import REDACTED
+from tidemark.operators.joins import without
 from tidemark.operators.suppression import orders_of
 from tidemark.schemas import AUDIT_LOG, SUPPRESSION_LIST, conform
 
@@ -46,10 +47,9 @@ def erase(tables: dict[str, DataFrame], people: DataFrame) -> dict[str, DataFram
     kept = {}
     for name, df in tables.items():
         if name in OWNER:
-            owner = OWNER[name]
-            kept[name] = df.join(people.select(F.col("customer_id").alias(owner)), owner, "left_anti").select(*df.columns)
+            kept[name] = without(df, OWNER[name], people, "customer_id")
         elif name == "payments":
-            kept[name] = df.join(doomed, "order_id", "left_anti").select(*df.columns)
+            kept[name] = without(df, "order_id", doomed, "order_id")
         else:
             kept[name] = df
     return kept

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators.asof import as_of_customer
+from tidemark.operators.joins import left_join
 
 
 def fact_orders(orders: DataFrame, dim: DataFrame, run_ts: Column) -> DataFrame:
@@ -19,7 +20,7 @@ def fact_orders(orders: DataFrame, dim: DataFrame, run_ts: Column) -> DataFrame:
 def fact_payments(payments: DataFrame, orders: DataFrame, dim: DataFrame, run_ts: Column) -> DataFrame:
     """Payments name no customer; it is found through the clean order."""
     payer = orders.select("order_id", F.col("customer_id").alias("_payer"))
-    rows = as_of_customer(payments.join(payer, "order_id", "left"), dim, "_payer", "payment_ts")
+    rows = as_of_customer(left_join(payments, payer, "order_id"), dim, "_payer", "payment_ts")
     return schemas.conform(rows.withColumn("load_ts", run_ts), schemas.FACT_PAYMENTS)
 
 

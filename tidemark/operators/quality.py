@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import ratio_pct, rounded_mean
 from tidemark.functions.time import hours_between
+from tidemark.operators.joins import without
 from tidemark.operators.latest import latest_by_key
 from tidemark.operators.sliced import running_sum_sliced
 from tidemark.schemas import CHECK_RESULTS, FEEDS, conform
@@ -112,17 +113,17 @@ def _count_is_zero(name: str, offending: DataFrame, clock: Column, otherwise: st
 
 
 def check_orders_customer(orders: DataFrame, customers: DataFrame, clock: Column) -> DataFrame:
-    orphans = orders.select("customer_id").join(customers.select("customer_id"), "customer_id", "left_anti")
+    orphans = without(orders.select("order_id", "customer_id"), "customer_id", customers, "customer_id")
     return _count_is_zero("orders_customer_fk", orphans, clock)
 
 
 def check_payments_order(payments: DataFrame, orders: DataFrame, clock: Column) -> DataFrame:
-    orphans = payments.select("order_id").join(orders.select("order_id"), "order_id", "left_anti")
+    orphans = without(payments.select("payment_id", "order_id"), "order_id", orders, "order_id")
     return _count_is_zero("payments_order_fk", orphans, clock)
 
 
 def check_returns_order(returns: DataFrame, orders: DataFrame, clock: Column) -> DataFrame:
-    orphans = returns.select("order_id").join(orders.select("order_id"), "order_id", "left_anti")
+    orphans = without(returns.select("return_id", "order_id"), "order_id", orders, "order_id")
     return _count_is_zero("returns_order_fk", orphans, clock)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import without
+
 
 def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
     """``column NOT IN (listed)`` with SQL's rule for null.
@@ -13,9 +15,10 @@ def not_in(df: DataFrame, column: str, listed: DataFrame, listed_column: str) ->
     join plus that rule, because Spark runs ``NOT IN`` as a broadcast of the whole
     list however long it has grown. Nulls in the list are ignored.
     """
-    blocked = listed.select(F.col(listed_column).alias(column)).filter(F.col(column).isNotNull()).distinct()
-    kept = df.join(blocked, column, "left_anti").select(*df.columns)
-    return kept.filter(F.col(column).isNotNull() | ~blocked.exists())
+    blocked = listed.select(F.col(listed_column).alias(column)).filter(F.col(column).isNotNull())
+    # Nulls are decided before the join, where they would all meet in one task.
+    candidates = df.filter(F.col(column).isNotNull() | ~blocked.exists())
+    return without(candidates, column, blocked, column)
 
 
 def orders_of(orders: DataFrame, people: DataFrame) -> DataFrame:
@@ -25,8 +28,7 @@ def orders_of(orders: DataFrame, people: DataFrame) -> DataFrame:
 
 def purge(df: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
     """Rows whose column is not listed; rows with null stay."""
-    blocked = listed.select(F.col(listed_column).alias(column)).distinct()
-    return df.join(blocked, column, "left_anti").select(*df.columns)
+    return without(df, column, listed, listed_column)
 
 
 def purge_feeds(raw: dict[str, DataFrame], suppressed: DataFrame, suppressed_orders: DataFrame) -> dict[str, DataFrame]:

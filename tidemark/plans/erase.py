@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import erasure
+from tidemark.operators.joins import without
 from tidemark.plans.warehouse import Warehouse
 from tidemark.sources.scratch import cut_lineage, new_folder
 from tidemark.sources.tables import BATCH
@@ -85,7 +86,7 @@ def _without(wh: Warehouse, name: str, values: DataFrame, column: str, snap, bat
     touched = {r[0] for r in held.select(F.lit("all") if part is None else part).distinct().collect()}
     if not touched:
         return listed
-    kept = wh.clean.read_stored(name, snap, touched).join(values, column, "left_anti")
+    kept = without(wh.clean.read_stored(name, snap, touched), column, values, column)
     columns = [*wh.clean.schemas[name].fieldNames(), BATCH]
     survivors = wh.clean.write(name, kept.select(columns), batch)
     return {**{p: f for p, f in listed.items() if p not in touched}, **survivors}

@@ -14,6 +14,7 @@ from tidemark.functions.time import timestamp
 from tidemark.operators import erasure, facts, governance, history, quality, recon, sales, sessions, suppression
 from tidemark.operators.asof import as_of_customer
 from tidemark.operators.cleaning import clean_rows
+from tidemark.operators.joins import left_join
 from tidemark.operators.keys import assign_keys
 from tidemark.operators.latest import latest_by_key, snapshot_as_of
 from tidemark.operators.upsert import guarded_merge, guarded_upsert, insert_new, overwrite_by_key, updated_or_loaded
@@ -214,7 +215,7 @@ def asof_orders(star):
 @register
 def asof_payments(star):
     payer = star.orders().select("order_id", "customer_id")
-    paid = star.payments().select("payment_id", "order_id", "payment_ts").join(payer, "order_id", "left")
+    paid = left_join(star.payments().select("payment_id", "order_id", "payment_ts"), payer, "order_id")
     return as_of_customer(paid, star.dim_customer(), "customer_id", "payment_ts")
 
 

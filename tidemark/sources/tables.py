@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.joins import without
 from tidemark.sources.scratch import cut_lineage
 
 BATCH = "_batch"
@@ -102,7 +103,7 @@ class AppendLog:
             return batches
         affected = self.read().filter(F.col(BATCH).isin(batches))
         columns = [*self.schema.fieldNames(), BATCH]
-        affected.join(values, column, "left_anti").select(columns).write.mode("overwrite").parquet(spare)
+        without(affected, column, values, column).select(columns).write.mode("overwrite").parquet(spare)
         schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
         staged = self.spark.read.schema(schema).parquet(spare)
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(self.path)
