@@ -3,11 +3,12 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import timestamp
 from tidemark.operators import sessions
-from tidemark.schemas import FACT_EVENTS
+from tidemark.schemas import FACT_EVENTS, FACT_SESSIONS
 
 START = datetime(2026, 1, 1, 10, 0, 0)
 def run_ts():
@@ -82,21 +83,63 @@ def test_events_without_time_are_kept_in_a_last_group(spark):
     assert found["e00004"] == ("COMPUTED_5_1", 1)
 
 
-def test_refresh_equals_rebuild(spark):
-    rng = random.Random(11)
-    rows = [
-        event(i, START + timedelta(minutes=rng.randrange(0, 2000)), rng.choice([1, 2, 3, None]), rng.choice([None, "A", "B"]),
-              rng.choice(sessions.STEPS), rng.choice(["mobile", "desktop"]), rng.choice([None, "p1", "p2"]))
-        for i in range(400)
-    ]
-    late = frame(spark, [r for r in rows if int(r[0][1:]) % 9 == 0])
-    early = frame(spark, [r for r in rows if int(r[0][1:]) % 9 != 0])
-    every = frame(spark, rows)
-    refreshed = sessions.refresh_sessions(
-        sessions.fact_sessions(early, run_ts()), every, late.select("customer_sk", "session_id"), run_ts()
+def refresh(stored, every, batch):
+    touched = batch.select("customer_sk", "session_id", "event_ts")
+    resume, visits = sessions.resume_points(stored, every, touched), sessions.anonymous_visits(stored, touched)
+    return sessions.refresh_sessions(stored, every, resume, visits, run_ts())
+
+
+def sorted_rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def click(rng, i, span, sessions_of):
+    session = rng.choice([None, None, None, *sessions_of])
+    return event(
+        i, START + timedelta(seconds=rng.randrange(span * 60)), rng.choice([1, 2, 3, 4, None]), session,
+        rng.choice(sessions.STEPS), rng.choice(["mobile", "desktop", None]), rng.choice([None, "p1", "p2"]),
     )
-    rebuilt = sessions.fact_sessions(every, run_ts())
-    assert sorted(map(str, refreshed.collect())) == sorted(map(str, rebuilt.collect()))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_refresh_equals_rebuild(spark, seed):
+    """Batches of mostly late clicks, some in long or interleaved sourced sessions."""
+    rng = random.Random(seed)
+    batches, i = [], 0
+    for n in range(3):
+        size = rng.choice([5, 60, 200])
+        batches.append([click(rng, i + k, rng.choice([300, 3000, 9000]), [f"A{seed}", f"B{n}"]) for k in range(size)])
+        i += size
+    stored = spark.createDataFrame(sessions.fact_sessions(frame(spark, batches[0]), run_ts()).collect(), FACT_SESSIONS)
+    so_far = list(batches[0])
+    for batch in batches[1:]:
+        so_far += batch
+        every = frame(spark, so_far)
+        stored = spark.createDataFrame(refresh(stored, every, frame(spark, batch)).collect(), FACT_SESSIONS)
+        assert sorted_rows(stored) == sorted_rows(sessions.fact_sessions(every, run_ts()))
+
+
+def test_refresh_resumes_after_settled_sessions(spark):
+    old = [event(i, START + timedelta(hours=i), 1) for i in range(20)]
+    new = [event(90, START + timedelta(hours=19, minutes=10), 1), event(91, START + timedelta(hours=21), 1)]
+    stored = sessions.fact_sessions(frame(spark, old), run_ts())
+    every = frame(spark, old + new)
+    touched = frame(spark, new).select("customer_sk", "session_id", "event_ts")
+    point = sessions.resume_points(stored, every, touched).first()
+    assert point._base == 19, "the twentieth session is the first that can change"
+    recent = every.filter(every.event_ts >= START + timedelta(hours=19))
+    resumed = sessions.refresh_sessions(
+        stored, recent, sessions.resume_points(stored, every, touched), sessions.anonymous_visits(stored, touched), run_ts()
+    )
+    assert sorted_rows(resumed) == sorted_rows(sessions.fact_sessions(every, run_ts()))
+
+
+def test_refresh_with_untimed_events(spark):
+    old = [event(1, START, 1), event(2, None, 1), event(3, START, 2)]
+    new = [event(4, START + timedelta(hours=3), 1), event(5, None, 2)]
+    stored = sessions.fact_sessions(frame(spark, old), run_ts())
+    every = frame(spark, old + new)
+    assert sorted_rows(refresh(stored, every, frame(spark, new))) == sorted_rows(sessions.fact_sessions(every, run_ts()))
 
 
 def test_session_grain_is_unique(spark):

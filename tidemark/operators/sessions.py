@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,10 +16,13 @@ GAP_MINUTES = 30
 COMPUTED_PREFIX = "COMPUTED_"
 STEPS = ("page_view", "product_view", "add_to_cart", "checkout_start", "purchase")
 
-_UNTIMED = (1 << 62)  # minute number of events without a timestamp: they come last
+_UNTIMED = 1 << 62  # minute number of events without a timestamp: they come last
+_FROM_START = -(1 << 62)  # minute number before every event
 
 
-def computed_sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+def computed_sessions(
+    events: DataFrame, gap_minutes: int = GAP_MINUTES, resume: DataFrame | None = None
+) -> DataFrame:
     """Fact events with ``is_new_session`` and ``effective_session_id``.
 
     A sourced session id is kept. Otherwise an event opens a session if it is the
@@ -29,8 +34,11 @@ def computed_sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> Data
     customer and minute, which keeps the ordered window as long as the clock, not as
     the event count, and events are spread over tasks by customer and minute. Events
     without a timestamp form one last minute of their customer.
+
+    ``resume`` (see :func:`resume_points`) continues earlier numbering: events before a
+    customer's cut only serve to measure the gap to the first event after it.
     """
-    timed = events.withColumn("_minute", F.coalesce(minute_index("event_ts"), F.lit(_UNTIMED)))
+    timed = events.withColumn("_minute", _minute("event_ts"))
     minutes = timed.groupBy(F.col("customer_sk").alias("_sk"), F.col("_minute").alias("_at")).agg(
         F.min(F.struct("event_ts", "event_id", F.col("session_id").isNull().alias("free"))).alias("_first")
     )
@@ -38,17 +46,19 @@ def computed_sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> Data
     before = F.lag("_at").over(line)
     gap = (F.col("_at") != _UNTIMED) & (F.col("_at") - before > gap_minutes)
     opened = F.col("_first.free") & (before.isNull() | gap)
-    numbered = (
-        minutes.withColumn("_opened", opened.cast("bigint"))
-        .withColumn("_group", F.sum("_opened").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .select("_sk", "_at", "_opened", "_group", F.col("_first.event_id").alias("_first_id"))
+    base = F.lit(0)
+    if resume is not None:
+        minutes = minutes.join(resume.select(F.col("customer_sk").alias("_sk"), "_cut", "_base"), "_sk")
+        opened, base = opened & (F.col("_at") >= F.col("_cut")), F.col("_base")
+    numbered = minutes.withColumn("_opened", opened.cast("bigint")).withColumn(
+        "_group", base + F.sum("_opened").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
+    if resume is not None:
+        numbered = numbered.filter("_at >= _cut")
+    numbered = numbered.select("_sk", "_at", "_opened", "_group", F.col("_first.event_id").alias("_first_id"))
     match = F.col("customer_sk").eqNullSafe(F.col("_sk")) & (F.col("_minute") == F.col("_at"))
     opener = (F.col("_opened") == 1) & (F.col("event_id") == F.col("_first_id"))
-    computed = F.concat(
-        F.lit(COMPUTED_PREFIX), F.col("customer_sk").cast("string"), F.lit("_"), F.col("_group").cast("string")
-    )
-    return timed.join(numbered, match, "left").select(
+    return timed.join(numbered, match).select(
         "event_id",
         "event_ts",
         "event_date",
@@ -59,10 +69,18 @@ def computed_sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> Data
         "product_id",
         "load_ts",
         opener.cast("int").alias("is_new_session"),
-        F.coalesce("session_id", computed).alias("effective_session_id"),
+        F.coalesce("session_id", _computed_id(F.col("_group"))).alias("effective_session_id"),
     )
 
 
+def _minute(ts: str) -> Column:
+    return F.coalesce(minute_index(ts), F.lit(_UNTIMED))
+
+
+def _computed_id(number: Column) -> Column:
+    return F.concat(F.lit(COMPUTED_PREFIX), F.col("customer_sk").cast("string"), F.lit("_"), number.cast("string"))
+
+
 def identifiable(events: DataFrame) -> DataFrame:
     """Events that can belong to a session: anonymous ones need a sourced id."""
     return events.filter(F.col("customer_sk").isNotNull() | F.col("session_id").isNotNull())
@@ -74,7 +92,11 @@ def _times(name: str) -> Column:
 
 def fact_sessions(events: DataFrame, run_ts: Column) -> DataFrame:
     """One row per session, customer and device."""
-    located = computed_sessions(identifiable(events))
+    return summarise_sessions(computed_sessions(identifiable(events)), run_ts)
+
+
+def summarise_sessions(located: DataFrame, run_ts: Column) -> DataFrame:
+    """Session rows of events that carry their ``effective_session_id``."""
     rows = located.groupBy("effective_session_id", "customer_sk", "device_type").agg(
         F.min("event_ts").alias("session_start"),
         F.max("event_ts").alias("session_end"),
@@ -95,23 +117,95 @@ def fact_sessions(events: DataFrame, run_ts: Column) -> DataFrame:
     return conform(wide, FACT_SESSIONS)
 
 
-def refresh_sessions(sessions: DataFrame, events: DataFrame, touched: DataFrame, run_ts: Column) -> DataFrame:
-    """Session table after events of the ``touched`` customers and sourced sessions changed.
+def resume_points(sessions: DataFrame, events: DataFrame, touched: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
+    """From which minute each touched customer's sessions must be redone.
 
-    ``touched`` holds (customer_sk, session_id) of the changed events. All events of
-    those customers, and anonymous events of those sourced sessions, are sessionised
-    again and replace their previous sessions, so a late event that merges two
-    computed sessions leaves no stale one behind.
+    ``touched`` holds (customer_sk, session_id, event_ts) of new events. A session can
+    change if it reached to within the gap of the customer's first new event, or if the
+    source named it on a new event. The cut is the start of the earliest such session,
+    and ``_base`` the number of sessions opened before it, read off the session ids.
+    Customers with events without a timestamp, which always belong to the last session,
+    are redone from the start.
+    """
+    known = touched.filter("customer_sk is not null")
+    untimed = events.filter("event_ts is null and customer_sk is not null").select("customer_sk").distinct()
+    first = (
+        known.groupBy("customer_sk")
+        .agg(F.min(minute_index("event_ts")).alias("_since"))
+        .join(untimed.withColumn("_untimed", F.lit(True)), "customer_sk", "left")
+    )
+    named = known.filter("session_id is not null").select("customer_sk", "session_id").distinct()
+    number = F.substring_index("session_id", "_", -1).try_cast("bigint")
+    mine = (
+        sessions.join(first, "customer_sk")
+        .join(named.withColumn("_named", F.lit(True)), ["customer_sk", "session_id"], "left")
+        .select(
+            "customer_sk",
+            minute_index("session_start").alias("_start"),
+            (F.col("_named") | (minute_index("session_end") >= F.col("_since") - gap_minutes)).alias("_affected"),
+            F.when(F.col("session_id") == _computed_id(number), number).alias("_number"),
+        )
+    )
+    earliest = mine.groupBy("customer_sk").agg(F.min(F.when(F.col("_affected"), F.col("_start"))).alias("_earliest"))
+    cuts = first.join(earliest, "customer_sk", "left").select(
+        "customer_sk",
+        F.when(F.col("_untimed") | F.col("_since").isNull(), F.lit(_FROM_START))
+        .otherwise(F.least("_since", "_earliest"))
+        .alias("_cut"),
+    )
+    opened = mine.join(cuts, "customer_sk").filter("_start < _cut").groupBy("customer_sk").agg(F.max("_number").alias("_base"))
+    return cuts.join(opened, "customer_sk", "left").select("customer_sk", "_cut", F.coalesce("_base", F.lit(0)).alias("_base"))
+
+
+def anonymous_visits(sessions: DataFrame, touched: DataFrame) -> DataFrame:
+    """Sourced sessions of nobody that new events belong to, with the minute they began."""
+    visits = touched.filter("customer_sk is null and session_id is not null").groupBy("session_id").agg(
+        F.min(minute_index("event_ts")).alias("_since")
+    )
+    began = sessions.filter("customer_sk is null").groupBy("session_id").agg(
+        F.min(minute_index("session_start")).alias("_began")
+    )
+    return visits.join(began, "session_id", "left").select("session_id", F.least("_since", "_began").alias("_cut"))
+
+
+def refresh_sessions(
+    sessions: DataFrame,
+    events: DataFrame,
+    resume: DataFrame,
+    visits: DataFrame,
+    run_ts: Column,
+    gap_minutes: int = GAP_MINUTES,
+) -> DataFrame:
+    """Session table after new events, which ``events`` includes.
+
+    Customers are redone from their resume points and anonymous sourced sessions as a
+    whole; what they had from there on is replaced, so a late event that merges two
+    computed sessions leaves no stale one behind. ``events`` may leave out days before
+    the earliest cut less the gap.
     """
-    people = touched.select("customer_sk").filter("customer_sk is not null").distinct()
-    visits = touched.filter("customer_sk is null and session_id is not null").select("session_id").distinct()
-    known = events.join(people, "customer_sk", "left_semi")
-    anonymous = events.filter("customer_sk is null").join(visits, "session_id", "left_semi")
-    fresh = fact_sessions(known.unionByName(anonymous), run_ts)
-    kept_known = sessions.filter("customer_sk is not null").join(people, "customer_sk", "left_anti")
-    kept_anonymous = sessions.filter("customer_sk is null").join(visits, "session_id", "left_anti")
     columns = FACT_SESSIONS.fieldNames()
-    return kept_known.select(columns).unionByName(kept_anonymous.select(columns)).unionByName(fresh)
+    people = sessions.filter("customer_sk is not null").join(resume, "customer_sk", "left")
+    kept = people.filter(
+        F.col("_cut").isNull() | (F.coalesce(minute_index("session_start"), F.col("_cut")) < F.col("_cut"))
+    )
+    needed = _minute("event_ts") >= F.col("_cut") - (gap_minutes + 1)
+    recent = events.join(resume.select("customer_sk", "_cut"), "customer_sk").filter(needed).drop("_cut")
+    fresh = summarise_sessions(computed_sessions(recent, gap_minutes, resume), run_ts)
+    # A session that began before the cut and ended after it has not changed: its stored row stands.
+    whole = kept.filter("_cut is not null").select(
+        F.col("session_id").alias("_id"), F.col("customer_sk").alias("_sk"), F.col("device_type").alias("_device")
+    )
+    same = (
+        (F.col("session_id") == F.col("_id"))
+        & (F.col("customer_sk") == F.col("_sk"))
+        & F.col("device_type").eqNullSafe(F.col("_device"))
+    )
+    fresh = fresh.join(whole, same, "left_anti")
+    nobody = events.filter("customer_sk is null").join(visits.select("session_id"), "session_id", "left_semi")
+    fresh_nobody = summarise_sessions(computed_sessions(nobody, gap_minutes), run_ts)
+    kept_nobody = sessions.filter("customer_sk is null").join(visits.select("session_id"), "session_id", "left_anti")
+    parts = [kept.select(columns), fresh, kept_nobody.select(columns), fresh_nobody]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def session_steps(events: DataFrame, sourced_only: bool = False) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import facts, history, sales, sessions
 from tidemark.operators.upsert import insert_new, overwrite_by_key
 from tidemark.plans.warehouse import Warehouse
+from tidemark.sources.scratch import cut_lineage
 from tidemark.sources.tables import BATCH, Snapshot, batch_of
 
 
@@ -115,15 +116,17 @@ def build_events(wh: Warehouse, events: DataFrame, batch: int, run_ts: Column) -
     wh.fact_events.append(rows, batch)
     result.updated.append("fact_events")
     every = wh.fact_events.read()
-    touched = every.filter(F.col(BATCH) == batch).select("customer_sk", "session_id")
+    touched = every.filter(F.col(BATCH) == batch).select("customer_sk", "session_id", "event_ts")
     if touched.isEmpty():
         return result
     snap = wh.sessions.snapshot()
     # A person's sessions share one bucket, so only the buckets of this batch's people change.
     part = wh.sessions.layouts["fact_sessions"].part
     buckets = {r[0] for r in touched.select(part).distinct().collect()}
-    stored = wh.sessions.read_stored("fact_sessions", snap, buckets)
-    fresh = sessions.refresh_sessions(stored, every.drop(BATCH), touched, run_ts)
+    stored = wh.sessions.read_stored("fact_sessions", snap, buckets).drop(BATCH)
+    resume = cut_lineage(sessions.resume_points(stored, every, touched))
+    visits = cut_lineage(sessions.anonymous_visits(stored, touched))
+    fresh = sessions.refresh_sessions(stored, _since_cuts(every, resume, visits).drop(BATCH), resume, visits, run_ts)
     kept = {p: f for p, f in snap.folders.get("fact_sessions", {}).items() if p not in buckets}
     written = wh.sessions.write("fact_sessions", _stamp(fresh, batch), batch)
     wh.sessions.publish(snap, {"fact_sessions": {**kept, **written}}, {"fact_events": batch})
@@ -131,6 +134,15 @@ def build_events(wh: Warehouse, events: DataFrame, batch: int, run_ts: Column) -
     return result
 
 
+def _since_cuts(events: DataFrame, resume: DataFrame, visits: DataFrame) -> DataFrame:
+    """Events from the day before the earliest cut on, so that earlier days are not read."""
+    earliest = resume.select("_cut").unionAll(visits.select("_cut")).agg(F.min("_cut")).first()[0]
+    if earliest is None or earliest < 0:
+        return events
+    day = date(1970, 1, 1) + timedelta(minutes=earliest) - timedelta(days=1)
+    return events.filter((F.col("event_date") >= F.lit(day)) | F.col("event_date").isNull())
+
+
 def _unserved(wh: Warehouse, events: DataFrame, batch: int) -> DataFrame:
     """Events no earlier batch served. An event never changes, so only its own dates are searched."""
     first, last = events.agg(F.min(F.to_date("event_ts")), F.max(F.to_date("event_ts"))).first()
