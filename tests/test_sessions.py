@@ -84,7 +84,7 @@ def test_events_without_time_are_kept_in_a_last_group(spark):
 
 
 def refresh(stored, every, batch):
-    touched = batch.select("customer_sk", "session_id", "event_ts")
+    touched = batch.select("event_id", "event_ts", "customer_sk", "session_id")
     resume, visits = sessions.resume_points(stored, every, touched), sessions.anonymous_visits(stored, touched)
     return sessions.refresh_sessions(stored, every, resume, visits, run_ts())
 
@@ -96,19 +96,19 @@ def sorted_rows(df):
 def click(rng, i, span, sessions_of):
     session = rng.choice([None, None, None, *sessions_of])
     return event(
-        i, START + timedelta(seconds=rng.randrange(span * 60)), rng.choice([1, 2, 3, 4, None]), session,
+        i, START + timedelta(seconds=rng.randrange(span * 60)), rng.choice([*range(60), None]), session,
         rng.choice(sessions.STEPS), rng.choice(["mobile", "desktop", None]), rng.choice([None, "p1", "p2"]),
     )
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", [101, 102])
 def test_refresh_equals_rebuild(spark, seed):
     """Batches of mostly late clicks, some in long or interleaved sourced sessions."""
     rng = random.Random(seed)
     batches, i = [], 0
     for n in range(3):
-        size = rng.choice([5, 60, 200])
-        batches.append([click(rng, i + k, rng.choice([300, 3000, 9000]), [f"A{seed}", f"B{n}"]) for k in range(size)])
+        size = rng.choice([300, 1200, 2500])
+        batches.append([click(rng, i + k, rng.choice([600, 3000, 9000]), [f"A{seed}", f"B{n}"]) for k in range(size)])
         i += size
     stored = spark.createDataFrame(sessions.fact_sessions(frame(spark, batches[0]), run_ts()).collect(), FACT_SESSIONS)
     so_far = list(batches[0])
@@ -124,16 +124,36 @@ def test_refresh_resumes_after_settled_sessions(spark):
     new = [event(90, START + timedelta(hours=19, minutes=10), 1), event(91, START + timedelta(hours=21), 1)]
     stored = sessions.fact_sessions(frame(spark, old), run_ts())
     every = frame(spark, old + new)
-    touched = frame(spark, new).select("customer_sk", "session_id", "event_ts")
+    touched = frame(spark, new).select("event_id", "event_ts", "customer_sk", "session_id")
     point = sessions.resume_points(stored, every, touched).first()
-    assert point._base == 19, "the twentieth session is the first that can change"
-    recent = every.filter(every.event_ts >= START + timedelta(hours=19))
+    assert point._base == 18, "the twentieth session can change, and the one before it could be joined"
+    recent = every.filter(every.event_ts >= START + timedelta(hours=18))
     resumed = sessions.refresh_sessions(
         stored, recent, sessions.resume_points(stored, every, touched), sessions.anonymous_visits(stored, touched), run_ts()
     )
     assert sorted_rows(resumed) == sorted_rows(sessions.fact_sessions(every, run_ts()))
 
 
+def test_an_event_after_a_sourced_one_joins_the_last_computed_session(spark):
+    old = [event(1, START, 1), event(2, START + timedelta(hours=9), 1, "S")]
+    new = [event(3, START + timedelta(hours=9, minutes=5), 1)]
+    stored = sessions.fact_sessions(frame(spark, old), run_ts())
+    every = frame(spark, old + new)
+    refreshed = refresh(stored, every, frame(spark, new))
+    assert sorted_rows(refreshed) == sorted_rows(sessions.fact_sessions(every, run_ts()))
+    assert {r.session_id: r.session_duration_sec for r in refreshed.collect()} == {"COMPUTED_1_1": 9 * 3600 + 300, "S": 0}
+
+
+def test_a_returning_customer_resumes_at_the_new_event(spark):
+    old = [event(i, START + timedelta(days=i), 1) for i in range(5)]
+    new = [event(9, START + timedelta(days=60), 1)]
+    point = sessions.resume_points(
+        sessions.fact_sessions(frame(spark, old), run_ts()), frame(spark, old + new), frame(spark, new)
+    ).first()
+    epoch = (START - datetime(1970, 1, 1) + timedelta(days=60)).total_seconds() // 60
+    assert (point._cut, point._base) == (epoch, 5)
+
+
 def test_refresh_with_untimed_events(spark):
     old = [event(1, START, 1), event(2, None, 1), event(3, START, 2)]
     new = [event(4, START + timedelta(hours=3), 1), event(5, None, 2)]

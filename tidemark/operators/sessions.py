@@ -118,26 +118,29 @@ def summarise_sessions(located: DataFrame, run_ts: Column) -> DataFrame:
 
 
 def resume_points(sessions: DataFrame, events: DataFrame, touched: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
-    """From which minute each touched customer's sessions must be redone.
-
-    ``touched`` holds (customer_sk, session_id, event_ts) of new events. A session can
-    change if it reached to within the gap of the customer's first new event, or if the
-    source named it on a new event. The cut is the start of the earliest such session,
-    and ``_base`` the number of sessions opened before it, read off the session ids.
-    Customers with events without a timestamp, which always belong to the last session,
-    are redone from the start.
+    """From which minute each touched customer's sessions must be redone, and the number to go on from.
+
+    ``touched`` holds the new events. A stored session can change if it reached to within
+    the gap of the customer's first new event, or if the source named it on a new event.
+    The last computed session before these can change too, however long ago it was: an
+    event soon after a sourced one opens no session and so belongs to it. Only if the
+    first new event opens a session itself is it out of reach. The cut is the start of
+    the earliest session that can change, and ``_base`` the number of sessions opened
+    before, read off the session ids. Customers with events without a timestamp, which
+    always belong to the last session, are redone from the start.
     """
     known = touched.filter("customer_sk is not null")
     untimed = events.filter("event_ts is null and customer_sk is not null").select("customer_sk").distinct()
+    opening = F.min(F.struct("event_ts", "event_id", F.col("session_id").isNull().alias("free")))
     first = (
         known.groupBy("customer_sk")
-        .agg(F.min(minute_index("event_ts")).alias("_since"))
+        .agg(F.min(minute_index("event_ts")).alias("_since"), opening.alias("_first"))
         .join(untimed.withColumn("_untimed", F.lit(True)), "customer_sk", "left")
     )
     named = known.filter("session_id is not null").select("customer_sk", "session_id").distinct()
     number = F.substring_index("session_id", "_", -1).try_cast("bigint")
     mine = (
-        sessions.join(first, "customer_sk")
+        sessions.join(first.select("customer_sk", "_since"), "customer_sk")
         .join(named.withColumn("_named", F.lit(True)), ["customer_sk", "session_id"], "left")
         .select(
             "customer_sk",
@@ -147,14 +150,32 @@ def resume_points(sessions: DataFrame, events: DataFrame, touched: DataFrame, ga
         )
     )
     earliest = mine.groupBy("customer_sk").agg(F.min(F.when(F.col("_affected"), F.col("_start"))).alias("_earliest"))
-    cuts = first.join(earliest, "customer_sk", "left").select(
+    near = first.join(earliest, "customer_sk", "left").select(
         "customer_sk",
-        F.when(F.col("_untimed") | F.col("_since").isNull(), F.lit(_FROM_START))
-        .otherwise(F.least("_since", "_earliest"))
+        F.least("_since", "_earliest").alias("_near"),
+        (F.col("_earliest").isNotNull() | ~F.col("_first.free")).alias("_attaches"),
+        (F.col("_untimed") | F.col("_since").isNull()).alias("_whole"),
+    )
+    # Of the sessions opened before: the last number, and the first minute it was seen on any device.
+    last = (
+        mine.filter("_number is not null")
+        .join(near, "customer_sk")
+        .filter("_start < _near")
+        .groupBy("customer_sk")
+        .agg(F.max(F.struct("_number", (-F.col("_start")).alias("_ago"))).alias("_last"))
+    )
+    reached = F.col("_attaches") & F.col("_last").isNotNull()
+    return near.join(last, "customer_sk", "left").select(
+        "customer_sk",
+        F.when(F.col("_whole"), F.lit(_FROM_START))
+        .when(reached, -F.col("_last._ago"))
+        .otherwise(F.col("_near"))
         .alias("_cut"),
+        F.when(F.col("_whole") | F.col("_last").isNull(), F.lit(0))
+        .when(reached, F.greatest(F.col("_last._number") - 1, F.lit(0)))
+        .otherwise(F.col("_last._number"))
+        .alias("_base"),
     )
-    opened = mine.join(cuts, "customer_sk").filter("_start < _cut").groupBy("customer_sk").agg(F.max("_number").alias("_base"))
-    return cuts.join(opened, "customer_sk", "left").select("customer_sk", "_cut", F.coalesce("_base", F.lit(0)).alias("_base"))
 
 
 def anonymous_visits(sessions: DataFrame, touched: DataFrame) -> DataFrame:

@@ -116,7 +116,7 @@ def build_events(wh: Warehouse, events: DataFrame, batch: int, run_ts: Column) -
     wh.fact_events.append(rows, batch)
     result.updated.append("fact_events")
     every = wh.fact_events.read()
-    touched = every.filter(F.col(BATCH) == batch).select("customer_sk", "session_id", "event_ts")
+    touched = every.filter(F.col(BATCH) == batch).select("event_id", "event_ts", "customer_sk", "session_id")
     if touched.isEmpty():
         return result
     snap = wh.sessions.snapshot()

@@ -282,7 +282,7 @@ def fact_sessions_incremental(star):
     events = star.fact_events()
     earlier, later = events.filter(F.col("event_ts") < timestamp(SPLIT_AT)), events.filter(F.col("event_ts") >= timestamp(SPLIT_AT))
     stored = sessions.fact_sessions(earlier, _run_ts())
-    touched = later.select("customer_sk", "session_id", "event_ts")
+    touched = later.select("event_id", "event_ts", "customer_sk", "session_id")
     resume, visits = sessions.resume_points(stored, events, touched), sessions.anonymous_visits(stored, touched)
     return _joined_products(sessions.refresh_sessions(stored, events, resume, visits, _run_ts()))
 
