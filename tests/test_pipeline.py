@@ -10,7 +10,7 @@ import pytest
 from tidemark.functions.time import timestamp
 from tidemark.operators import recon, sales, sessions
 from tidemark.plans.clean import merge_batch
-from tidemark.plans.erase import UnknownPeopleError, erase_people
+from tidemark.plans.erase import UnknownPeopleError, erase_people, sweep_suppressed
 from tidemark.plans.jobs import clean_tables, run_batch, run_events, served_tables
 from tidemark.plans.serving import build_batch, rekey_facts
 from tidemark.plans.warehouse import Warehouse
@@ -194,6 +194,28 @@ def test_erasure_survives_a_reload(world, spark):
     assert sorted(p.customer_sk for p in people) == [1, 4]
 
 
+def test_a_payment_loaded_before_its_suppressed_order(world, spark):
+    wh, batch, _, _ = world
+    header, row = (FIXTURES / "first" / "payments.csv").read_text().splitlines()[:2]
+    (batch / "early_payments.csv").write_text(f"{header}\n{row.replace('Y1,B1', 'Y9,B9')}\n")
+    run_batch(wh, str(batch), 75, now=now)
+    assert not clean_tables(wh)["payments"].filter("order_id = 'B9'").isEmpty()
+    header, row = (FIXTURES / "first" / "orders.csv").read_text().splitlines()[:2]
+    (batch / "tardy_orders.csv").write_text(f"{header}\n{row.replace('B1,', 'B9,', 1)}\n")
+    run_batch(wh, str(batch), 76, now=now)
+    sweep_suppressed(wh, 77)
+    assert clean_tables(wh)["payments"].filter("order_id = 'B9'").isEmpty()
+    assert wh.raw["payments"].rows().filter("order_id = 'B9'").isEmpty()
+    assert clean_tables(wh)["payments"].count() == 2
+
+
+def test_no_events_yet(spark, tmp_path):
+    (tmp_path / "events").mkdir()
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    run_events(wh, str(tmp_path / "events"), 1, now=now)
+    assert wh.run_log.rows().count() == 1
+
+
 def test_failed_merge_publishes_nothing(world, spark, monkeypatch):
     wh, batch, _, _ = world
     land("late", batch, "third_")

@@ -55,28 +55,42 @@ def erase_people(
     wh.suppressed_orders.append(doomed, -batch)  # apart from the ingest job's own batches
     wh.audit.append(audit, batch)
 
+    _remove(wh, known, doomed, batch)
+
+    served = wh.served.snapshot()
+    stored = wh.served.read_stored("dim_customer", served)
+    redacted = erasure.anonymise(stored, known, run_ts)
+    wh.served.publish(served, {"dim_customer": wh.served.write("dim_customer", redacted, batch)}, {})
+    return request_id
+
+
+def sweep_suppressed(wh: Warehouse, batch: int) -> None:
+    """Remove what belongs to suppressed people though it was loaded before that could be known.
+
+    A payment may be loaded before the order that shows whose it is. Ingest remembers
+    such orders when they arrive; this job then takes the payment out.
+    """
+    _remove(wh, cut_lineage(wh.suppressed.rows()), cut_lineage(wh.suppressed_orders.rows().distinct()), batch)
+
+
+def _remove(wh: Warehouse, people: DataFrame, doomed: DataFrame, batch: int) -> None:
+    """Delete people's rows, and payments of the doomed orders, from the raw and clean tables."""
     for name, log in wh.raw.items():
         if name == "payments":
             log.remove(doomed, "order_id", new_folder(wh.spark, f"erase-raw-{name}"))
         elif name in erasure.OWNER:
             owner = erasure.OWNER[name]
-            ids = known.select(F.col("customer_id").alias(owner))
+            ids = people.select(F.col("customer_id").alias(owner))
             log.remove(ids, owner, new_folder(wh.spark, f"erase-raw-{name}"))
-    users = known.select(F.col("customer_id").alias("user_id"))
+    users = people.select(F.col("customer_id").alias("user_id"))
     wh.clean_events.remove(users, "user_id", new_folder(wh.spark, "erase-clean-events"))
 
     snap, folders = wh.clean.snapshot(), {}
     for name in ("customers", "orders", "payments", "returns"):
-        values, column = (doomed, "order_id") if name == "payments" else (known, erasure.OWNER[name])
+        values, column = (doomed, "order_id") if name == "payments" else (people, erasure.OWNER[name])
         folders[name] = _without(wh, name, values, column, snap, batch)
     wh.clean.publish(snap, folders, {})
 
-    served = wh.served.snapshot()
-    stored = wh.served.read_stored("dim_customer", served)
-    redacted = erasure.anonymise(stored, known, run_ts)
-    wh.served.publish(served, {"dim_customer": wh.served.write("dim_customer", redacted, batch)}, {})
-    return request_id
-
 
 def _without(wh: Warehouse, name: str, values: DataFrame, column: str, snap, batch: int) -> dict[str, str]:
     """New listing of a clean table with the partitions rewritten that hold listed values."""

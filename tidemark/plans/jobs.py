@@ -90,6 +90,7 @@ def run_batch(
 def run_events(wh: Warehouse, landing: str, batch: int, now: Callable[[], datetime] = utc_now) -> None:
     """Ingest, deduplicate and serve what clickstream files there are."""
     clock = timestamp(now())
-    logged(wh, "TASK_INGEST_EVENTS", batch, lambda: ingest_events(wh, landing, lambda: clock), now)
+    if logged(wh, "TASK_INGEST_EVENTS", batch, lambda: ingest_events(wh, landing, lambda: clock), now) is None:
+        return  # no event has ever landed
     logged(wh, "TASK_MERGE_SILVER_EVENTS", batch, lambda: clean_events_query(wh, lambda: clock).awaitTermination(), now)
     logged(wh, "TASK_BUILD_GOLD_EVENTS", batch, lambda: serve_events_query(wh, lambda: clock).awaitTermination(), now)
