@@ -53,6 +53,16 @@ def test_event_volume(spark):
     assert volume(spark, {})[:2] == ("FAIL", "0")
 
 
+def test_orphans_are_counted_row_by_row(spark):
+    orders = spark.createDataFrame(
+        [("1", "a"), ("2", "x"), ("3", "x"), ("4", None), ("5", None)], "order_id string, customer_id string"
+    )
+    customers = spark.createDataFrame([("a",)], "customer_id string")
+    row = quality.check_orders_customer(orders, customers, clock()).first()
+    assert (row.status, row.observed_value) == ("FAIL", "4")
+    assert quality.check_orders_customer(orders.filter("customer_id = 'a'"), customers, clock()).first().observed_value == "0"
+
+
 def test_layer_counts(spark):
     def status(clean, served):
         return quality.check_layer_counts(spark.range(clean), spark.range(served), clock()).first().status

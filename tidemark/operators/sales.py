@@ -22,6 +22,14 @@ def _refunds(returns: DataFrame, on: str) -> DataFrame:
     )
 
 
+def _refunds_by_order_date(returns: DataFrame, orders: DataFrame) -> DataFrame:
+    # Summed per order first: the join then needs no further shuffle of the returns, and an
+    # order with very many of them is one row.
+    per_order = returns.groupBy("order_id").agg(F.sum("refund_amount").alias("refunds"), F.count("*").alias("returned"))
+    dated = per_order.join(orders.select("order_id", "order_date"), "order_id")
+    return dated.groupBy("order_date").agg(F.sum("refunds").alias("refunds"), F.sum("returned").alias("returned"))
+
+
 def _daily(orders: DataFrame, refunds: DataFrame, run_ts: Column, how: str) -> DataFrame:
     sold = orders.groupBy("order_date").agg(
         F.count_distinct("order_id").alias("total_orders"),
@@ -71,6 +79,5 @@ def daily_sales_accrual(
 ) -> DataFrame:
     """Approved refunds count on the day of the order they undo."""
     recent = _since(orders, "order_date", as_of, days)
-    approved = returns.filter(F.col("status") == APPROVED).select("order_id", "refund_amount")
-    dated = approved.join(recent.select("order_id", "order_date"), "order_id")
-    return _daily(recent, _refunds(dated, "order_date"), run_ts, "left")
+    approved = returns.filter(F.col("status") == APPROVED)
+    return _daily(recent, _refunds_by_order_date(approved, recent), run_ts, "left")

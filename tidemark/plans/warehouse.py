@@ -42,7 +42,7 @@ class Warehouse:
                 "daily_sales_accrual": schemas.DAILY_SALES,
             },
             {
-                "dim_customer": Layout(sort=("customer_id", "is_current")),
+                "dim_customer": Layout(sort=("customer_id", "is_current", "valid_from")),
                 "dim_product": Layout(sort=("product_id",)),
                 "fact_orders": Layout(part=month_of("order_date"), sort=("order_date", "order_id")),
                 "fact_payments": Layout(part=month_of("payment_ts"), sort=("payment_ts", "payment_id")),
