@@ -1 +1,8 @@
 """Operators over a corpus of documents: scans, deduplication, filters, mixing, token counts and packing."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel whole, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

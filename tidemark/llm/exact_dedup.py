@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.components import rows_of
 from tidemark.llm.shared import ascii_lower, stored
 
 BLOCK = 8192
@@ -114,10 +115,5 @@ def exact_groups(
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, in their own columns. Repeated rows of one id and text leave one row."""
     groups = exact_groups(docs, id_col, text_col)
-    stay = groups.filter("kept").select(F.col("doc_id").alias("_stay_id"), F.col("text_sha256").alias("_stay_sha"))
-    digest = F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256)
-    keyed = docs.withColumn("_sha", digest)
-    found = keyed.join(
-        stay, keyed[id_col].eqNullSafe(stay["_stay_id"]) & (keyed["_sha"] == stay["_stay_sha"]), "left_semi"
-    )
-    return found.dropDuplicates([id_col, "_sha"]).select(*docs.columns)
+    stay = groups.filter("kept").select(F.col("doc_id").alias("stay_id"), F.col("text_sha256").alias("stay_key"))
+    return rows_of(docs, stay, id_col, F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256))

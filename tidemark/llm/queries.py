@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing
+from tidemark.llm import exact_dedup, mixing, simhash
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,7 +20,14 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_documents(spark, folder)).drop("position")
 
 
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.near_groups(_documents(spark, folder))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 QUERIES = {
+    "op2_simhash_near_dedup": near_duplicates,
     "op6_exact_dedup": exact_duplicates,
     "op8_source_mix": source_mix,
 }
