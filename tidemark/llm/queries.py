@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, simhash
+from tidemark.llm import exact_dedup, mixing, packing, simhash
+from tidemark.llm.shared import tokenizer_file
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,8 +27,13 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_documents(spark, folder), tokenizer_file("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op2_simhash_near_dedup": near_duplicates,
     "op6_exact_dedup": exact_duplicates,
     "op8_source_mix": source_mix,
+    "op10_packing": packed_sequences,
 }

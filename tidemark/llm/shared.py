@@ -45,3 +45,10 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 << 20) -
                 yield batch.slice(start, step)
         elif batch.num_rows:
             yield batch
+
+
+def tokenizer_file(name: str) -> str:
+    """Where the installed package of public tokenizers keeps a file; every executor has it in the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
