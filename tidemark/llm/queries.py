@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, simhash
+from tidemark.llm import exact_dedup, mixing, packing, secrets, simhash, token_counts, toxicity
 from tidemark.llm.shared import tokenizer_file
 
 
@@ -31,9 +31,28 @@ def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_documents(spark, folder), tokenizer_file("byte_bpe_50k.json"))
 
 
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(_documents(spark, folder))
+    listed = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", F.array_join(listed, ",").alias("spans"), "n_checked"
+    )
+
+
+def toxic_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def document_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(_documents(spark, folder), tokenizer_file("word_bpe_49k.json"))
+
+
 QUERIES = {
+    "op1_secret_scan": secret_scan,
     "op2_simhash_near_dedup": near_duplicates,
+    "op5_toxicity": toxic_scores,
     "op6_exact_dedup": exact_duplicates,
     "op8_source_mix": source_mix,
+    "op9_token_counts": document_tokens,
     "op10_packing": packed_sequences,
 }

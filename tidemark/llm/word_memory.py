@@ -10,7 +10,7 @@ import types
 import numpy as np
 
 #: Words that a worker remembers at most; then it starts anew, which costs time and changes nothing.
-MOST = 400_000
+MOST = 500_000
 
 
 def memory(purpose: str) -> dict:
