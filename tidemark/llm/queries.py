@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, secrets, simhash, token_counts, toxicity
+from tidemark.llm import exact_dedup, mixing, packing, quality_rules, secrets, simhash, token_counts, toxicity
 from tidemark.llm.shared import tokenizer_file
 
 
@@ -39,6 +39,11 @@ def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def quality_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return quality_rules.quality(_documents(spark, folder)).select(*names)
+
+
 def toxic_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
@@ -50,6 +55,7 @@ def document_tokens(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": secret_scan,
     "op2_simhash_near_dedup": near_duplicates,
+    "op4_quality_rules": quality_verdicts,
     "op5_toxicity": toxic_scores,
     "op6_exact_dedup": exact_duplicates,
     "op8_source_mix": source_mix,
