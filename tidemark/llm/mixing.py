@@ -16,8 +16,6 @@ WEIGHTS = (5, 2, 1)
 #: For each weight the knots (time, density) of its schedule, linear in between: heavy sources early, light ones late.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)))
 CAP = 3
-#: About so many documents of a source share one window.
-PER_BUCKET = 20_000
 
 
 def position_at(share: Column, schedule: tuple[tuple[float, float], ...]) -> Column:
@@ -70,14 +68,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     return run.select("source", "source_size", "n_docs", "class", target.alias("target"))
 
 
-def place(
-    sizes: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, cap: int = CAP, per_bucket: int = PER_BUCKET
-) -> DataFrame:
+def place(sizes: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, cap: int = CAP) -> DataFrame:
     """Copies and places of documents (``doc_id, source, size``): adds ``source_size, target, whole, passes, start, class``.
 
     A document is taken ``passes`` times: as often as its source's target holds the whole source, and once more if its
     middle lies within the rest, in the order of a hash of the id. ``start`` is its place in that order in words. Running
-    sums are of two steps: over buckets of the hash, whose number grows with the source, and within one bucket.
+    sums are of two steps, over buckets of the hash and within one bucket; a source of n documents has as many buckets as
+    its square root, so neither step meets more than about that many rows in a group.
     """
     keyed = stored(
         sizes.withColumn(
@@ -87,7 +84,7 @@ def place(
     )
     sources = stored(
         targets(keyed, weights, cap)
-        .withColumn("buckets", F.ceil(F.col("n_docs") / per_bucket).cast("long"))
+        .withColumn("buckets", F.ceil(F.sqrt("n_docs")).cast("long"))
         .withColumn("width", F.expr(f"{1 << 60} div buckets + 1")),
         "sources",
     )
