@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, quality_rules, secrets, simhash, token_counts, toxicity
+from tidemark.llm import (
+    exact_dedup,
+    licenses,
+    mixing,
+    packing,
+    quality_rules,
+    repeats,
+    secrets,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from tidemark.llm.shared import tokenizer_file
 
 
@@ -39,6 +50,16 @@ def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan_licenses(_documents(spark, folder))
+    joined = [F.array_join(c, ",").alias(c) for c in ("licenses", "sentence_ids")]
+    return found.select("doc_id", *joined, "n_sentences")
+
+
+def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.repeated_units(_documents(spark, folder))
+
+
 def quality_verdicts(spark: SparkSession, folder: str) -> DataFrame:
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return quality_rules.quality(_documents(spark, folder)).select(*names)
@@ -55,9 +76,11 @@ def document_tokens(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": secret_scan,
     "op2_simhash_near_dedup": near_duplicates,
+    "op3_license_scan": license_scan,
     "op4_quality_rules": quality_verdicts,
     "op5_toxicity": toxic_scores,
     "op6_exact_dedup": exact_duplicates,
+    "op7_repeated_passages": repeated_passages,
     "op8_source_mix": source_mix,
     "op9_token_counts": document_tokens,
     "op10_packing": packed_sequences,
