@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stored
+from tidemark.llm.shared import stored, whole_row
 
 
 def _round(edges: DataFrame) -> DataFrame:
@@ -46,7 +46,10 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def rows_of(docs: DataFrame, stay: DataFrame, id_col: str, key: Column) -> DataFrame:
-    """One row of ``docs`` for each row of ``stay`` (``stay_id, stay_key``), by id (null-safe) and ``key``, in its own columns."""
-    keyed = docs.withColumn("_key", key)
-    same = keyed[id_col].eqNullSafe(stay["stay_id"]) & keyed["_key"].eqNullSafe(stay["stay_key"])
-    return keyed.join(stay, same, "left_semi").dropDuplicates([id_col, "_key"]).select(*docs.columns)
+    """One row of ``docs`` for each row of ``stay`` (``stay_id, stay_key``), by id (null-safe) and ``key``.
+
+    The rows travel as one column, so their own columns may have any names.
+    """
+    keyed = docs.select(whole_row(docs), F.col(id_col).alias("id"), key.alias("key"))
+    same = keyed["id"].eqNullSafe(stay["stay_id"]) & keyed["key"].eqNullSafe(stay["stay_key"])
+    return keyed.join(stay, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")

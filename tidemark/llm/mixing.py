@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stored, word_count
+from tidemark.llm.shared import stored, whole_row, word_count
 
 WEIGHTS = (5, 2, 1)
 #: For each weight the knots (time, density) of its schedule, linear in between: heavy sources early, light ones late.
@@ -152,16 +152,16 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, cap:
 
     Rows of one id, source and size are numbered on both sides, so each repeated row brings its own passes.
     """
-    key = ["_id", "_source", "_size", "_nth"]
-    alike = Window.partitionBy("_id", "_source", "_size")
-    placed = place(document_sizes(docs), weights, schedules, cap).withColumnsRenamed({"doc_id": "_id", "source": "_source"})
-    placed = placed.withColumn("_size", F.col("size")).withColumn("_nth", F.row_number().over(alike.orderBy("start")))
+    key = ["id", "source", "size", "nth"]
+    alike = Window.partitionBy("id", "source", "size")
+    placed = place(document_sizes(docs), weights, schedules, cap).withColumnRenamed("doc_id", "id")
+    placed = placed.withColumn("nth", F.row_number().over(alike.orderBy("start")))
     copies = F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1), lambda n: position(n, schedules))
-    taken = placed.filter("passes > 0").select(*key, copies.alias("_at"))
+    taken = placed.filter("passes > 0").select(*key, copies.alias("places"))
     rows = docs.select(
-        *docs.columns, F.col("doc_id").alias("_id"), F.col("source").alias("_source"), word_count(F.col("text")).alias("_size")
+        whole_row(docs), F.col("doc_id").alias("id"), F.col("source"), word_count(F.col("text")).alias("size")
     )
-    rows = rows.withColumn("_nth", F.row_number().over(alike.orderBy("text")))
+    rows = rows.withColumn("nth", F.row_number().over(alike.orderBy(F.col("row")["text"])))
     same = [rows[c].eqNullSafe(taken[c]) for c in key]
-    mixed = rows.join(taken, same).select(*(rows[c] for c in docs.columns), F.explode(taken["_at"]).alias("_at"))
-    return mixed.orderBy("_at").select(*docs.columns)
+    mixed = rows.join(taken, same).select(rows["row"], F.explode(taken["places"]).alias("place"))
+    return mixed.orderBy("place").select("row.*")

@@ -30,6 +30,11 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a table as one named ``row``, out of the way of others' names."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
 def word_count(text: Column) -> Column:
     """Words of a text as long; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
