@@ -171,3 +171,59 @@ def test_lineage_is_cut_in_the_shared_folder(spark):
     df = cut_lineage(spark.range(10).repartition(3))
     assert df.count() == 10
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_a_keyed_append_is_never_replaced(spark, tmp_path):
+    ids = lambda n: spark.range(n).select(F.col("id").cast("string"))
+    log = AppendLog(spark, str(tmp_path / "log"), ids(0).schema)
+    log.append_once(ids(3), "request-1")
+    log.append_once(ids(0), "request-1")
+    log.append_once(ids(2), "request-2")
+    log.append(ids(1), 0)
+    assert log.rows().count() == 6
+
+
+def test_a_repeated_run_leaves_published_folders_alone(spark, tmp_path):
+    frame = lambda rows: spark.createDataFrame(rows, "k string, _batch long")
+    tables = SnapshotTables(spark, str(tmp_path), {"t": frame([]).select("k").schema}, {})
+    first = tables.snapshot()
+    published = tables.publish(first, {"t": tables.write("t", frame([("a", 1), ("b", 1)]), first.next)}, {})
+    tables.write("t", frame([("c", 1)]), first.next)  # a run under the same number that fails before it publishes
+    assert {r.k for r in tables.read("t").collect()} == {"a", "b"}
+    assert published.next > first.next
+
+
+def test_stored_columns_are_the_files_own(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1)], "id string, extra int")
+    log = AppendLog(spark, str(tmp_path / "log"), rows.select("id").schema)
+    AppendLog(spark, log.path, rows.schema).append(rows, 0)
+    assert log.rows().columns == ["id"] and log.stored().columns == ["id", "extra"]
+
+
+def test_old_files_and_equal_names_are_loaded(spark, tmp_path):
+    import os
+
+    from tidemark.plans.ingest import ingest_feed
+    from tidemark.plans.warehouse import Warehouse
+
+    feed, landing_folder = FEEDS["products"], tmp_path / "landing"
+    header = ",".join(feed.columns)
+    cells = ",".join(["P{n}", "s", "n", "c", "1.50", "USD", "2026-01-01T00:00:00", "2026-01-01T00:00:00"])
+
+    def land_file(day: str, first: int, age_days: int) -> None:
+        path = landing_folder / day / "products.csv"
+        path.parent.mkdir(parents=True)
+        path.write_text("\n".join([header, *(cells.format(n=first + k) for k in range(3))]) + "\n")
+        stamp = path.stat().st_mtime - age_days * 86_400
+        os.utime(path, (stamp, stamp))
+
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    clock = lambda: timestamp("2026-03-08 12:00:00")
+    land_file("dt=1", 0, 0)
+    ingest_feed(wh, str(landing_folder), feed, clock).awaitTermination()
+    land_file("dt=2", 10, 30)
+    ingest_feed(wh, str(landing_folder), feed, clock).awaitTermination()
+    assert wh.rejects["products"].rows().collect() == []
+    rows = wh.raw["products"].rows().select("product_id", "load_id").collect()
+    assert {r.product_id for r in rows} == {f"P{n}" for n in (0, 1, 2, 10, 11, 12)}
+    assert len({r.load_id for r in rows}) == 6

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -38,15 +39,15 @@ def merge_batch(wh: Warehouse, batch: int, run_ts: Column) -> list[str]:
             changes = log.read(after=done).filter(F.col(BATCH) <= last)
             rows = clean_rows(changes, feed, suppressed, suppressed_orders)
             folders[feed.name] = wh.clean.rewrite(
-                feed.name, rows, [feed.key], snap, batch,
-                lambda stored, source, key=feed.key: merge_changes(stored, source, key, batch),
+                feed.name, rows, [feed.key], snap, snap.next,
+                lambda stored, source, key=feed.key: merge_changes(stored, source, key, snap.next),
             )
             consumed[feed.name] = last
         if consumed:
             wh.clean.publish(snap, folders, consumed)
         return sorted(consumed)
     except Exception as error:
-        wh.check_results.append(failure_row(wh.spark, "merge_silver_batch", str(error), run_ts), -batch)
+        wh.check_results.append_once(failure_row(wh.spark, "merge_silver_batch", str(error), run_ts), str(uuid.uuid4()))
         raise
 
 
@@ -65,5 +66,5 @@ def merge_events(
             earlier = earlier.filter(F.col("load_ts") >= run_ts - F.lit(timedelta(days=horizon_days)))
         wh.clean_events.append(conform(insert_new(earlier, rows, [EVENTS.key]), EVENTS.clean), batch)
     except Exception as error:
-        wh.check_results.append(failure_row(wh.spark, "merge_silver_events", str(error), run_ts), -batch - 1)
+        wh.check_results.append_once(failure_row(wh.spark, "merge_silver_events", str(error), run_ts), str(uuid.uuid4()))
         raise

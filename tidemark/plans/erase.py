@@ -35,7 +35,8 @@ def erase_people(
 
     Suppression comes first, so nothing that arrives meanwhile brings a person back;
     the audit is written before rows go, so no deletion is without one. Every step may
-    run again: a repeated request finds less to delete.
+    run again: a request repeated under its id keeps what it first recorded, and one
+    under a new id records only what is new. ``batch`` is the caller's name for the run.
     """
     request_id = request_id or str(uuid.uuid4())
     raw, clean = _raw(wh), _clean(wh)
@@ -51,16 +52,16 @@ def erase_people(
     doomed = cut_lineage(
         erasure.orders_of(raw["orders"], known).unionByName(erasure.orders_of(clean["orders"], known)).distinct()
     )
-    wh.suppressed.append(erasure.suppression_rows(wh.suppressed.rows(), known, requested_by, run_ts), batch)
-    wh.suppressed_orders.append(doomed, -batch)  # apart from the ingest job's own batches
-    wh.audit.append(audit, batch)
+    wh.suppressed.append_once(erasure.suppression_rows(wh.suppressed.rows(), known, requested_by, run_ts), request_id)
+    wh.suppressed_orders.append_once(doomed, request_id)
+    wh.audit.append_once(audit, request_id)
 
-    _remove(wh, known, doomed, batch)
+    _remove(wh, known, doomed)
 
     served = wh.served.snapshot()
     stored = wh.served.read_stored("dim_customer", served)
     redacted = erasure.anonymise(stored, known, run_ts)
-    wh.served.publish(served, {"dim_customer": wh.served.write("dim_customer", redacted, batch)}, {})
+    wh.served.publish(served, {"dim_customer": wh.served.write("dim_customer", redacted, served.next)}, {})
     return request_id
 
 
@@ -70,29 +71,36 @@ def sweep_suppressed(wh: Warehouse, batch: int) -> None:
     A payment may be loaded before the order that shows whose it is. Ingest remembers
     such orders when they arrive; this job then takes the payment out.
     """
-    _remove(wh, cut_lineage(wh.suppressed.rows()), cut_lineage(wh.suppressed_orders.rows().distinct()), batch)
-
-
-def _remove(wh: Warehouse, people: DataFrame, doomed: DataFrame, batch: int) -> None:
-    """Delete people's rows, and payments of the doomed orders, from the raw and clean tables."""
-    for name, log in wh.raw.items():
-        if name == "payments":
-            log.remove(doomed, "order_id", new_folder(wh.spark, f"erase-raw-{name}"))
-        elif name in erasure.OWNER:
-            owner = erasure.OWNER[name]
-            ids = people.select(F.col("customer_id").alias(owner))
-            log.remove(ids, owner, new_folder(wh.spark, f"erase-raw-{name}"))
+    _remove(wh, cut_lineage(wh.suppressed.rows()), cut_lineage(wh.suppressed_orders.rows().distinct()))
+
+
+def _remove(wh: Warehouse, people: DataFrame, doomed: DataFrame) -> None:
+    """Delete people's rows, and payments of the doomed orders, from the raw tables, the rejects and the clean tables."""
+    for name in wh.raw:
+        column, values = _whose(name, people, doomed)
+        if column:
+            wh.raw[name].remove(values, column, new_folder(wh.spark, f"erase-raw-{name}"))
+            of = F.try_variant_get("v", f"$.{column}", "string") if name == "events" else None
+            wh.rejects[name].remove(values, column, new_folder(wh.spark, f"erase-rejects-{name}"), of)
     users = people.select(F.col("customer_id").alias("user_id"))
     wh.clean_events.remove(users, "user_id", new_folder(wh.spark, "erase-clean-events"))
 
     snap, folders = wh.clean.snapshot(), {}
     for name in ("customers", "orders", "payments", "returns"):
         values, column = (doomed, "order_id") if name == "payments" else (people, erasure.OWNER[name])
-        folders[name] = _without(wh, name, values, column, snap, batch)
+        folders[name] = _without(wh, name, values, column, snap)
     wh.clean.publish(snap, folders, {})
 
 
-def _without(wh: Warehouse, name: str, values: DataFrame, column: str, snap, batch: int) -> dict[str, str]:
+def _whose(name: str, people: DataFrame, doomed: DataFrame) -> tuple[str | None, DataFrame]:
+    """The column of a feed that says whose a row is, and the values to look for in it."""
+    if name == "payments":
+        return "order_id", doomed
+    owner = erasure.OWNER.get(name)
+    return owner, people.select(F.col("customer_id").alias(owner)) if owner else people
+
+
+def _without(wh: Warehouse, name: str, values: DataFrame, column: str, snap) -> dict[str, str]:
     """New listing of a clean table with the partitions rewritten that hold listed values."""
     listed = snap.folders.get(name, {})
     part = wh.clean.layouts[name].part
@@ -102,5 +110,5 @@ def _without(wh: Warehouse, name: str, values: DataFrame, column: str, snap, bat
         return listed
     kept = without(wh.clean.read_stored(name, snap, touched), column, values, column)
     columns = [*wh.clean.schemas[name].fieldNames(), BATCH]
-    survivors = wh.clean.write(name, kept.select(columns), batch)
+    survivors = wh.clean.write(name, kept.select(columns), snap.next)
     return {**{p: f for p, f in listed.items() if p not in touched}, **survivors}

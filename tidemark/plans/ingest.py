@@ -5,20 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.suppression import orders_of, purge_feeds
+from tidemark.operators.suppression import orders_of, purge, purge_feeds
 from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import BATCH_FEEDS, EVENTS, FEEDS, Feed
 from tidemark.sources import landing
+from tidemark.sources.scratch import cut_lineage
 
 
 def _store(wh: Warehouse, feed: Feed, run_ts: Callable[[], Column]) -> Callable[[DataFrame, int], None]:
     load = landing.load_json if feed.append_only else landing.load_csv
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        # Rows and rejects both come from the parsed files; a lost cached block is read again.
-        parsed = landing.with_sequence(batch).persist()
+        # Rows and rejects both come from the parsed files, which are parsed once and numbered for good.
+        parsed = cut_lineage(landing.with_sequence(batch))
         rows, rejects = load(parsed, feed, run_ts())
         suppressed = wh.suppressed.rows()
         if feed.name == "orders":
@@ -27,12 +29,19 @@ def _store(wh: Warehouse, feed: Feed, run_ts: Callable[[], Column]) -> Callable[
             wh.suppressed_orders.append(orders_of(rows, suppressed), batch_id)
         kept = purge_feeds({feed.name: rows}, suppressed, wh.suppressed_orders.rows())[feed.name]
         wh.raw[feed.name].append(kept, batch_id)
-        wh.rejects[feed.name].append(rejects, batch_id)
-        parsed.unpersist()
+        wh.rejects[feed.name].append(_without_suppressed(wh, feed, rejects, suppressed), batch_id)
 
     return store
 
 
+def _without_suppressed(wh: Warehouse, feed: Feed, rejects: DataFrame, suppressed: DataFrame) -> DataFrame:
+    """Rejected rows, without those that name a suppressed person or one of their orders."""
+    if feed.append_only:
+        named = rejects.withColumn("user_id", F.try_variant_get("v", "$.user_id", "string"))
+        return purge(named, "user_id", suppressed, "customer_id").drop("user_id")
+    return purge_feeds({feed.name: rejects}, suppressed, wh.suppressed_orders.rows())[feed.name]
+
+
 def ingest_feed(
     wh: Warehouse, folder: str, feed: Feed, run_ts: Callable[[], Column], interval: str | None = None
 ) -> StreamingQuery:

@@ -55,9 +55,17 @@ def served_tables(wh: Warehouse) -> dict[str, DataFrame]:
 
 
 def pending_feeds(wh: Warehouse) -> dict[str, DataFrame]:
-    """Per layer and feed, the load time of the oldest row not yet consumed."""
+    """Per layer and feed, the load time of the oldest row not yet consumed.
+
+    The batch feeds record what they consumed; events count as consumed up to the newest load time of the next layer.
+    """
     clean, served = wh.clean.snapshot(), wh.served.snapshot()
-    raw_parts, clean_parts = [], []
+    events_done, facts_done = (log.rows().agg(F.max("load_ts")).first()[0] for log in (wh.clean_events, wh.fact_events))
+    later = lambda df, column, done: df if done is None else df.filter(F.col(column) > F.lit(done))
+    waiting = later(wh.raw["events"].rows(), "ingestion_ts", events_done)
+    unserved = later(wh.clean_events.rows(), "load_ts", facts_done)
+    raw_parts = [waiting.agg(F.min("ingestion_ts").alias("oldest")).withColumn("feed", F.lit("events_raw_stream"))]
+    clean_parts = [unserved.agg(F.min("load_ts").alias("oldest")).withColumn("feed", F.lit("events_stream"))]
     for feed in BATCH_FEEDS:
         waiting = wh.raw[feed.name].read(after=clean.consumed.get(feed.name))
         raw_parts.append(waiting.agg(F.min("ingestion_ts").alias("oldest")).withColumn("feed", F.lit(f"{feed.name}_raw_stream")))
@@ -69,8 +77,11 @@ def pending_feeds(wh: Warehouse) -> dict[str, DataFrame]:
 
 def run_checks(wh: Warehouse, batch: int, clock: Column) -> DataFrame:
     """Run every check and append the results in one write."""
-    raw = {name: log.rows() for name, log in wh.raw.items()}
-    results = quality.run_all(clean_tables(wh), served_tables(wh), clock, raw=raw, pending=pending_feeds(wh))
+    raw, snap = {name: log.stored() for name, log in wh.raw.items()}, wh.clean.snapshot()
+    stored = {**{f.name: wh.clean.stored(f.name, snap) for f in BATCH_FEEDS}, "events": wh.clean_events.stored()}
+    results = quality.run_all(
+        clean_tables(wh), served_tables(wh), clock, raw=raw, pending=pending_feeds(wh), stored=stored
+    )
     wh.check_results.append(results, batch)
     return wh.check_results.read().filter(F.col(BATCH) == batch).drop(BATCH)
 

@@ -64,13 +64,15 @@ def build_batch(
     def table(name: str, since: str | None = None) -> DataFrame:
         return wh.served.read(name, Snapshot(snap.version, {**snap.folders, **folders}), since)
 
+    number = snap.next
+
     def replace(name: str, df: DataFrame) -> None:
-        folders[name] = wh.served.write(name, _stamp(df, batch), batch)
+        folders[name] = wh.served.write(name, _stamp(df, number), number)
         result.updated.append(name)
 
     def upsert(name: str, rows: DataFrame, key: str) -> None:
         folders[name] = wh.served.rewrite(
-            name, _stamp(rows, batch), [key], snap, batch, lambda stored, source: overwrite_by_key(stored, source, [key])
+            name, _stamp(rows, number), [key], snap, number, lambda stored, source: overwrite_by_key(stored, source, [key])
         )
         result.updated.append(name)
 
@@ -128,7 +130,7 @@ def build_events(wh: Warehouse, events: DataFrame, batch: int, run_ts: Column) -
     visits = cut_lineage(sessions.anonymous_visits(stored, touched))
     fresh = sessions.refresh_sessions(stored, _since_cuts(every, resume, visits).drop(BATCH), resume, visits, run_ts)
     kept = {p: f for p, f in snap.folders.get("fact_sessions", {}).items() if p not in buckets}
-    written = wh.sessions.write("fact_sessions", _stamp(fresh, batch), batch)
+    written = wh.sessions.write("fact_sessions", _stamp(fresh, snap.next), snap.next)
     wh.sessions.publish(snap, {"fact_sessions": {**kept, **written}}, {"fact_events": batch})
     result.updated.append("fact_sessions")
     return result
@@ -166,5 +168,5 @@ def rekey_facts(wh: Warehouse, batch: int, run_ts: Column) -> None:
     }
     folders = {}
     for name, (key, rows) in fresh.items():
-        folders[name] = wh.served.write(name, facts.rekey(wh.served.read_stored(name, snap), key, rows), batch)
+        folders[name] = wh.served.write(name, facts.rekey(wh.served.read_stored(name, snap), key, rows), snap.next)
     wh.served.publish(snap, folders, {})

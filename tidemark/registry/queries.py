@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +19,11 @@ from tidemark.operators.joins import left_join
 from tidemark.operators.keys import assign_keys
 from tidemark.operators.latest import latest_by_key, snapshot_as_of
 from tidemark.operators.upsert import guarded_merge, guarded_upsert, insert_new, overwrite_by_key, updated_or_loaded
-from tidemark.schemas import EVENTS, FACT_EVENTS, FACT_ORDERS, ORDERS, conform
+from tidemark.schemas import EVENTS, FACT_EVENTS, FACT_ORDERS, FEEDS, ORDERS, conform
 from tidemark.sources import landing
 from tidemark.sources.scratch import new_folder
 from tidemark.sources.star import EVENTS_AS_OF, ORDERS_AS_OF, RUN_TS, Star
-from tidemark.sources.tables import Layout, write_parquet
+from tidemark.sources.tables import AppendLog, Layout, write_parquet
 from tidemark.streaming import bounded
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -442,7 +443,43 @@ def dq_run_all(star):
         "fact_events": star.fact_events(),
         "dim_customer": star.dim_customer(),
     }
-    return quality.run_all(clean, served, _clock(), raw={"orders": star.raw_orders()})
+    raw = {name: _as_raw(df, name) for name, df in clean.items()} | {"orders": star.raw_orders()}
+    oldest = [df.agg(F.min("load_ts").alias("oldest")).withColumn("feed", F.lit(name)) for name, df in clean.items()]
+    waiting = reduce(DataFrame.unionByName, oldest)
+    pending = {
+        layer: waiting.withColumn("feed", F.concat("feed", F.lit(ending)))
+        for layer, ending in (("bronze", "_raw_stream"), ("silver", "_stream"))
+    }
+    return quality.run_all(clean, served, _clock(), raw=raw, pending=pending)
+
+
+def _as_raw(clean: DataFrame, name: str) -> DataFrame:
+    """Clean rows with the lineage columns of a raw table."""
+    lineage = [F.col("load_ts").alias("ingestion_ts"), F.col("record_source").alias("source_file"), F.lit("1").alias("load_id")]
+    return clean.select(*FEEDS[name].columns, *lineage)
+
+
+def _drifted(star: Star, layer: str) -> DataFrame:
+    """Checks of stored tables, one of which has lost a column and one gained one since they were declared."""
+    tables = {"orders": star.orders(), "payments": star.payments(), "returns": star.returns()}
+    found = {}
+    for name, df in tables.items():
+        df = _as_raw(df, name) if layer == "bronze" else df
+        df = df.drop("provider") if name == "payments" else df.withColumn("extra", F.lit(1)) if name == "returns" else df
+        log = AppendLog(star.spark, new_folder(star.spark, "drift"), df.schema)
+        log.append(df, 0)
+        found[name] = AppendLog(star.spark, log.path, FEEDS[name].raw if layer == "bronze" else FEEDS[name].clean).stored()
+    return quality.check_schemas(found, layer, _clock())
+
+
+@register
+def dq_schema_drift_bronze(star):
+    return _drifted(star, "bronze")
+
+
+@register
+def dq_schema_drift_silver(star):
+    return _drifted(star, "silver")
 
 
 @register

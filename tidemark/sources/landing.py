@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,13 +18,20 @@ from tidemark.sources.scratch import cut_lineage
 _CELL = "_cell_"
 _PLACE = ["_file", "_row"]
 
-# Blocks whose positions are sent to every task: some 100 bytes each, 128 MB of input each.
-BROADCAST_BLOCKS = 500_000
+#: A file is loaded however old it is: without this, streams pass over files a week older than the newest seen.
+ANY_AGE = "36500d"
 
 
-def _file_position() -> list[Column]:
+def _file_in(folder: str) -> Column:
+    """A file's path below the landing folder, which tells files of one name in different folders apart."""
+    root = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", folder).rstrip("/")
+    below = F.regexp_replace("_metadata.file_path", f"^.*?{re.escape(quote(root))}/+", "")
+    return below.alias("_file")
+
+
+def _file_position(folder: str) -> list[Column]:
     return [
-        F.col("_metadata.file_name").alias("_file"),
+        _file_in(folder),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_seq"),
     ]
@@ -49,27 +58,27 @@ def _csv_options(reader):
 def read_csv_text(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     """Cells of the feed's CSV files as text, with each row's place in its file."""
     reader = _csv_options(spark.read.schema(_text_schema(feed)))
-    return reader.option("pathGlobFilter", feed.file_glob).csv(path).select(*feed.columns, *_file_position())
+    return reader.option("pathGlobFilter", feed.file_glob).csv(path).select(*feed.columns, *_file_position(path))
 
 
 def stream_csv_text(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     """Streaming form of :func:`read_csv_text`: each file is delivered once."""
-    reader = _csv_options(spark.readStream.schema(_text_schema(feed)))
+    reader = _csv_options(spark.readStream.schema(_text_schema(feed))).option("maxFileAge", ANY_AGE)
     stream = reader.option("pathGlobFilter", feed.file_glob).csv(path)
-    return stream.select(*feed.columns, F.col("_metadata.file_name").alias("_file"),
-                         F.col("_metadata.file_block_start").alias("_block"))
+    return stream.select(*feed.columns, _file_in(path), F.col("_metadata.file_block_start").alias("_block"))
 
 
 def read_json_variant(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     """One variant per line of the feed's JSON files, with the line's place in its file."""
     reader = spark.read.option("singleVariantColumn", "v").option("pathGlobFilter", feed.file_glob)
-    return reader.json(path).select("v", *_file_position())
+    return reader.json(path).select("v", *_file_position(path))
 
 
 def stream_json_variant(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
-    reader = spark.readStream.option("singleVariantColumn", "v").option("pathGlobFilter", feed.file_glob)
-    return reader.json(path).select("v", F.col("_metadata.file_name").alias("_file"),
-                                    F.col("_metadata.file_block_start").alias("_block"))
+    """Streaming form of :func:`read_json_variant`: each file is delivered once."""
+    reader = spark.readStream.option("singleVariantColumn", "v").option("maxFileAge", ANY_AGE)
+    lines = reader.option("pathGlobFilter", feed.file_glob).json(path)
+    return lines.select("v", _file_in(path), F.col("_metadata.file_block_start").alias("_block"))
 
 
 def with_sequence(batch: DataFrame) -> DataFrame:
@@ -125,9 +134,8 @@ def file_row_numbers(text: DataFrame) -> DataFrame:
 
     Rows of one file block are read consecutively by one task, so a row's place in
     its block is its distance from the block's first row. Only one row per block is
-    then ordered within its file to turn block sizes into starting positions. Those
-    are counted before they are broadcast; beyond the limit the rows are shuffled to
-    them instead.
+    then ordered within its file to turn block sizes into starting positions. How these
+    few rows meet the others is left to Spark, which knows their size once they are stored.
     """
     blocks = cut_lineage(
         text.groupBy("_file", "_block").agg(F.min("_seq").alias("_first"), F.count("*").alias("_rows"))
@@ -136,8 +144,6 @@ def file_row_numbers(text: DataFrame) -> DataFrame:
     starts = blocks.select(
         "_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
-    if blocks.count() <= BROADCAST_BLOCKS:
-        starts = F.broadcast(starts)
     return (
         text.join(starts, ["_file", "_block"])
         .withColumn("_row", F.col("_start") + F.col("_seq") - F.col("_first") + 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session that names none, such as a local test, gets a folder of its own.
+    A session that runs in one process, such as a local test, gets a folder of its own if it names none. On a cluster a
+    folder of one machine would be lost with it, so there the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
     local = tempfile.mkdtemp(prefix="tidemark-")
     spark.sparkContext.setCheckpointDir(local)
     return local

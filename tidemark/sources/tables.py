@@ -8,6 +8,7 @@ together or not at all.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -60,7 +61,8 @@ def write_parquet(df: DataFrame, folder: str, layout: Layout = Layout(), partiti
 class AppendLog:
     """An append-only table with one folder per batch.
 
-    Writing a batch again replaces it, so a replayed batch leaves no duplicates.
+    Writing a batch again replaces it, so a replayed batch leaves no duplicates. Rows that no later run may replace are
+    appended under a key instead.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, layout: Layout = Layout()):
@@ -69,6 +71,15 @@ class AppendLog:
     def append(self, df: DataFrame, batch: int) -> None:
         write_parquet(df.select(self.schema.fieldNames()), f"{self.path}/{BATCH}={batch}", self.layout)
 
+    def append_once(self, df: DataFrame, key: str) -> None:
+        """Append rows under a key of their own; what was appended under it before stays as it is.
+
+        For logs that must keep what they hold: a request that is repeated finds less to record than the first time.
+        """
+        batch = number_of(key)
+        if self.read().filter(F.col(BATCH) == batch).isEmpty():
+            self.append(df, batch)
+
     def read(self, after: int | None = None) -> DataFrame:
         """Rows with their batch number; ``after`` prunes to later batches."""
         schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
@@ -83,27 +94,40 @@ class AppendLog:
     def rows(self) -> DataFrame:
         return self.read().drop(BATCH)
 
+    def stored(self) -> DataFrame:
+        """The table with the columns its files have, whatever the declared schema says."""
+        try:
+            return self.spark.read.option("mergeSchema", True).parquet(self.path).drop(BATCH)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.schema)
+
     def last_batch(self) -> int | None:
         """Highest batch number, from the folder names alone."""
         return self.read().agg(F.max(BATCH)).first()[0]
 
-    def batches_with(self, values: DataFrame, column: str) -> list[int]:
-        """Batches that hold a row whose column is among ``values``. At most one number per batch."""
-        hit = self.read().join(values, column, "left_semi").select(BATCH).distinct()
+    def batches_with(self, values: DataFrame, column: str, of: Column | None = None) -> list[int]:
+        """Batches that hold a row whose column, or ``of``, is among ``values``. At most one number per batch."""
+        owned = self.read().select((F.col(column) if of is None else of).alias(column), BATCH)
+        hit = owned.join(values, column, "left_semi").select(BATCH).distinct()
         return sorted(r[BATCH] for r in hit.collect())
 
-    def remove(self, values: DataFrame, column: str, spare: str) -> list[int]:
+    def remove(self, values: DataFrame, column: str, spare: str, of: Column | None = None) -> list[int]:
         """Delete the rows whose column is among ``values``, rewriting only the batches that hold any.
 
+        ``of`` is what to compare where the value is not a column of its own.
+
         The surviving rows are written to ``spare`` and from there over the batches, all
         in one job, so a failure in between loses nothing.
         """
-        batches = self.batches_with(values, column)
+        batches = self.batches_with(values, column, of)
         if not batches:
             return batches
         affected = self.read().filter(F.col(BATCH).isin(batches))
         columns = [*self.schema.fieldNames(), BATCH]
-        without(affected, column, values, column).select(columns).write.mode("overwrite").parquet(spare)
+        owned = affected.withColumn("_owner", F.col(column) if of is None else of)
+        without(owned, "_owner", values, column).select(columns).write.mode("overwrite").parquet(spare)
         schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())])
         staged = self.spark.read.schema(schema).parquet(spare)
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(self.path)
@@ -121,6 +145,11 @@ class Snapshot:
     folders: dict[str, dict[str, str]] = field(default_factory=dict)
     consumed: dict[str, int] = field(default_factory=dict)
 
+    @property
+    def next(self) -> int:
+        """The number of the publication after this one."""
+        return self.version + 1
+
 
 _CONTROL = T.StructType(
     [
@@ -136,8 +165,10 @@ _CONTROL = T.StructType(
 class SnapshotTables:
     """A group of tables that are published together.
 
-    Each stored row carries the batch that last changed it, so readers of changes need
-    only the partitions written since, and no second copy of the changed rows.
+    Each stored row carries the publication that last changed it, so readers of changes
+    need only the partitions written since, and no second copy of the changed rows.
+    Publications are numbered by the store, always upwards: ``snapshot().next`` is the
+    number a run stamps its rows with.
     """
 
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType], layouts: dict[str, Layout]):
@@ -178,6 +209,13 @@ class SnapshotTables:
         listed = snap.folders.get(name, {})
         return self._read_folders(name, [f for p, f in sorted(listed.items()) if parts is None or p in parts])
 
+    def stored(self, name: str, snap: Snapshot) -> DataFrame:
+        """The table with the columns its files have, whatever the declared schema says."""
+        folders = sorted(snap.folders.get(name, {}).values())
+        if not folders:
+            return self.spark.createDataFrame([], self.schemas[name])
+        return self.spark.read.option("mergeSchema", True).parquet(*folders).drop(BATCH)
+
     def read(self, name: str, snap: Snapshot | None = None, since: str | None = None) -> DataFrame:
         """The table; ``since`` leaves out partitions of earlier months."""
         snap = snap or self.snapshot()
@@ -198,8 +236,8 @@ class SnapshotTables:
         return F.lit(WHOLE) if part is None else part
 
     def write(self, name: str, df: DataFrame, batch: int) -> dict[str, str]:
-        """Write rows to a folder of this batch, and say where each partition went."""
-        folder = f"{self.root}/{name}/run={batch}"
+        """Write rows to a folder that nothing else uses, and say where each partition went."""
+        folder = f"{self.root}/{name}/run={batch}.{uuid.uuid4().hex}"
         stored = df.select(*self._stored_schema(name).fieldNames(), self._part(name).alias(PART))
         write_parquet(stored, folder, self.layouts.get(name, Layout()), [PART])
         # Reading only the partition column costs a listing of the folder.
@@ -245,4 +283,9 @@ class SnapshotTables:
 
 def batch_of(folder: str) -> int:
     """The batch that wrote a listed folder."""
-    return int(folder.split("/run=")[1].split("/")[0])
+    return int(folder.split("/run=")[1].split(".")[0])
+
+
+def number_of(key: str) -> int:
+    """A batch number that stands for a key; negative, so apart from numbered batches."""
+    return -1 - (uuid.uuid5(uuid.NAMESPACE_OID, key).int >> 66)

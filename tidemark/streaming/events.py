@@ -15,13 +15,14 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.plans.clean import merge_events
 from tidemark.plans.serving import build_events
 from tidemark.plans.warehouse import Warehouse
+from tidemark.sources.landing import ANY_AGE
 from tidemark.sources.tables import BATCH, AppendLog
 
 
 def read_appends(log: AppendLog) -> DataFrame:
     """A stream of the rows later appended to a log."""
     schema = T.StructType([*log.schema.fields, T.StructField(BATCH, T.LongType())])
-    return log.spark.readStream.schema(schema).parquet(log.path).drop(BATCH)
+    return log.spark.readStream.schema(schema).option("maxFileAge", ANY_AGE).parquet(log.path).drop(BATCH)
 
 
 def _start(
