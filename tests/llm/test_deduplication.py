@@ -99,7 +99,7 @@ def check_near(df):
 
 
 def test_near_groups(edge, corpus, none):
-    check_near(corpus)
+    check_near(corpus.select("doc_id", "text").unionByName(edge.select("doc_id", "text")))
     groups = check_near(edge)
     stay = simhash.one_of_each_group(edge)
     assert stay.columns == edge.columns and stay.count() == groups
@@ -158,7 +158,7 @@ def plain_repeats(pairs, least=repeats.LEAST_WORDS):
 
 
 def test_repeated_units(edge, corpus, none):
-    for df in (corpus, edge):
+    for df in (corpus.select("doc_id", "text").unionByName(edge.select("doc_id", "text")), edge):
         pairs = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
         assert Counter(rows(repeats.repeated_units(df))) == plain_repeats(pairs)
     assert repeats.repeated_units(none).count() == 0
