@@ -30,6 +30,8 @@ SEED = 42
 BLOCK = 20_000
 #: Relative costs of filing one row and of comparing one pair.
 FILE_COST, PAIR_COST = 1.0, 0.005
+#: Each value probed is part of the plan, which costs as much as filing so many rows.
+PER_PROBE = 1000
 LAGS = 32
 
 
@@ -150,7 +152,7 @@ def thresholds(n: int, widths: list[int], near: np.ndarray, pairs: int, limit: i
     for width, counts in zip(widths, near):
         cost = {-1: 0.0}
         for t in range(min(limit, width) + 1):
-            filed = n * sum(comb(width, r) for r in range(t + 1))
+            filed = (n + PER_PROBE) * sum(comb(width, r) for r in range(t + 1))
             likely = (counts[: t + 1].sum() + 1) / (pairs + 1)
             cost[t] = FILE_COST * filed + PAIR_COST * likely * n * n
         step: dict[int, tuple[float, list[int]]] = {}
