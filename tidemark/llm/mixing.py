@@ -144,7 +144,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, cap: int = CAP, *
         "target",
         (F.col("passes") * F.col("size")).alias("taken"),
         F.when(F.col("passes") > 0, position(F.lit(0), schedules)).alias("position"),
-    ).orderBy("position")
+    ).orderBy("position", "doc_id")
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, cap: int = CAP) -> DataFrame:
