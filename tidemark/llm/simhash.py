@@ -193,7 +193,8 @@ def joining_links(fps: np.ndarray, own: np.ndarray, limit: int) -> Iterator[tupl
     if n <= 512:
         near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= limit
         near &= own[:, None] | own[None, :]
-        linked = near.sum(axis=1) > 1
+        np.fill_diagonal(near, False)
+        linked = near.any(axis=1)
         if not linked.any():
             return
         fps, own = fps[linked], own[linked]
