@@ -112,6 +112,16 @@ def test_quality(spark, corpus, texts, edge, none):
     assert quality_rules.quality(none).count() == 0
 
 
+def test_quality_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality_rules.quality(docs).join(labels, "doc_id").filter("not base_failed").collect()
+    held = [r for r in judged if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    bad, good = ([r.kept for r in held if r.quality == q] for q in (0, 1))
+    assert len(bad) > 50 and bad.count(False) > 0.85 * len(bad)
+    assert len(good) > 500 and good.count(False) < 0.005 * len(good)
+
+
 def test_distances():
     counts, reference = np.array([[1.0, 1, 0], [0, 0, 4], [2, 2, 0], [0, 0, 0]]), np.array([5.0, 5, 0])
     assert np.allclose(quality_rules.distances(counts, reference), [0, 1, 0, 1])

@@ -24,9 +24,10 @@ COMMON = {
     "de": "der die das und in den von zu mit sich des auf für ist im dem nicht ein eine als auch es an werden aus".split(),
     "es": "el la los las de del y en que un una a por con no se para es al lo como más o pero sus".split(),
 }
-#: Words a document must have for each histogram to be judged, and the greatest distance that passes.
-CLASS_WORDS, COMMON_WORDS = 60, 150
-CLASS_DISTANCE, COMMON_DISTANCE = 0.27, 0.35
+#: Words a document must have for its classes to be judged, and the greatest distance that passes.
+CLASS_WORDS, CLASS_DISTANCE = 60, 0.27
+#: The same for common words, set from the labelled rows of sf0.1 that are not held out: shorter texts may be further off.
+COMMON_LIMITS = ((60, 0.35), (100, 0.30), (150, 0.27))
 #: Rules on counts: fewest words, and the greatest share of words in repeated windows.
 FEWEST, REPEATED, WINDOW = 10, 0.20, 5
 SYMBOLS = b"#*$%&|<>"
@@ -155,7 +156,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:7]]
     judged = rows.mapInArrow(work, ", ".join([*fields, "class_distance double", "common_distance double"]))
     failed = (F.col("n_words") < FEWEST) | (F.col("n_repeat_words") * 100 > F.col("n_words") * int(REPEATED * 100))
-    far = ((F.col("n_words") >= CLASS_WORDS) & (F.col("class_distance") > CLASS_DISTANCE)) | (
-        (F.col("n_words") >= COMMON_WORDS) & (F.col("common_distance") > COMMON_DISTANCE)
-    )
+    far = (F.col("n_words") >= CLASS_WORDS) & (F.col("class_distance") > CLASS_DISTANCE)
+    for words, distance in COMMON_LIMITS:
+        far |= (F.col("n_words") >= words) & (F.col("common_distance") > distance)
     return judged.withColumn("base_failed", failed).withColumn("kept", ~failed & ~F.coalesce(far, F.lit(False)))
