@@ -81,6 +81,49 @@ def test_licenses(spark, corpus, texts, edge, none):
     assert licenses.scan_licenses(edge).count() == edge.count() and licenses.scan_licenses(none).count() == 0
 
 
+GPL = """This program is free software%s you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation%s either version %d of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_canonical_headers(spark):
+    headers = [
+        (GPL % (";", ";", 2), "GPL-2.0-or-later", 5), (GPL % (":", ",", 3), "GPL-3.0-or-later", 4),
+        (GPL.split("\n\n")[0] % (";", ";", 3), "GPL-3.0-or-later", 3), (GPL.split("\n\n")[0] % (":", ",", 2), "GPL-2.0-or-later", 2),
+        (MPL, "MPL-2.0", 1), (APACHE, "Apache-2.0", 4),
+    ]
+    rows, want = [], {}
+    for text, name, n in headers:
+        lines = text.split("\n")
+        unwrapped = "\n\n".join(" ".join(part.split()) for part in text.split("\n\n"))
+        commented = ["\n".join(f"{mark} {line}".rstrip() for line in lines) for mark in ("#", "//", " *")]
+        for shape in (text, unwrapped, *commented, f"/* {commented[2][3:]}\n */\nint x;"):
+            want[len(rows)] = ([name], n)
+            rows.append((len(rows), shape))
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.licenses, r.n_sentences) for r in got} == want
+
+
 def plain_counts(text):
     words = WORD.findall(text or "")
     windows = [tuple(words[n : n + 5]) for n in range(len(words) - 4)]

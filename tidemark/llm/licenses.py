@@ -23,7 +23,11 @@ SENTENCES = {
         "licensed under the apache license 2 0",
     ],
     "apache2_compliance": ["you may not use this file except in compliance with the license"],
-    "apache2_copy": ["you may obtain a copy of the license at http www apache org licenses license 2 0"],
+    "apache2_copy": [
+        "you may obtain a copy of the license at http www apache org licenses license 2 0",
+        "http www apache org licenses license 2 0",
+        "https www apache org licenses license 2 0",
+    ],
     "apache2_basis": [
         "unless required by applicable law or agreed to in writing software distributed under the license is distributed "
         "on an as is basis without warranties or conditions of any kind either express or implied",
@@ -75,6 +79,23 @@ SENTENCES = {
         "this program is distributed in the hope that it will be useful but without any warranty without even the implied "
         "warranty of merchantability or fitness for a particular purpose",
     ],
+    "gpl_free": ["this program is free software"],
+    "gpl_terms": [
+        "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+        "free software foundation",
+    ],
+    "gpl_either_2": ["either version 2 of the license or at your option any later version"],
+    "gpl_either_3": ["either version 3 of the license or at your option any later version"],
+    "gpl_terms_2": [
+        "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+        "free software foundation either version 2 of the license or at your option any later version",
+    ],
+    "gpl_terms_3": [
+        "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
+        "free software foundation either version 3 of the license or at your option any later version",
+    ],
+    "gpl_hope": ["this program is distributed in the hope that it will be useful but without any warranty"],
+    "gpl_implied": ["without even the implied warranty of merchantability or fitness for a particular purpose"],
     "bsd_notice": ["licensed under the bsd license", "use of this source code is governed by a bsd style license"],
     "bsd_grant": [
         "redistribution and use in source and binary forms with or without modification are permitted provided that the "
@@ -121,8 +142,16 @@ RULES = (
     ("MIT", ("mit_notice",)),
     ("GPL-3.0-or-later", ("gpl_redistribute_3", "gpl_no_warranty")),
     ("GPL-3.0-or-later", ("gpl_redistribute_3",)),
+    ("GPL-3.0-or-later", ("gpl_free", "gpl_terms_3", "gpl_hope", "gpl_implied")),
+    ("GPL-3.0-or-later", ("gpl_free", "gpl_terms_3")),
+    ("GPL-3.0-or-later", ("gpl_free", "gpl_terms", "gpl_either_3", "gpl_hope", "gpl_implied")),
+    ("GPL-3.0-or-later", ("gpl_free", "gpl_terms", "gpl_either_3")),
     ("GPL-2.0-or-later", ("gpl_redistribute_2", "gpl_no_warranty")),
     ("GPL-2.0-or-later", ("gpl_redistribute_2",)),
+    ("GPL-2.0-or-later", ("gpl_free", "gpl_terms_2", "gpl_hope", "gpl_implied")),
+    ("GPL-2.0-or-later", ("gpl_free", "gpl_terms_2")),
+    ("GPL-2.0-or-later", ("gpl_free", "gpl_terms", "gpl_either_2", "gpl_hope", "gpl_implied")),
+    ("GPL-2.0-or-later", ("gpl_free", "gpl_terms", "gpl_either_2")),
     ("GPL-3.0-only", ("gpl3_notice",)),
     ("GPL-2.0-only", ("gpl2_notice",)),
     ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse")),
@@ -135,14 +164,17 @@ RULES = (
     ("CC0-1.0", ("cc0",)),
     ("All-Rights-Reserved", ("all_rights",)),
 )
-#: Where a sentence ends: after a stop followed by white space, and at a line's end.
-SENTENCE_END = r"[.!?:;]+[\x20\x09-\x0D]+|[\n\r]+"
-#: The same for texts whose sentences run over line ends: an empty line ends one, a single line end does not.
-WRAPPED_END = r"[.!?:;]+[\x20\x09-\x0D]+|\n[\x20\t\r]*\n+"
+#: A stop followed by white space, but not that of "v. 2.0".
+STOP = r"(?<![^\p{L}\p{N}][vV])[.!?:;]+[\x20\x09-\x0D]+"
+#: Where a sentence ends: after a stop, and at a line's end.
+SENTENCE_END = STOP + r"|[\n\r]+"
+#: The same for texts whose sentences run over line ends: a line without letters and digits (empty, or a comment's mark)
+#: ends one, a single line end does not.
+WRAPPED_END = STOP + r"|\n[^\p{L}\p{N}\n]*\n+"
 #: Longest normalised sentence that is looked up; none that is known is longer.
 LONGEST = max(len(s) for known in SENTENCES.values() for s in known)
 #: A document is read sentence by sentence only if it holds one of these words; each known sentence holds one.
-HINT = r"(?i)licen[cs]e|permission|redistribut|warrant|copyright|rights reserved|noninfringement|public domain|cc0"
+HINT = r"(?i)licen[cs]e|permission|redistribut|warrant|copyright|rights reserved|noninfringement|public domain|cc0|free software"
 
 
 def normalised(sentence: Column) -> Column:
