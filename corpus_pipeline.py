@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, mixing, near_copies, packing, toxicity
+from tidemark.llm import exact_dedup, mixing, packing, simhash, toxicity
 from tidemark.llm.shared import tokenizer_file
 from tidemark.sources.scratch import new_folder
 
@@ -20,8 +20,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that pairs of similarity 0.8 or more on five-word shingles connect."""
-    return near_copies.without_near_copies(docs)
+    """One document of each group that SimHash links connect, under the shingle length and bit distance of its contract."""
+    return simhash.one_of_each_group(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
