@@ -189,7 +189,7 @@ def test_disguised_words_are_restored(spark, edge, none):
     model = toxicity.character_model(toxicity.trigrams(docs))
     for token, word in {"1d10t": "idiot", "i.d.i.o.t": "idiot", "stuuupid": "stupid", "$cum": "scum", "w0rthle55": "worthless"}.items():
         assert toxicity.disguised(token) and word in toxicity.readings(token, model)
-    scorer = toxicity.Scorer({"idiot$": {0: 0.9}}, model, "test")
+    scorer = toxicity.Scorer({"idiot$": {0: 0.9}}, model)
     assert scorer.text("you i d i o t !") == scorer.text("an 1d10t.") == scorer.text("IDIOOOT") == 0.9
     assert scorer.text("") == scorer.text("a fine day") == 0.0
     labels = spark.createDataFrame([(1, 1), (2, None), (None, 1), (1, 0), (999, 1)], "doc_id long, toxic int")
@@ -201,6 +201,69 @@ def test_disguised_words_are_restored(spark, edge, none):
     assert toxicity.toxicity(none, labels).count() == 0
 
 
+def exhaustive(token, model, borders):
+    """All readings of a short token, by going through every choice."""
+    found = {"": (0.0, 0, 0)}
+    last = ""
+    for at, symbol in enumerate(token):
+        options = [(r, toxicity.READ) for r in toxicity.READINGS.get(symbol, "")]
+        if symbol in toxicity.INSIDE:
+            options.append(("", 0.0))
+        elif symbol.isalpha() and symbol not in toxicity.READINGS:
+            options.append((symbol, toxicity.KEPT if symbol == last else 0.0))
+        elif symbol not in toxicity.READINGS or at in (0, len(token) - 1) or symbol in (last, token[at + 1]):
+            options.append(("", toxicity.PASSED))
+        if symbol == last:
+            options.append(("", toxicity.DROPPED))
+        last, step = symbol, {}
+        starts = dict(found)
+        if borders and at:
+            for s, (p, a, b) in found.items():
+                if b:
+                    starts[s + " "] = (p + toxicity.BORDER + float(model[a, b, 0]), 0, 0)
+        for s, (p, a, b) in starts.items():
+            for letter, cost in options:
+                c = toxicity.LETTERS.find(letter) + 1 or toxicity.SIZE - 1
+                now = (p + cost + float(model[a, b, c]), b, c) if letter else (p + cost, a, b)
+                if now[0] < step.get(s + letter, (np.inf,))[0]:
+                    step[s + letter] = now
+        found = step
+    ends = sorted((p + float(model[a, b, 0]), s) for s, (p, a, b) in found.items())
+    return [s for _, s in ends[: toxicity.READINGS_KEPT]]
+
+
+def test_readings_are_those_of_an_exhaustive_search(spark):
+    words = "the stupid idiot is worthless and pathetic loser scum with a good day to all".split()
+    docs = spark.createDataFrame([(n, " ".join(words[n % 7 :] + words)) for n in range(50)], "doc_id long, text string")
+    model = toxicity.character_model(toxicity.trigrams(docs))
+    for token in ("1d10t", "5*up!d", "s++up1dd", "aa.b-b", "10$3r", "$(um", "**", "@@a", "id", "w0r+h"):
+        assert toxicity.readings(token, model) == exhaustive(token, model, False), token
+    for run in ("youidiot", "astup1d", "y0uscum", "1d10t"):
+        assert toxicity.readings(run, model, borders=True) == exhaustive(run, model, True), run
+
+
+def test_long_and_spaced_disguises(spark):
+    words = "the stupid idiot is worthless and pathetic loser scum with a good day you are".split()
+    docs = spark.createDataFrame([(n, " ".join(words[n % 7 :] + words)) for n in range(50)], "doc_id long, text string")
+    scorer = toxicity.Scorer({f"{w}$": {0: 0.9} for w in ("idiot", "stupid")}, toxicity.character_model(toxicity.trigrams(docs)))
+    for text in ("you are a s t u p i d", "y o u i d i o t", "$ t u p i d", "such a s.t.u.p.i.d thing", "i" * 45 + "diot",
+                 "i" * 300 + "diot", "the.good.day." * 9 + "1d10t." + "and.all." * 9, "g o o d " * 60 + "i d i o t"):
+        assert scorer.text(text) == 0.9, text
+    for text in ("a b c d e f g", "the good day " * 40, "x" * 5000, "1 2 3 4 5 6", "A | B | C"):
+        assert scorer.text(text) == 0.0, text
+
+
+def test_scores_do_not_depend_on_how_rows_are_dealt(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    again = docs.unionByName(docs.filter("doc_id % 7 = 0").withColumn("text", docs.text.substr(1, 300)))
+    found = [
+        sorted((r.doc_id, r.score) for r in toxicity.toxicity(dealt, labels).collect())
+        for dealt in (again.repartition(3), again.repartition(7, "lang", "n_chars"), again.orderBy(again.text.desc()).coalesce(1))
+    ]
+    assert found[0] == found[1] == found[2]
+
+
 def test_cut_and_calibration():
     assert toxicity.best_cut([(0.9, 5, 0), (0.4, 0, 3), (0.0, 1, 90)]) == 0.65
     assert toxicity.best_cut([(0.0, 0, 4)]) == 0.5

@@ -30,9 +30,9 @@ class WordCounter:
     """Numbers of tokens of texts under a tokenizers file whose pre-tokenizer drops white space."""
 
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
-        self.tokenizer, self.known = tokenizer_of(path), memory(f"word counts {path}")
+        self.tokenizer, self.known = tokenizer_of(path), memory("word counts", path)
         self.chunk, self.overlap = chunk, overlap
-        own = memory(f"word lengths {path}")
+        own = memory("word lengths", path)
         if not own:
             added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
             lengths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import slices, stored
-from tidemark.llm.word_memory import MOST, memory
 
 #: Labelled documents that the features are learnt from at most, chosen by a hash of the id.
 TRAIN_ROWS = 40_000
@@ -42,10 +41,18 @@ READINGS = {
 }
 #: Costs (negative logarithms): a symbol read as a letter, passed over, a repeated letter dropped or kept, an accent lost.
 READ, PASSED, DROPPED, KEPT = 0.5, 3.0, 0.2, 0.7
-BEAM, READINGS_KEPT, LONGEST = 48, 3, 40
+READINGS_KEPT = 3
+#: Cost of a border between two words that were spaced out into one run.
+BORDER = 1.0
+#: Symbols that are decoded at once; longer ones are decoded in pieces that overlap by half, so no word of up to half as
+#: many letters is cut in all of them.
+PIECE = 64
+#: Words that are remembered while a task lasts; then it starts anew, which costs time and changes nothing.
+MOST = 200_000
 TRIM = ".,;:?\"'()[]{}…«»“”„`~^%&=/\\>-_#*"
-SPACED = re.compile(r"(?<!\S)(?:\w[ .\-_*]){3,}\w(?![^\s.,;:!?])")
+SPACED = re.compile(r"(?<!\S)(?:[\w@$!|+(<€£¡*#][ .\-_*]){2,}[\w@$!|+(<€£¡*#](?![^\s.,;:!?])")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
+STRETCHED = re.compile(r"(.)\1\1+")
 SYMBOL = re.compile(r"[0-9@$!|+(<€£¡*#аеоісрху.\-_​‌‍]")
 LETTER = re.compile(r"[^\W\d_]")
 INSIDE = ".-_ ​‌‍"
@@ -91,11 +98,23 @@ def character_model(counts: np.ndarray) -> np.ndarray:
     return -np.log(three).astype(np.float32)
 
 
-def readings(token: str, model: np.ndarray) -> list[str]:
-    """The likeliest letter strings behind a disguised token."""
-    states = {(0, 0): [(0.0, "")]}
+def readings(token: str, model: np.ndarray, borders: bool = False) -> list[str]:
+    """The likeliest letter strings behind a disguised token, found by Viterbi over its whole lattice.
+
+    A state is the last two letters; it keeps its likeliest strings, so the result is exact. With ``borders`` a border of
+    words, a space in the result, may lie before each symbol.
+    """
+    states: dict[tuple[int, int], dict[str, float]] = {(0, 0): {"": 0.0}}
     last = ""
     for at, symbol in enumerate(token):
+        if borders and at:
+            split: dict[str, float] = {}
+            for (a, b), paths in states.items():
+                if b:
+                    cost = BORDER + float(model[a, b, 0])
+                    split |= {s + " ": p + cost for s, p in paths.items()}
+            if split:
+                states.setdefault((0, 0), {}).update(_best(split))
         options: list[tuple[str, float]] = [(r, READ) for r in READINGS.get(symbol, "")]
         repeated = symbol == last or symbol == token[at + 1 : at + 2]
         if symbol in INSIDE:
@@ -107,7 +126,7 @@ def readings(token: str, model: np.ndarray) -> list[str]:
         if symbol == last:
             options.append(("", DROPPED))
         last = symbol
-        step: dict[tuple[int, int], list[tuple[float, str]]] = {}
+        step: dict[tuple[int, int], dict[str, float]] = {}
         for (a, b), paths in states.items():
             for letter, cost in options:
                 if letter:
@@ -115,15 +134,45 @@ def readings(token: str, model: np.ndarray) -> list[str]:
                     key, cost = (b, c), cost + float(model[a, b, c])
                 else:
                     key = (a, b)
-                step.setdefault(key, []).extend((p + cost, s + letter) for p, s in paths)
-        best = sorted(((min(p)[0], k) for k, p in step.items()))[:BEAM]
-        states = {k: sorted(set(step[k]))[:READINGS_KEPT] for _, k in best}
-    ends = [(p + float(model[a, b, 0]), s) for (a, b), paths in states.items() for p, s in paths]
-    return list(dict.fromkeys(s for _, s in sorted(ends)))[:READINGS_KEPT]
+                own = step.setdefault(key, {})
+                for string, p in paths.items():
+                    longer = string + letter
+                    if p + cost < own.get(longer, math.inf):
+                        own[longer] = p + cost
+        states = {key: _best(paths) for key, paths in step.items()}
+    ends = {s: p + float(model[a, b, 0]) for (a, b), paths in states.items() for s, p in paths.items()}
+    return list(_best(ends))
+
+
+def _best(paths: dict[str, float]) -> dict[str, float]:
+    """The likeliest strings, ties in their order."""
+    if len(paths) <= 1:
+        return paths
+    return dict(sorted(paths.items(), key=lambda x: (x[1], x[0]))[:READINGS_KEPT])
 
 
 def disguised(token: str) -> bool:
-    return len(token) <= LONGEST and bool(LETTER.search(token)) and bool(SYMBOL.search(token) or REPEATED.search(token))
+    return bool(LETTER.search(token)) and bool(SYMBOL.search(token) or REPEATED.search(token))
+
+
+def pieces(token: str) -> list[str]:
+    """A token, or what is to be decoded of a long one: stretched letters are cut to two first, then it is cut up."""
+    if len(token) > PIECE:
+        token = STRETCHED.sub(r"\1\1", token)
+    if len(token) <= PIECE:
+        return [token]
+    return [token[n : n + PIECE] for n in range(0, len(token) - PIECE // 2, PIECE // 2)]
+
+
+def inner_features(run: str) -> Iterator[str]:
+    """Features from every start in a run of letters whose words may not have been found: long enough to be no chance."""
+    for start in range(len(run)):
+        for n in range(5, STEM.stop):
+            if start + n <= len(run):
+                yield run[start : start + n]
+        for n in range(4, 17):
+            if start + n <= len(run):
+                yield run[start : start + n] + "$"
 
 
 def features(word: str) -> Iterator[str]:
@@ -141,7 +190,8 @@ def _sample(docs, labels, id_col, text_col, label_col, train_rows):
     known = known.filter(F.crc32(F.col("_id").cast("string").cast("binary")) % 4 != 2)
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"])
+    met = texts.join(F.broadcast(chosen), "_id")
+    return met.groupBy("_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))  # one id has one label
 
 
 def frequency(count: int, words: int) -> int:
@@ -166,7 +216,7 @@ def toxic_features(sample: DataFrame, support: int = SUPPORT, least: int = LEAST
     """Features and their bounds by frequency, 0 standing for any; only features whose bound exceeds a tenth.
 
     A frequency is judged on its own if ``least`` documents have it. Of labelled documents that share their smallest
-    hash of a word pair one is counted. The features come from a bounded sample, so they are bounded as well.
+    hash of a word pair the one whose text comes first is counted, of equal texts a toxic one. The features come from a bounded sample, so they are bounded as well.
     """
 
     def keyed(batches):
@@ -189,8 +239,10 @@ def toxic_features(sample: DataFrame, support: int = SUPPORT, least: int = LEAST
         columns += [pa.array([c[f] for f in names], pa.int64()) for c in (toxic, clean)]
         yield from pa.Table.from_arrays(columns, ["f", "often", "toxic", "clean"]).to_batches(20_000)
 
-    single = sample.select("text", "y").mapInArrow(keyed, "k long, text string, y int").dropDuplicates(["k"])
-    per = single.select("text", "y").mapInArrow(counted, "f string, often int, toxic long, clean long")
+    texts = sample.select("text", "y").mapInArrow(keyed, "k long, text string, y int")
+    first = F.min(F.struct(F.coalesce("text", F.lit("")).alias("text"), (-F.col("y")).alias("less"))).alias("first")
+    single = texts.groupBy("k").agg(first).select("first.text", (-F.col("first.less")).alias("y"))
+    per = single.mapInArrow(counted, "f string, often int, toxic long, clean long")
     per = per.groupBy("f", "often").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     seen = F.collect_list(F.struct("often", "toxic", "clean")).alias("seen")
     all_of = per.groupBy("f").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), seen)
@@ -203,23 +255,37 @@ def toxic_features(sample: DataFrame, support: int = SUPPORT, least: int = LEAST
 
 
 class Scorer:
-    """Scores texts by learnt features; readings of words are remembered within the worker."""
+    """Scores texts by learnt features; words are remembered while it lasts, which is one task."""
 
-    def __init__(self, weights: dict[str, dict[int, float]], model: np.ndarray, key: str):
-        self.weights, self.model, self.known = weights, model, memory(f"toxicity {key}")
+    def __init__(self, weights: dict[str, dict[int, float]], model: np.ndarray):
+        self.weights, self.model, self.known = weights, model, {}
 
-    def _of(self, words: list[str]) -> tuple[str, ...]:
-        return tuple(dict.fromkeys(f for w in words for f in features(w) if f in self.weights))
+    def _of(self, found: Iterator[str]) -> tuple[str, ...]:
+        return tuple(dict.fromkeys(f for f in found if f in self.weights))
 
     def word(self, token: str) -> tuple[str, ...]:
-        """The learnt features of a word and of its readings."""
+        """The learnt features of a word and of its readings; a long one's pieces may begin within words."""
         core = token.strip(TRIM)
         plain = core.strip("!")
-        return self._of([plain, *(readings(core, self.model) if disguised(core) else [])])
+        own = list(features(plain))
+        if disguised(core):
+            cut = pieces(core)
+            for piece in cut:
+                for reading in readings(piece, self.model):
+                    own += features(reading)
+                    if len(cut) > 1:
+                        own += inner_features(reading)
+        return self._of(own)
 
     def spaced(self, run: str) -> tuple[str, ...]:
-        letters = re.sub(r"[ .\-_*]", "", run)
-        return self._of([letters, *readings(letters, self.model)]) if len(letters) <= LONGEST else ()
+        """The learnt features of the words in a run of single symbols."""
+        letters, own = re.sub(r"[ .\-_*]", "", run), []
+        for piece in pieces(letters):
+            for reading in readings(piece, self.model, borders=True):
+                for word in reading.split(" "):
+                    own += features(word)
+                own += inner_features(reading.replace(" ", ""))
+        return self._of(own)
 
     def text(self, text: str) -> float:
         small = text.lower()
@@ -285,9 +351,7 @@ def _learnt(docs, labels, id_col, text_col, label_col, train_rows):
     model = character_model(trigrams(docs, text_col))
     sample = stored(_sample(docs, labels, id_col, text_col, label_col, train_rows).select("text", "y"), "toxicity-sample")
     weights = toxic_features(sample)
-    told = repr(sorted((f, sorted(w.items())) for f, w in weights.items()))
-    key = f"{xxhash.xxh64_hexdigest(model.tobytes())}-{xxhash.xxh64_hexdigest(told)}"
-    shared = docs.sparkSession.sparkContext.broadcast((weights, model, key))
+    shared = docs.sparkSession.sparkContext.broadcast((weights, model))
     return shared, _sample_cut(sample, shared)
 
 
@@ -305,7 +369,9 @@ def toxicity(
     ``held_out`` marks ids whose CRC-32, of the id as text, leaves 2 modulo 4; they are not learnt from (a null id
     counts as an empty text). Labels that are null, or of no document, are passed over; of several for one id the larger
     counts. Null and empty texts score 0, and so does everything if there are no labels. Repeated rows are scored each.
-    An empty table gives no rows. Scores depend on texts alone.
+    An empty table gives no rows. Scores depend on
+    texts and the ids that were learnt from, not on the order or partitions of rows; of several texts under one learnt id
+    the first in order counts.
     """
     shared, cut = _learnt(docs, labels, id_col, text_col, label_col, train_rows)
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))

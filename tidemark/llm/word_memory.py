@@ -13,21 +13,27 @@ import numpy as np
 MOST = 500_000
 
 
-def memory(purpose: str) -> dict:
-    """A dictionary that outlives the task; it belongs to the worker process and holds only what can be recomputed."""
-    kept = sys.modules.setdefault("_tidemark_worker_memory", types.ModuleType("_tidemark_worker_memory"))
-    return vars(kept).setdefault(purpose, {})
+def memory(purpose: str, key: str = "") -> dict:
+    """A dictionary that outlives the task; it belongs to the worker process and holds only what can be recomputed.
+
+    There is one for each purpose: another key drops what the last one gathered, so a worker does not grow with the
+    number of models or files that it meets.
+    """
+    kept = vars(sys.modules.setdefault("_tidemark_worker_memory", types.ModuleType("_tidemark_worker_memory")))
+    if kept.get(purpose, ("", {}))[0] != key:
+        kept.pop(purpose)
+    return kept.setdefault(purpose, (key, {}))[1]
 
 
 def tokenizer_of(path: str):
     """The tokenizers library's tokenizer of a file, loaded once per worker and run in the task's one thread."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    loaded = memory("tokenizers")
-    if path not in loaded:
+    loaded = memory("tokenizer", path)
+    if not loaded:
         from tokenizers import Tokenizer
 
-        loaded[path] = Tokenizer.from_file(path)
-    return loaded[path]
+        loaded["it"] = Tokenizer.from_file(path)
+    return loaded["it"]
 
 
 class ByteLevelIds:
@@ -45,9 +51,9 @@ class ByteLevelIds:
     PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
     def __init__(self, path: str):
-        self.known = memory(f"byte-level {path}")
+        self.known = memory("byte-level", path)
         self.tokenizer = tokenizer_of(path)
-        own = memory(f"ranks {path}")
+        own = memory("ranks", path)
         if not own:
             own.update(zip(("ranks", "lengths", "specials"), self._ranks()))
         self.ranks, self.lengths, self.specials = own["ranks"], own["lengths"], own["specials"]
