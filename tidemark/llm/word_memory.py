@@ -21,7 +21,7 @@ def memory(purpose: str, key: str = "") -> dict:
     """
     kept = vars(sys.modules.setdefault("_tidemark_worker_memory", types.ModuleType("_tidemark_worker_memory")))
     if kept.get(purpose, ("", {}))[0] != key:
-        kept.pop(purpose)
+        kept.pop(purpose, None)
     return kept.setdefault(purpose, (key, {}))[1]
 
 
