@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     exact_dedup,
     licenses,
+    line_quality,
     mixing,
     packing,
     quality_rules,
@@ -73,6 +74,10 @@ def document_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, folder), tokenizer_file("word_bpe_49k.json"))
 
 
+def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return line_quality.line_quality(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 QUERIES = {
     "op1_secret_scan": secret_scan,
     "op2_simhash_near_dedup": near_duplicates,
@@ -84,4 +89,5 @@ QUERIES = {
     "op8_source_mix": source_mix,
     "op9_token_counts": document_tokens,
     "op10_packing": packed_sequences,
+    "op12_quality_classifier": quality_scores,
 }
