@@ -15,6 +15,7 @@ from tidemark.llm import (
     repeats,
     secrets,
     simhash,
+    spelling,
     token_counts,
     toxicity,
 )
@@ -78,6 +79,10 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality.line_quality(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_documents(spark, folder))
+
+
 QUERIES = {
     "op1_secret_scan": secret_scan,
     "op2_simhash_near_dedup": near_duplicates,
@@ -90,4 +95,5 @@ QUERIES = {
     "op9_token_counts": document_tokens,
     "op10_packing": packed_sequences,
     "op12_quality_classifier": quality_scores,
+    "op13_spelling_variants": spelling_variants,
 }
