@@ -44,4 +44,33 @@ ORACLE = {
                size * (whole + CASE WHEN (2 * start + size)::DOUBLE < 2 * (target - whole * source_size)
                                     THEN 1 ELSE 0 END)::BIGINT AS taken
         FROM run_docs""",
+    "op11_phrase_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                       'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+        totals AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM words GROUP BY lang),
+        places AS (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+                   FROM words, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(ws) >= m),
+        grams AS (SELECT lang, m, ws[i : i + m - 1] AS g, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 100),
+        gone AS (
+            SELECT DISTINCT s.lang, s.g FROM grams s
+            JOIN (SELECT lang, g[1 : m - 1] AS part, f FROM grams WHERE m > 2
+                  UNION ALL SELECT lang, g[2 : m], f FROM grams WHERE m > 2) x
+              ON s.lang = x.lang AND s.g = x.part AND x.f >= s.f),
+        cuts AS (SELECT lang, m, g, f, unnest(range(1, m)) AS k FROM grams
+                 WHERE m > 1 AND NOT EXISTS (SELECT 1 FROM gone o WHERE o.lang = grams.lang AND o.g = grams.g)),
+        scored AS (
+            SELECT c.lang, c.g, c.f AS a, c.k, x.f AS l, y.f AS r, t.n,
+                   (1000::HUGEINT * c.f * t.n) // (x.f::HUGEINT * y.f) AS score
+            FROM cuts c JOIN grams x ON x.lang = c.lang AND x.g = c.g[1 : c.k]
+            JOIN grams y ON y.lang = c.lang AND y.g = c.g[c.k + 1 : c.m]
+            JOIN totals t ON t.lang = c.lang),
+        lowest AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM scored
+                   QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+               n::BIGINT AS n, score::BIGINT AS score
+        FROM lowest QUALIFY rank <= 2000""",
 }

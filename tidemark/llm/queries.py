@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    collocations,
     exact_dedup,
     licenses,
     line_quality,
@@ -83,6 +84,10 @@ def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(_documents(spark, folder))
 
 
+def phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, folder))
+
+
 QUERIES = {
     "op1_secret_scan": secret_scan,
     "op2_simhash_near_dedup": near_duplicates,
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_source_mix": source_mix,
     "op9_token_counts": document_tokens,
     "op10_packing": packed_sequences,
+    "op11_phrase_collocations": phrase_collocations,
     "op12_quality_classifier": quality_scores,
     "op13_spelling_variants": spelling_variants,
 }
