@@ -111,7 +111,7 @@ def test_first_sessions(world):
         assert computed == {
             "W1": "Z1", "W2": "Z1", "W3": "COMPUTED_1_0", "W4": "COMPUTED_1_1", "W5": "COMPUTED_1_1", "W6": None,
         }
-    rows = {r.session_id: r for r in wh.sessions.read("fact_sessions").collect()}
+    rows = {r.session_id: r for r in wh.fact_sessions().collect()}
     assert set(rows) == {"Z1", "COMPUTED_1_0", "COMPUTED_1_1"}
     last = rows["COMPUTED_1_1"]
     assert (last.session_duration_sec, last.is_bounce, last.is_conversion, last.is_computed_session) == (1741, False, True, True)
@@ -151,7 +151,7 @@ def test_late_batch_and_merging_event(world):
 
     # W8 closes the gap between W3 and W4, so their sessions become one and none is left over.
     assert wh.fact_events.rows().count() == 7
-    rows = {r.session_id: r for r in wh.sessions.read("fact_sessions").collect()}
+    rows = {r.session_id: r for r in wh.fact_sessions().collect()}
     assert set(rows) == {"Z1", "COMPUTED_1_0"}
     assert (rows["COMPUTED_1_0"].page_views, rows["COMPUTED_1_0"].purchases) == (2, 1)
 

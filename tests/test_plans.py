@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import recon, sessions
+from tidemark.operators import recon, session_days, sessions
 from tidemark.operators.asof import as_of_customer
 from tidemark.operators.joins import left_join, without
 from tidemark.operators.latest import latest_by_key
@@ -75,6 +75,46 @@ def test_sessions_shuffle_events_by_customer_and_minute(spark, large_tables):
     assert "partial_min" in text
 
 
+def _shuffles(df) -> int:
+    return plan(df).count("Exchange hashpartitioning")
+
+
+def test_session_days_take_few_shuffles(spark, large_tables):
+    events = QUERIES["fact_events"](spark, FOLDER)
+    own = _shuffles(events)
+    stamp = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    parts = session_days.day_parts(events, stamp)
+    assert _shuffles(parts) == own + 2  # one by minute, one by day
+    assert _shuffles(session_days.fold_days(parts)) == own + 3
+    assert _shuffles(QUERIES["fact_sessions_incremental"](spark, FOLDER)) < 24
+
+
+def test_a_batch_of_one_customer_reads_and_writes_its_own_days(spark, tmp_path):
+    from tidemark.plans.serving import build_events
+    from tidemark.plans.warehouse import Warehouse
+    from tidemark.schemas import EVENTS, conform
+
+    wh = Warehouse(spark, str(tmp_path), session_buckets=8)
+    stamp = F.lit("2026-03-01 00:00:00").cast("timestamp_ntz")
+    clicks = _clicks(spark, 7, 3000).withColumns({
+        "session_id": F.concat(F.lit("s"), F.col("customer_sk").cast("string")), "payload": F.parse_json(F.lit("{}")),
+        "event_ts": F.col("event_ts") + F.make_dt_interval((F.col("event_id").cast("int") % 60)),
+        "record_source": F.lit("f"),
+    })
+    build_events(wh, conform(clicks, EVENTS.clean), 0, stamp)
+    before = wh.sessions.snapshot().folders["session_days"]
+    assert len(before) > 16
+    late = clicks.filter("event_id = '30'").withColumn("event_id", F.lit("late"))
+    build_events(wh, conform(late, EVENTS.clean), 1, stamp)
+    after = wh.sessions.snapshot().folders["session_days"]
+    assert len([p for p in after if after[p] != before.get(p)]) == 1 and before.keys() == after.keys()
+    every = wh.fact_events.read().drop("_batch")
+    assert sorted(map(str, wh.fact_sessions().collect())) == sorted(map(str, sessions.fact_sessions(every, stamp).collect()))
+    days = [r.day for r in session_days.touched_days(every.filter("event_id = 'late'")).collect()]
+    text = plan(every.filter(F.col("event_date").isin(days) | F.col("event_date").isNull()))
+    assert re.search(r"PushedFilters: \[Or\(EqualTo\(event_date", text)
+
+
 def test_new_rows_are_found_without_shuffling_a_large_target(spark):
     target = spark.range(1_000_000).select(F.col("id").cast("string").alias("k"))
     batch = spark.createDataFrame([("5",), ("new",)], "k string")

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import timestamp
-from tidemark.operators import sessions
-from tidemark.schemas import FACT_EVENTS, FACT_SESSIONS
+from tidemark.operators import session_days, sessions
+from tidemark.schemas import FACT_EVENTS, SESSION_DAYS
 
 START = datetime(2026, 1, 1, 10, 0, 0)
 def run_ts():
@@ -83,10 +83,8 @@ def test_events_without_time_are_kept_in_a_last_group(spark):
     assert found["e00004"] == ("COMPUTED_5_1", 1)
 
 
-def refresh(stored, every, batch):
-    touched = batch.select("event_id", "event_ts", "customer_sk", "session_id")
-    resume, visits = sessions.resume_points(stored, every, touched), sessions.anonymous_visits(stored, touched)
-    return sessions.refresh_sessions(stored, every, resume, visits, run_ts())
+def refresh(parts, every, batch):
+    return session_days.redo_days(parts, every, session_days.touched_days(batch), run_ts())
 
 
 def sorted_rows(df):
@@ -101,65 +99,62 @@ def click(rng, i, span, sessions_of):
     )
 
 
+def parts_frame(spark, parts):
+    return spark.createDataFrame(parts.collect(), SESSION_DAYS)
+
+
 @pytest.mark.parametrize("seed", [101, 102])
-def test_refresh_equals_rebuild(spark, seed):
-    """Batches of mostly late clicks, some in long or interleaved sourced sessions."""
+def test_redone_days_equal_a_rebuild(spark, seed):
+    """Batches of mostly late clicks, some in long or interleaved sourced sessions, some without a time."""
     rng = random.Random(seed)
     batches, i = [], 0
     for n in range(3):
         size = rng.choice([300, 1200, 2500])
         batches.append([click(rng, i + k, rng.choice([600, 3000, 9000]), [f"A{seed}", f"B{n}"]) for k in range(size)])
         i += size
-    stored = spark.createDataFrame(sessions.fact_sessions(frame(spark, batches[0]), run_ts()).collect(), FACT_SESSIONS)
+    batches[1].append(event(i, None, 3))
+    batches[2] += [event(i + 1, None, 4, "A"), event(i + 2, None, 3)]
+    parts = parts_frame(spark, session_days.day_parts(frame(spark, batches[0]), run_ts()))
     so_far = list(batches[0])
     for batch in batches[1:]:
         so_far += batch
         every = frame(spark, so_far)
-        stored = spark.createDataFrame(refresh(stored, every, frame(spark, batch)).collect(), FACT_SESSIONS)
-        assert sorted_rows(stored) == sorted_rows(sessions.fact_sessions(every, run_ts()))
-
-
-def test_refresh_resumes_after_settled_sessions(spark):
-    old = [event(i, START + timedelta(hours=i), 1) for i in range(20)]
-    new = [event(90, START + timedelta(hours=19, minutes=10), 1), event(91, START + timedelta(hours=21), 1)]
-    stored = sessions.fact_sessions(frame(spark, old), run_ts())
-    every = frame(spark, old + new)
-    touched = frame(spark, new).select("event_id", "event_ts", "customer_sk", "session_id")
-    point = sessions.resume_points(stored, every, touched).first()
-    assert point._base == 18, "the twentieth session can change, and the one before it could be joined"
-    recent = every.filter(every.event_ts >= START + timedelta(hours=18))
-    resumed = sessions.refresh_sessions(
-        stored, recent, sessions.resume_points(stored, every, touched), sessions.anonymous_visits(stored, touched), run_ts()
-    )
-    assert sorted_rows(resumed) == sorted_rows(sessions.fact_sessions(every, run_ts()))
-
-
-def test_an_event_after_a_sourced_one_joins_the_last_computed_session(spark):
-    old = [event(1, START, 1), event(2, START + timedelta(hours=9), 1, "S")]
-    new = [event(3, START + timedelta(hours=9, minutes=5), 1)]
-    stored = sessions.fact_sessions(frame(spark, old), run_ts())
-    every = frame(spark, old + new)
-    refreshed = refresh(stored, every, frame(spark, new))
-    assert sorted_rows(refreshed) == sorted_rows(sessions.fact_sessions(every, run_ts()))
-    assert {r.session_id: r.session_duration_sec for r in refreshed.collect()} == {"COMPUTED_1_1": 9 * 3600 + 300, "S": 0}
-
-
-def test_a_returning_customer_resumes_at_the_new_event(spark):
-    old = [event(i, START + timedelta(days=i), 1) for i in range(5)]
-    new = [event(9, START + timedelta(days=60), 1)]
-    point = sessions.resume_points(
-        sessions.fact_sessions(frame(spark, old), run_ts()), frame(spark, old + new), frame(spark, new)
-    ).first()
-    epoch = (START - datetime(1970, 1, 1) + timedelta(days=60)).total_seconds() // 60
-    assert (point._cut, point._base) == (epoch, 5)
-
-
-def test_refresh_with_untimed_events(spark):
-    old = [event(1, START, 1), event(2, None, 1), event(3, START, 2)]
-    new = [event(4, START + timedelta(hours=3), 1), event(5, None, 2)]
-    stored = sessions.fact_sessions(frame(spark, old), run_ts())
-    every = frame(spark, old + new)
-    assert sorted_rows(refresh(stored, every, frame(spark, new))) == sorted_rows(sessions.fact_sessions(every, run_ts()))
+        parts = parts_frame(spark, refresh(parts, every, frame(spark, batch)))
+        assert sorted_rows(parts) == sorted_rows(session_days.day_parts(every, run_ts()))
+        assert sorted_rows(session_days.fold_days(parts)) == sorted_rows(sessions.fact_sessions(every, run_ts()))
+
+
+def test_a_late_event_renumbers_later_days_without_touching_them(spark):
+    old = [event(i, START + timedelta(days=2 * i), 1) for i in range(20)]
+    late = [event(90, START + timedelta(days=5), 1), event(91, START + timedelta(days=5, hours=1), 1)]
+    parts = parts_frame(spark, session_days.day_parts(frame(spark, old), run_ts()))
+    touched = session_days.touched_days(frame(spark, late))
+    assert [(r.line, str(r.day)) for r in touched.collect()] == [("c1", "2026-01-06")]
+    fresh = session_days.fresh_days(frame(spark, old + late), touched, run_ts())
+    assert {str(r.day) for r in fresh.collect()} == {"2026-01-06"}
+    kept = session_days.without_days(parts, touched)
+    assert kept.count() == 20
+    folded = session_days.fold_days(kept.unionByName(fresh))
+    assert sorted_rows(folded) == sorted_rows(sessions.fact_sessions(frame(spark, old + late), run_ts()))
+    assert {r.session_id for r in folded.collect()} == {f"COMPUTED_1_{n}" for n in range(1, 23)}
+
+
+def test_sessions_that_run_over_days_and_sourced_ones(spark):
+    old = [event(1, START, 1), event(2, START + timedelta(hours=9), 1, "S"), event(3, START, 2), event(4, None, 1)]
+    night = [event(10 + k, START.replace(hour=23, minute=50) + timedelta(minutes=10 * k), 5, product=f"p{k % 2}") for k in range(9)]
+    new = [event(30, START + timedelta(hours=9, minutes=5), 1), event(31, START + timedelta(hours=14), 5), event(32, None, 2)]
+    new += [event(33, START, None, "V"), event(34, START + timedelta(days=3), None, "V")]
+    parts = session_days.day_parts(frame(spark, old + night), run_ts())
+    every = frame(spark, old + night + new)
+    folded = session_days.fold_days(refresh(parts, every, frame(spark, new)))
+    assert sorted_rows(folded) == sorted_rows(sessions.fact_sessions(every, run_ts()))
+    assert {r.session_id: r.page_views for r in folded.filter("customer_sk = 5").collect()} == {"COMPUTED_5_1": 10}
+    assert {r.session_id: r.session_duration_sec for r in folded.filter("customer_sk = 1").collect()} == {
+        "COMPUTED_1_1": 9 * 3600 + 300, "S": 0}
+
+
+def test_no_events_no_sessions(spark):
+    assert session_days.fold_days(session_days.day_parts(frame(spark, []), run_ts())).count() == 0
 
 
 def test_session_grain_is_unique(spark):

@@ -38,7 +38,7 @@ def test_events_are_cleaned_and_served_once(spark, tmp_path):
     assert sorted(r.event_id for r in wh.clean_events.rows().collect()) == ["a", "b", "c"]
     assert sorted(r.event_id for r in wh.fact_events.rows().collect()) == ["a", "b", "c"]
     # Without a customer dimension the events are anonymous and form no session.
-    assert wh.sessions.read("fact_sessions").isEmpty()
+    assert wh.fact_sessions().isEmpty()
 
 
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):

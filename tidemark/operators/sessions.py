@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,13 +14,10 @@ GAP_MINUTES = 30
 COMPUTED_PREFIX = "COMPUTED_"
 STEPS = ("page_view", "product_view", "add_to_cart", "checkout_start", "purchase")
 
-_UNTIMED = 1 << 62  # minute number of events without a timestamp: they come last
-_FROM_START = -(1 << 62)  # minute number before every event
+UNTIMED = 1 << 62  # minute number of events without a timestamp: they come last
 
 
-def computed_sessions(
-    events: DataFrame, gap_minutes: int = GAP_MINUTES, resume: DataFrame | None = None
-) -> DataFrame:
+def computed_sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     """Fact events with ``is_new_session`` and ``effective_session_id``.
 
     A sourced session id is kept. Otherwise an event opens a session if it is the
@@ -34,9 +29,6 @@ def computed_sessions(
     customer and minute, which keeps the ordered window as long as the clock, not as
     the event count, and events are spread over tasks by customer and minute. Events
     without a timestamp form one last minute of their customer.
-
-    ``resume`` (see :func:`resume_points`) continues earlier numbering: events before a
-    customer's cut only serve to measure the gap to the first event after it.
     """
     timed = events.withColumn("_minute", _minute("event_ts"))
     minutes = timed.groupBy(F.col("customer_sk").alias("_sk"), F.col("_minute").alias("_at")).agg(
@@ -44,17 +36,11 @@ def computed_sessions(
     )
     line = Window.partitionBy("_sk").orderBy("_at")
     before = F.lag("_at").over(line)
-    gap = (F.col("_at") != _UNTIMED) & (F.col("_at") - before > gap_minutes)
+    gap = (F.col("_at") != UNTIMED) & (F.col("_at") - before > gap_minutes)
     opened = F.col("_first.free") & (before.isNull() | gap)
-    base = F.lit(0)
-    if resume is not None:
-        minutes = minutes.join(resume.select(F.col("customer_sk").alias("_sk"), "_cut", "_base"), "_sk")
-        opened, base = opened & (F.col("_at") >= F.col("_cut")), F.col("_base")
     numbered = minutes.withColumn("_opened", opened.cast("bigint")).withColumn(
-        "_group", base + F.sum("_opened").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        "_group", F.sum("_opened").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    if resume is not None:
-        numbered = numbered.filter("_at >= _cut")
     numbered = numbered.select("_sk", "_at", "_opened", "_group", F.col("_first.event_id").alias("_first_id"))
     match = F.col("customer_sk").eqNullSafe(F.col("_sk")) & (F.col("_minute") == F.col("_at"))
     opener = (F.col("_opened") == 1) & (F.col("event_id") == F.col("_first_id"))
@@ -74,7 +60,7 @@ def computed_sessions(
 
 
 def _minute(ts: str) -> Column:
-    return F.coalesce(minute_index(ts), F.lit(_UNTIMED))
+    return F.coalesce(minute_index(ts), F.lit(UNTIMED))
 
 
 def _computed_id(number: Column) -> Column:
@@ -117,118 +103,6 @@ def summarise_sessions(located: DataFrame, run_ts: Column) -> DataFrame:
     return conform(wide, FACT_SESSIONS)
 
 
-def resume_points(sessions: DataFrame, events: DataFrame, touched: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
-    """From which minute each touched customer's sessions must be redone, and the number to go on from.
-
-    ``touched`` holds the new events. A stored session can change if it reached to within
-    the gap of the customer's first new event, or if the source named it on a new event.
-    The last computed session before these can change too, however long ago it was: an
-    event soon after a sourced one opens no session and so belongs to it. Only if the
-    first new event opens a session itself is it out of reach. The cut is the start of
-    the earliest session that can change, and ``_base`` the number of sessions opened
-    before, read off the session ids. Customers with events without a timestamp, which
-    always belong to the last session, are redone from the start.
-    """
-    known = touched.filter("customer_sk is not null")
-    untimed = events.filter("event_ts is null and customer_sk is not null").select("customer_sk").distinct()
-    opening = F.min(F.struct("event_ts", "event_id", F.col("session_id").isNull().alias("free")))
-    first = (
-        known.groupBy("customer_sk")
-        .agg(F.min(minute_index("event_ts")).alias("_since"), opening.alias("_first"))
-        .join(untimed.withColumn("_untimed", F.lit(True)), "customer_sk", "left")
-    )
-    named = known.filter("session_id is not null").select("customer_sk", "session_id").distinct()
-    number = F.substring_index("session_id", "_", -1).try_cast("bigint")
-    mine = (
-        sessions.join(first.select("customer_sk", "_since"), "customer_sk")
-        .join(named.withColumn("_named", F.lit(True)), ["customer_sk", "session_id"], "left")
-        .select(
-            "customer_sk",
-            minute_index("session_start").alias("_start"),
-            (F.col("_named") | (minute_index("session_end") >= F.col("_since") - gap_minutes)).alias("_affected"),
-            F.when(F.col("session_id") == _computed_id(number), number).alias("_number"),
-        )
-    )
-    earliest = mine.groupBy("customer_sk").agg(F.min(F.when(F.col("_affected"), F.col("_start"))).alias("_earliest"))
-    near = first.join(earliest, "customer_sk", "left").select(
-        "customer_sk",
-        F.least("_since", "_earliest").alias("_near"),
-        (F.col("_earliest").isNotNull() | ~F.col("_first.free")).alias("_attaches"),
-        (F.col("_untimed") | F.col("_since").isNull()).alias("_whole"),
-    )
-    # Of the sessions opened before: the last number, and the first minute it was seen on any device.
-    last = (
-        mine.filter("_number is not null")
-        .join(near, "customer_sk")
-        .filter("_start < _near")
-        .groupBy("customer_sk")
-        .agg(F.max(F.struct("_number", (-F.col("_start")).alias("_ago"))).alias("_last"))
-    )
-    reached = F.col("_attaches") & F.col("_last").isNotNull()
-    return near.join(last, "customer_sk", "left").select(
-        "customer_sk",
-        F.when(F.col("_whole"), F.lit(_FROM_START))
-        .when(reached, -F.col("_last._ago"))
-        .otherwise(F.col("_near"))
-        .alias("_cut"),
-        F.when(F.col("_whole") | F.col("_last").isNull(), F.lit(0))
-        .when(reached, F.greatest(F.col("_last._number") - 1, F.lit(0)))
-        .otherwise(F.col("_last._number"))
-        .alias("_base"),
-    )
-
-
-def anonymous_visits(sessions: DataFrame, touched: DataFrame) -> DataFrame:
-    """Sourced sessions of nobody that new events belong to, with the minute they began."""
-    visits = touched.filter("customer_sk is null and session_id is not null").groupBy("session_id").agg(
-        F.min(minute_index("event_ts")).alias("_since")
-    )
-    began = sessions.filter("customer_sk is null").groupBy("session_id").agg(
-        F.min(minute_index("session_start")).alias("_began")
-    )
-    return visits.join(began, "session_id", "left").select("session_id", F.least("_since", "_began").alias("_cut"))
-
-
-def refresh_sessions(
-    sessions: DataFrame,
-    events: DataFrame,
-    resume: DataFrame,
-    visits: DataFrame,
-    run_ts: Column,
-    gap_minutes: int = GAP_MINUTES,
-) -> DataFrame:
-    """Session table after new events, which ``events`` includes.
-
-    Customers are redone from their resume points and anonymous sourced sessions as a
-    whole; what they had from there on is replaced, so a late event that merges two
-    computed sessions leaves no stale one behind. ``events`` may leave out days before
-    the earliest cut less the gap.
-    """
-    columns = FACT_SESSIONS.fieldNames()
-    people = sessions.filter("customer_sk is not null").join(resume, "customer_sk", "left")
-    kept = people.filter(
-        F.col("_cut").isNull() | (F.coalesce(minute_index("session_start"), F.col("_cut")) < F.col("_cut"))
-    )
-    needed = _minute("event_ts") >= F.col("_cut") - (gap_minutes + 1)
-    recent = events.join(resume.select("customer_sk", "_cut"), "customer_sk").filter(needed).drop("_cut")
-    fresh = summarise_sessions(computed_sessions(recent, gap_minutes, resume), run_ts)
-    # A session that began before the cut and ended after it has not changed: its stored row stands.
-    whole = kept.filter("_cut is not null").select(
-        F.col("session_id").alias("_id"), F.col("customer_sk").alias("_sk"), F.col("device_type").alias("_device")
-    )
-    same = (
-        (F.col("session_id") == F.col("_id"))
-        & (F.col("customer_sk") == F.col("_sk"))
-        & F.col("device_type").eqNullSafe(F.col("_device"))
-    )
-    fresh = fresh.join(whole, same, "left_anti")
-    nobody = events.filter("customer_sk is null").join(visits.select("session_id"), "session_id", "left_semi")
-    fresh_nobody = summarise_sessions(computed_sessions(nobody, gap_minutes), run_ts)
-    kept_nobody = sessions.filter("customer_sk is null").join(visits.select("session_id"), "session_id", "left_anti")
-    parts = [kept.select(columns), fresh, kept_nobody.select(columns), fresh_nobody]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def session_steps(events: DataFrame, sourced_only: bool = False) -> DataFrame:
     """Which funnel steps each session reached, dated by its first event.
 

@@ -51,7 +51,7 @@ def clean_tables(wh: Warehouse) -> dict[str, DataFrame]:
 def served_tables(wh: Warehouse) -> dict[str, DataFrame]:
     snap = wh.served.snapshot()
     tables = {name: wh.served.read(name, snap) for name in wh.served.schemas}
-    return {**tables, "fact_events": wh.fact_events.rows(), "fact_sessions": wh.sessions.read("fact_sessions")}
+    return {**tables, "fact_events": wh.fact_events.rows(), "fact_sessions": wh.fact_sessions()}
 
 
 def pending_feeds(wh: Warehouse) -> dict[str, DataFrame]:

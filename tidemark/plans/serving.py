@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import facts, history, sales, sessions
+from tidemark.operators import facts, history, sales, session_days
 from tidemark.operators.upsert import insert_new, overwrite_by_key
 from tidemark.plans.warehouse import Warehouse
 from tidemark.sources.scratch import cut_lineage
@@ -111,40 +111,31 @@ def _refresh_sales(wh, table, replace, run_ts, as_of, days) -> None:
 
 
 def build_events(wh: Warehouse, events: DataFrame, batch: int, run_ts: Column) -> BuildResult:
-    """Append a batch of clean events to the fact, then redo the sessions of its people."""
+    """Append a batch of clean events to the fact, then redo the days of its people that it touches."""
     result = BuildResult("build_events")
     dim = wh.served.read("dim_customer")
     rows = facts.fact_events(_unserved(wh, events, batch), dim, run_ts)
     wh.fact_events.append(rows, batch)
     result.updated.append("fact_events")
     every = wh.fact_events.read()
-    touched = every.filter(F.col(BATCH) == batch).select("event_id", "event_ts", "customer_sk", "session_id")
+    touched = cut_lineage(session_days.touched_days(every.filter(F.col(BATCH) == batch)))
     if touched.isEmpty():
         return result
+    # Only the days that this batch has events of are read, and only their partitions are written.
+    days = [r[0] for r in touched.select("day").distinct().collect()]
+    events = every.drop(BATCH).filter(F.col("event_date").isin(days) | F.col("event_date").isNull())
     snap = wh.sessions.snapshot()
-    # A person's sessions share one bucket, so only the buckets of this batch's people change.
-    part = wh.sessions.layouts["fact_sessions"].part
-    buckets = {r[0] for r in touched.select(part).distinct().collect()}
-    stored = wh.sessions.read_stored("fact_sessions", snap, buckets).drop(BATCH)
-    resume = cut_lineage(sessions.resume_points(stored, every, touched))
-    visits = cut_lineage(sessions.anonymous_visits(stored, touched))
-    fresh = sessions.refresh_sessions(stored, _since_cuts(every, resume, visits).drop(BATCH), resume, visits, run_ts)
-    kept = {p: f for p, f in snap.folders.get("fact_sessions", {}).items() if p not in buckets}
-    written = wh.sessions.write("fact_sessions", _stamp(fresh, snap.next), snap.next)
-    wh.sessions.publish(snap, {"fact_sessions": {**kept, **written}}, {"fact_events": batch})
+    part = wh.sessions.layouts["session_days"].part
+    parts = {r[0] for r in touched.select(part).distinct().collect()}
+    kept = session_days.without_days(wh.sessions.read_stored("session_days", snap, parts), touched)
+    fresh = _stamp(session_days.fresh_days(events, touched, run_ts), snap.next)
+    listed = {p: f for p, f in snap.folders.get("session_days", {}).items() if p not in parts}
+    written = wh.sessions.write("session_days", kept.unionByName(fresh), snap.next)
+    wh.sessions.publish(snap, {"session_days": {**listed, **written}}, {"fact_events": batch})
     result.updated.append("fact_sessions")
     return result
 
 
-def _since_cuts(events: DataFrame, resume: DataFrame, visits: DataFrame) -> DataFrame:
-    """Events from the day before the earliest cut on, so that earlier days are not read."""
-    earliest = resume.select("_cut").unionAll(visits.select("_cut")).agg(F.min("_cut")).first()[0]
-    if earliest is None or earliest < 0:
-        return events
-    day = date(1970, 1, 1) + timedelta(minutes=earliest) - timedelta(days=1)
-    return events.filter((F.col("event_date") >= F.lit(day)) | F.col("event_date").isNull())
-
-
 def _unserved(wh: Warehouse, events: DataFrame, batch: int) -> DataFrame:
     """Events no earlier batch served. An event never changes, so only its own dates are searched."""
     first, last = events.agg(F.min(F.to_date("event_ts")), F.max(F.to_date("event_ts"))).first()

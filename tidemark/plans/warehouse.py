@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.operators.session_days import fold_days
 from tidemark.sources.tables import AppendLog, Layout, SnapshotTables, bucket_of, month_of
 
 SESSION_BUCKETS = 256
@@ -50,12 +51,13 @@ class Warehouse:
             },
         )
         self.fact_events = self._log("served_events/fact_events", schemas.FACT_EVENTS, Layout(sort=("event_date", "event_ts", "event_id")))
-        owner = F.coalesce(F.col("customer_sk").cast("string"), F.col("session_id"))
+        # A batch's people and days decide which of these partitions change.
+        bucket = F.concat(bucket_of("line", session_buckets), F.lit("."), month_of("day"))
         self.sessions = SnapshotTables(
             spark,
             f"{self.root}/served_events",
-            {"fact_sessions": schemas.FACT_SESSIONS},
-            {"fact_sessions": Layout(part=bucket_of(owner, session_buckets), sort=("session_start", "session_id"))},
+            {"session_days": schemas.SESSION_DAYS},
+            {"session_days": Layout(part=bucket, sort=("line", "day_first"))},
         )
         self.check_results = self._log("control/check_results", schemas.CHECK_RESULTS)
         self.audit = self._log("control/audit", schemas.AUDIT_LOG)
@@ -63,6 +65,10 @@ class Warehouse:
         self.suppressed_orders = self._log("control/suppressed_orders", schemas.SUPPRESSED_ORDERS)
         self.run_log = self._log("control/run_log", schemas.RUN_LOG)
 
+    def fact_sessions(self) -> DataFrame:
+        """Sessions folded from their stored parts."""
+        return fold_days(self.sessions.read("session_days"))
+
     def _log(self, path: str, schema: T.StructType, layout: Layout = Layout()) -> AppendLog:
         return AppendLog(self.spark, f"{self.root}/{path}", schema, layout)
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.expressions import change_hash
 from tidemark.functions.time import timestamp
-from tidemark.operators import erasure, facts, governance, history, quality, recon, sales, sessions, suppression
+from tidemark.operators import erasure, facts, governance, history, quality, recon, sales, session_days, sessions, suppression
 from tidemark.operators.asof import as_of_customer
 from tidemark.operators.cleaning import clean_rows
 from tidemark.operators.joins import left_join
@@ -282,10 +282,16 @@ def fact_sessions_incremental(star):
     """Sessions of the earlier events, refreshed with the later ones."""
     events = star.fact_events()
     earlier, later = events.filter(F.col("event_ts") < timestamp(SPLIT_AT)), events.filter(F.col("event_ts") >= timestamp(SPLIT_AT))
-    stored = sessions.fact_sessions(earlier, _run_ts())
-    touched = later.select("event_id", "event_ts", "customer_sk", "session_id")
-    resume, visits = sessions.resume_points(stored, events, touched), sessions.anonymous_visits(stored, touched)
-    return _joined_products(sessions.refresh_sessions(stored, events, resume, visits, _run_ts()))
+    stored = session_days.day_parts(earlier, _run_ts())
+    parts = session_days.redo_days(stored, events, session_days.touched_days(later), _run_ts())
+    return _joined_products(session_days.fold_days(parts))
+
+
+@register
+def session_day_parts(star):
+    """What each session had of each day, with the day's own numbering."""
+    parts = session_days.day_parts(star.fact_events(), _run_ts())
+    return parts.withColumn("products", F.array_join("products", ","))
 
 
 @register

@@ -262,6 +262,30 @@ FACT_SESSIONS = _schema(
     ("load_ts", TS),
 )
 
+#: What a session had of one day; see ``operators.session_days``.
+SESSION_DAYS = _schema(
+    ("line", STRING),
+    ("customer_sk", LONG),
+    ("day", DATE),
+    ("local", LONG),
+    ("session_id", STRING),
+    ("device_type", STRING),
+    ("session_start", TS),
+    ("session_end", TS),
+    ("page_views", LONG),
+    ("product_views", LONG),
+    ("add_to_carts", LONG),
+    ("checkouts_started", LONG),
+    ("purchases", LONG),
+    ("events", LONG),
+    ("products", T.ArrayType(STRING)),
+    ("day_first", LONG),
+    ("day_last", LONG),
+    ("day_free", BOOL),
+    ("day_opened", LONG),
+    ("load_ts", TS),
+)
+
 DAILY_SALES = _schema(
     ("order_date", DATE),
     ("total_orders", LONG),
