@@ -97,3 +97,54 @@ def test_sliced_windows_equal_plain_ones(spark):
             expected.append((k, at, mine[i - 1][2] if i else None, mine[i + 1][2] if i + 1 < len(mine) else None, total))
     got = [(r.k, r.at, r.before, r.after, r.total) for r in df.collect()]
     assert sorted(got, key=lambda r: r[:2]) == expected
+
+
+def _long_dim(spark, n):
+    """One customer whose ``n`` versions last a minute each, with gaps, and some others."""
+    at = F.lit(str(T0)).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id").cast("int") * 2)
+    hot = spark.range(n).select(
+        F.col("id").alias("customer_sk"), F.lit("hot").alias("customer_id"), at.alias("valid_from"),
+        (at + F.expr("interval 1 minute")).alias("valid_to"),
+    )
+    few = [(10**6 + i, f"c{i % 7}", T0 + timedelta(days=i), T0 + timedelta(days=i + 7 if i < 50 else 9999)) for i in range(57)]
+    few.append((10**7, "c1", T0 + timedelta(days=3), T0 + timedelta(days=1)))  # ends before it begins
+    return hot.unionByName(spark.createDataFrame(few, hot.schema))
+
+
+def _facts_over(spark, n):
+    at = F.lit(str(T0)).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("id").cast("int"))
+    who = F.when(F.col("id") % 11 == 0, F.lit(None)).when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 9))
+    return spark.range(n).select(
+        F.col("id").alias("f"), who.alias("who"), F.when(F.col("id") % 13 == 0, F.lit(None)).otherwise(at).alias("at"),
+        F.lit("taken").alias("valid_to"), F.lit("taken").alias("_month"),
+    )
+
+
+def test_merged_lookup_equals_the_join(spark):
+    dim, rows = _long_dim(spark, 300), _facts_over(spark, 1500)
+    far = rows.withColumn("at", F.col("at") + F.expr("interval 400 days"))  # months without versions
+    for probe in (rows, far, rows.unionByName(rows), rows.limit(0)):
+        want, got = (sorted(map(str, f(probe, dim, "who", "at").collect())) for f in (asof.as_of_customer, asof.as_of_merged))
+        assert want == got and len(got) == probe.count()
+    assert asof.lookup_for(dim) is asof.as_of_merged
+    assert asof.lookup_for(dim.filter("customer_id <> 'hot'")) is asof.as_of_customer
+    assert asof.as_of_merged(rows, dim.limit(0), "who", "at").filter("customer_sk is not null").isEmpty()
+
+
+def test_a_history_of_100000_versions_is_looked_up_in_linear_time(spark):
+    dim, rows = _long_dim(spark, 100_000), _facts_over(spark, 200_000)
+    found = asof.as_of_merged(rows, dim, "who", "at").filter("who = 'hot'")
+    minutes = F.col("f") % 2 == 0  # even minutes lie in a version, odd ones in a gap
+    wrong = found.filter("at is not null").filter(
+        ~F.when(minutes, F.col("customer_sk") == F.col("f") / 2).otherwise(F.col("customer_sk").isNull())
+    )
+    assert wrong.isEmpty() and found.count() > 100_000
+
+
+def test_overlapping_versions_give_one_row_per_fact(spark):
+    dim = spark.createDataFrame(
+        [(1, "a", T0, T0 + timedelta(days=9)), (2, "a", T0 + timedelta(days=2), T0 + timedelta(days=9))],
+        "customer_sk long, customer_id string, valid_from timestamp_ntz, valid_to timestamp_ntz",
+    )
+    rows = spark.createDataFrame([("a", T0 + timedelta(days=d)) for d in (0, 3, 9)], "who string, at timestamp_ntz")
+    assert [r.customer_sk for r in asof.as_of_merged(rows, dim, "who", "at").orderBy("at").collect()] == [1, 2, None]

@@ -115,6 +115,21 @@ def test_a_batch_of_one_customer_reads_and_writes_its_own_days(spark, tmp_path):
     assert re.search(r"PushedFilters: \[Or\(EqualTo\(event_date", text)
 
 
+def test_a_small_batch_leaves_orders_and_the_dimension_unshuffled(spark, large_tables, monkeypatch):
+    from tidemark.plans import serving
+
+    orders = spark.range(300_000).select(F.col("id").cast("string").alias("order_id"), (F.col("id") % 999).cast("string").alias("customer_id"))
+    batch = spark.createDataFrame([("7",), ("7",), ("x",), (None,)], "order_id string")
+    seen = []
+    keep = serving.cut_lineage
+    monkeypatch.setattr(serving, "cut_lineage", lambda df: (seen.append(plan(df)), keep(df))[1])
+    assert [r.customer_id for r in serving.named_by(batch, "order_id", orders).collect()] == ["7"]
+    assert re.search(r"BroadcastHashJoin [^\n]*LeftSemi, BuildRight", seen[-1]) and "Exchange hashpartitioning" not in seen[-1]
+    monkeypatch.setattr(serving, "SMALL_BATCH", 1)
+    assert serving.named_by(batch, "order_id", orders).count() == 1
+    assert "SortMergeJoin" in seen[-1] and "BroadcastHashJoin" not in seen[-1]
+
+
 def test_new_rows_are_found_without_shuffling_a_large_target(spark):
     target = spark.range(1_000_000).select(F.col("id").cast("string").alias("k"))
     batch = spark.createDataFrame([("5",), ("new",)], "k string")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import facts, history, sales, session_days
+from tidemark.operators.asof import lookup_for
 from tidemark.operators.upsert import insert_new, overwrite_by_key
 from tidemark.plans.warehouse import Warehouse
 from tidemark.sources.scratch import cut_lineage
@@ -37,6 +38,22 @@ def _newest_batch(snap: Snapshot, name: str) -> int | None:
     return max((batch_of(f) for f in snap.folders.get(name, {}).values()), default=None)
 
 
+#: Keys of a batch that may be sent whole to every task.
+SMALL_BATCH = 500_000
+
+
+def named_by(batch: DataFrame, column: str, table: DataFrame, key: str | None = None) -> DataFrame:
+    """The rows of a large table that a batch names, kept in the shared folder.
+
+    The batch's keys are counted; up to ``SMALL_BATCH`` of them are broadcast, so the table is streamed past them and not
+    shuffled. More of them meet the table by a shuffle.
+    """
+    key = key or column
+    keys = cut_lineage(batch.select(F.col(column).alias(key)).filter(F.col(key).isNotNull()).distinct())
+    few = keys.limit(SMALL_BATCH + 1).count() <= SMALL_BATCH
+    return cut_lineage(table.join(F.broadcast(keys) if few else keys, key, "left_semi").select(table.columns))
+
+
 def build_batch(
     wh: Warehouse,
     batch: int,
@@ -82,14 +99,16 @@ def build_batch(
         staged = history.stage_versions(customers, first_version_from)
         replace("dim_customer", history.apply_versions(table("dim_customer"), staged, run_ts))
     dim = table("dim_customer")
+    lookup = lookup_for(dim)
     orders, payments, returns = changed("orders"), changed("payments"), changed("returns")
     if orders is not None:
-        upsert("fact_orders", facts.fact_orders(orders, dim, run_ts), "order_id")
+        upsert("fact_orders", facts.fact_orders(orders, named_by(orders, "customer_id", dim), run_ts, lookup), "order_id")
     if payments is not None:
-        all_orders = wh.clean.read("orders", clean)
-        upsert("fact_payments", facts.fact_payments(payments, all_orders, dim, run_ts), "payment_id")
+        paid = named_by(payments, "order_id", wh.clean.read("orders", clean))
+        payers = named_by(paid, "customer_id", dim)
+        upsert("fact_payments", facts.fact_payments(payments, paid, payers, run_ts, lookup), "payment_id")
     if returns is not None:
-        upsert("fact_returns", facts.fact_returns(returns, dim, run_ts), "return_id")
+        upsert("fact_returns", facts.fact_returns(returns, named_by(returns, "customer_id", dim), run_ts, lookup), "return_id")
     if orders is not None or returns is not None:
         _refresh_sales(wh, table, replace, run_ts, as_of, days)
     if consumed:
@@ -114,7 +133,9 @@ def build_events(wh: Warehouse, events: DataFrame, batch: int, run_ts: Column) -
     """Append a batch of clean events to the fact, then redo the days of its people that it touches."""
     result = BuildResult("build_events")
     dim = wh.served.read("dim_customer")
-    rows = facts.fact_events(_unserved(wh, events, batch), dim, run_ts)
+    unserved = cut_lineage(_unserved(wh, events, batch))
+    people = named_by(unserved, "user_id", dim, "customer_id")
+    rows = facts.fact_events(unserved, people, run_ts, lookup_for(people))
     wh.fact_events.append(rows, batch)
     result.updated.append("fact_events")
     every = wh.fact_events.read()

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions.expressions import change_hash
 from tidemark.functions.time import timestamp
 from tidemark.operators import erasure, facts, governance, history, quality, recon, sales, session_days, sessions, suppression
-from tidemark.operators.asof import as_of_customer
+from tidemark.operators.asof import as_of_customer, as_of_merged
 from tidemark.operators.cleaning import clean_rows
 from tidemark.operators.joins import left_join
 from tidemark.operators.keys import assign_keys
@@ -231,6 +231,28 @@ def asof_events(star):
     return as_of_customer(star.events().select("event_id", "user_id", "event_ts"), star.dim_customer(), "user_id", "event_ts")
 
 
+@register
+def asof_merged_orders(star):
+    return as_of_merged(star.orders().select("order_id", "customer_id", "order_ts"), star.dim_customer(), "customer_id", "order_ts")
+
+
+@register
+def asof_merged_returns(star):
+    returned = star.returns().select("return_id", "customer_id", "return_ts")
+    return as_of_merged(returned, star.dim_customer(), "customer_id", "return_ts")
+
+
+@register
+def asof_merged_payments(star):
+    """Payment facts by the lookup for long histories."""
+    return facts.fact_payments(star.payments(), star.orders(), star.dim_customer(), _run_ts(), as_of_merged)
+
+
+@register
+def asof_merged_events(star):
+    return as_of_merged(star.events().select("event_id", "user_id", "event_ts"), star.dim_customer(), "user_id", "event_ts")
+
+
 @register
 def fact_orders(star):
     return facts.fact_orders(star.orders(), star.dim_customer(), _run_ts())
