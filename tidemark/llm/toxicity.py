@@ -48,7 +48,7 @@ BORDER = 1.0
 #: many letters is cut in all of them.
 PIECE = 64
 #: Words that are remembered while a task lasts; then it starts anew, which costs time and changes nothing.
-MOST = 200_000
+MOST = 300_000
 TRIM = ".,;:?\"'()[]{}…«»“”„`~^%&=/\\>-_#*"
 SPACED = re.compile(r"(?<!\S)(?:[\w@$!|+(<€£¡*#][ .\-_*]){2,}[\w@$!|+(<€£¡*#](?![^\s.,;:!?])")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
@@ -152,7 +152,7 @@ def _best(paths: dict[str, float]) -> dict[str, float]:
 
 
 def disguised(token: str) -> bool:
-    return bool(LETTER.search(token)) and bool(SYMBOL.search(token) or REPEATED.search(token))
+    return bool(SYMBOL.search(token) or REPEATED.search(token)) and bool(LETTER.search(token))
 
 
 def pieces(token: str) -> list[str]:
@@ -255,10 +255,14 @@ def toxic_features(sample: DataFrame, support: int = SUPPORT, least: int = LEAST
 
 
 class Scorer:
-    """Scores texts by learnt features; words are remembered while it lasts, which is one task."""
+    """Scores texts by learnt features; words are remembered while it lasts, which is one task.
+
+    Most words have no disguise and begin like no feature, which is seen at once.
+    """
 
     def __init__(self, weights: dict[str, dict[int, float]], model: np.ndarray):
         self.weights, self.model, self.known = weights, model, {}
+        self.starts = {f[:3] for f in weights}
 
     def _of(self, found: Iterator[str]) -> tuple[str, ...]:
         return tuple(dict.fromkeys(f for f in found if f in self.weights))
@@ -290,12 +294,17 @@ class Scorer:
     def text(self, text: str) -> float:
         small = text.lower()
         words = Counter(small.split())
-        known, found = self.known, {}
+        known, starts, stretched, found = self.known, self.starts, REPEATED.search(small), {}
         if len(known) > MOST:
             known.clear()
         for w in words:
             own = known.get(w)
             if own is None:
+                core = w.strip(TRIM)
+                plain = core.isascii() and core.isalpha() or not SYMBOL.search(core)
+                if plain and (core + "$")[:3] not in starts and not (stretched and REPEATED.search(core)):
+                    known[w] = ()
+                    continue
                 own = known[w] = self.word(w)
             for f in own:
                 found[f] = found.get(f, 0) + words[w]
