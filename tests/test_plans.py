@@ -115,6 +115,26 @@ def test_a_batch_of_one_customer_reads_and_writes_its_own_days(spark, tmp_path):
     assert re.search(r"PushedFilters: \[Or\(EqualTo\(event_date", text)
 
 
+def test_a_full_check_run_scans_every_table_once(spark, large_tables, tmp_path):
+    from tidemark.functions.time import timestamp
+    from tidemark.operators import quality
+
+    star = Star(spark, FOLDER)
+    made = {"customers": star.customers(), "orders": star.orders(), "payments": star.payments(), "returns": star.returns(),
+            "fact_orders": star.fact_orders(), "fact_payments": star.fact_payments(), "fact_events": star.fact_events(),
+            "dim_customer": star.dim_customer()}
+    tables = {}
+    for name, df in made.items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # paths in full
+    text = plan(quality.run_all(tables, tables, timestamp("2001-08-01 00:10:00"), stored={"orders": tables["orders"]}))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for name in made.keys() - {"dim_customer"}:
+        assert len(re.findall(rf"FileScan[^\n]*{tmp_path.name}/{name}\]", text)) == 1, name
+    assert text.count("Exchange hashpartitioning") <= 16
+
+
 def test_a_small_batch_leaves_orders_and_the_dimension_unshuffled(spark, large_tables, monkeypatch):
     from tidemark.plans import serving
 

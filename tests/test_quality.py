@@ -151,3 +151,58 @@ def test_reports(spark):
     headings = {r.check_category: r.total_checks for r in quality.summary(log).collect()}
     assert headings == {"Referential Integrity": 1, "Freshness & Volume": 1, "Dimension Integrity": 1, "Data Quality": 1}
     assert [r.check_name for r in quality.latest_results(log, 2).collect()] == ["b_volume", "a_fk"]
+
+
+def _key_tables(spark, seed):
+    """Four tables with missing, null and repeated keys, null amounts, and two order facts."""
+    rng = random.Random(seed)
+    some = lambda n, *more: rng.choice([str(rng.randrange(n)), *more])
+    cents = lambda: rng.choice([None, *(rng.randrange(0, 900) / 100 for _ in range(9))])
+    make = lambda rows, schema: spark.createDataFrame(rows, schema).repartition(3)
+    clean = {
+        "customers": make([(some(12, None),) for _ in range(9)], "customer_id string"),
+        "orders": make(
+            [(some(40, None), some(14, None), NOON - timedelta(hours=rng.randrange(50)), cents()) for _ in range(60)],
+            "order_id string, customer_id string, order_ts timestamp_ntz, total double",
+        ).selectExpr("order_id", "customer_id", "order_ts", "cast(total as decimal(10,2)) total"),
+        "payments": make([(some(99, None), some(50, None)) for _ in range(70)], "payment_id string, order_id string"),
+        "returns": make([(some(50, None), cents()) for _ in range(90)], "order_id string, refund_amount double").selectExpr(
+            "order_id", "cast(refund_amount as decimal(10,2)) refund_amount"
+        ),
+    }
+    served = {
+        "fact_orders": make([(rng.choice([1, None]),) for _ in range(rng.choice([60, 61, 90]))], "customer_sk long"),
+        "fact_payments": make([(rng.choice([-1.0, 5.0, None, 1e6]),) for _ in range(20)], "amount double"),
+    }
+    return clean, served
+
+
+def _statuses(df):
+    return sorted((r.check_name, r.status, r.observed_value, r.expected_value, r.details, r.check_ts) for r in df.collect())
+
+
+def test_masks_answer_what_each_check_answers(spark):
+    cases = [_key_tables(spark, seed) for seed in (1, 2)]
+    empty = tuple({n: df.limit(0) for n, df in tables.items()} for tables in cases[0])
+    for clean, served in [*cases, empty]:
+        orders, payments, returns, facts = clean["orders"], clean["payments"], clean["returns"], served["fact_orders"]
+        alone = [
+            quality.check_orders(orders, clock()), quality.check_orders_customer(orders, clean["customers"], clock()),
+            quality.check_payments_order(payments, orders, clock()), quality.check_returns_order(returns, orders, clock()),
+            quality.check_refund_size(returns, orders, clock()), quality.check_unpaid_orders(orders, payments, clock()),
+            quality.check_fact_orders(facts, clock()), quality.check_amounts(served["fact_payments"], clock()),
+            quality.check_layer_counts(orders, facts, clock()),
+        ]
+        want = sorted(row for df in alone for row in _statuses(df))
+        assert _statuses(quality.check_presence(clean, served, clock())) == want and len(want) == 13
+
+
+def test_event_checks_in_one_pass(spark):
+    for counts in ({0: 6, 1: 4, 3: 4}, {0: 7, 1: 4, 7: 4, 8: 100}, {1: 5}, {0: 5}, {}):
+        rows = [
+            (f"{d}-{i % 5}", NOON, date(2026, 3, 8) - timedelta(days=d), 1, None, "x", "y", None, NOON)
+            for d, n in counts.items() for i in range(n)
+        ]
+        events = spark.createDataFrame(rows, FACT_EVENTS)
+        want = _statuses(quality.check_event_volume(events, clock())) + _statuses(quality.check_event_ids(events, clock()))
+        assert _statuses(quality.check_events(events, clock())) == sorted(want)

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import ratio_pct, rounded_mean
@@ -93,17 +93,17 @@ def check_orders(orders: DataFrame, clock: Column) -> DataFrame:
         F.count_if(F.col("customer_id").isNull()).alias("no_customer"),
         F.count_distinct("order_id").alias("ids"),
     )
+    return _rows(measured, _order_results(clock), clock)
+
+
+def _order_results(clock: Column) -> list[Column]:
     n, age = F.col("n"), hours_between("newest", clock)
-    return _rows(
-        measured,
-        [
-            _result("orders_row_count", verdict(n > 0), n),
-            _result("orders_freshness_24h", verdict(age <= FRESH_HOURS), F.coalesce(F.col("newest").cast("string"), F.lit("NULL"))),
-            _result("orders_customer_id_not_null", verdict(F.col("no_customer") == 0), F.col("no_customer")),
-            _result("orders_unique_order_id", verdict(n == F.col("ids")), n),
-        ],
-        clock,
-    )
+    return [
+        _result("orders_row_count", verdict(n > 0), n),
+        _result("orders_freshness_24h", verdict(age <= FRESH_HOURS), F.coalesce(F.col("newest").cast("string"), F.lit("NULL"))),
+        _result("orders_customer_id_not_null", verdict(F.col("no_customer") == 0), F.col("no_customer")),
+        _result("orders_unique_order_id", verdict(n == F.col("ids")), n),
+    ]
 
 
 def _count_is_zero(
@@ -166,9 +166,11 @@ def check_fact_orders(fact_orders: DataFrame, clock: Column) -> DataFrame:
 
 
 def check_amounts(fact_payments: DataFrame, clock: Column) -> DataFrame:
-    amount = F.col("amount")
-    outside = fact_payments.filter((amount < AMOUNT_MIN) | (amount > AMOUNT_MAX))
-    return _count_is_zero("payment_amount_range", outside, clock)
+    return _count_is_zero("payment_amount_range", fact_payments.filter(_outside(F.col("amount"))), clock)
+
+
+def _outside(amount: Column) -> Column:
+    return (amount < AMOUNT_MIN) | (amount > AMOUNT_MAX)
 
 
 def check_event_volume(fact_events: DataFrame, clock: Column) -> DataFrame:
@@ -181,10 +183,13 @@ def check_event_volume(fact_events: DataFrame, clock: Column) -> DataFrame:
         F.coalesce(F.sum(F.when(~past, F.col("n"))), F.lit(0)).alias("now"),
         rounded_mean(F.sum(F.when(past, F.col("n"))), F.count_if(past), 10).alias("mean"),
     )
-    now, mean = F.col("now"), F.col("mean")
+    return _rows(measured, [_volume_result(F.col("now"), F.col("mean"))], clock)
+
+
+def _volume_result(now: Column, mean: Column) -> Column:
     status = F.when(mean == 0, "WARN").otherwise(verdict(F.try_divide(F.abs(now - mean), mean) <= VOLUME_TOLERANCE))
     expected = F.concat(F.round(mean, 0).cast("decimal(18,0)").cast("string"), F.lit(" (7d avg ± 50%)"))
-    return _rows(measured, [_result("event_volume_anomaly", status, now, expected)], clock)
+    return _result("event_volume_anomaly", status, now, expected)
 
 
 def check_layer_counts(orders: DataFrame, fact_orders: DataFrame, clock: Column) -> DataFrame:
@@ -193,11 +198,14 @@ def check_layer_counts(orders: DataFrame, fact_orders: DataFrame, clock: Column)
     measured = tagged.agg(
         F.count_if(F.col("clean") == 1).alias("clean"), F.count_if(F.col("clean") == 0).alias("served")
     )
-    clean, served = F.col("clean"), F.col("served")
+    return _rows(measured, [_layer_result(F.col("clean"), F.col("served"))], clock)
+
+
+def _layer_result(clean: Column, served: Column) -> Column:
     close = F.try_divide(F.abs(clean - served), clean) <= COUNT_TOLERANCE
     status = F.when((clean == 0) & (served == 0), "PASS").when(clean == 0, "WARN").otherwise(verdict(close))
     observed = F.concat(F.lit("silver="), clean.cast("string"), F.lit(", gold="), served.cast("string"))
-    return _rows(measured, [_result("gold_silver_order_count_recon", status, observed)], clock)
+    return _result("gold_silver_order_count_recon", status, observed)
 
 
 def overlapping_versions(dim: DataFrame) -> DataFrame:
@@ -245,9 +253,13 @@ def check_overlap(dim: DataFrame, clock: Column) -> DataFrame:
 
 def check_event_ids(fact_events: DataFrame, clock: Column) -> DataFrame:
     measured = fact_events.agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"))
+    return _rows(measured, [_event_id_result()], clock)
+
+
+def _event_id_result() -> Column:
     n, ids = F.col("n"), F.col("ids")
     observed = F.concat(F.lit("total="), n.cast("string"), F.lit(", distinct="), ids.cast("string"))
-    return _rows(measured, [_result("gold_events_unique_event_id", verdict(n == ids), observed)], clock)
+    return _result("gold_events_unique_event_id", verdict(n == ids), observed)
 
 
 # --- feeds and schemas -----------------------------------------------------------------------
@@ -307,6 +319,106 @@ def check_schemas(tables: dict[str, DataFrame], layer: str, clock: Column) -> Da
 # --- all together ----------------------------------------------------------------------------
 
 
+def _presence(
+    customers: DataFrame, orders: DataFrame, payments: DataFrame, returns: DataFrame, fact_orders: DataFrame, fact_payments: DataFrame
+) -> DataFrame:
+    """One row with all that the checks on keys, and on the order and payment facts, ask for.
+
+    Rows of the four tables are tagged and meet by key: customers and orders by customer id, orders, payments and returns
+    by order id. Which tables a key occurs in answers every check on keys at once, so each table is scanned once. Rows of
+    one key and amount are summed per task first; within a key refunds are then ranked among the order totals. The facts
+    come as one row of counts.
+    """
+    marks = ("customers", "orders", "payments", "paid", "returns", "ordered", "nobody", "served", "unkeyed", "outside")
+
+    def tagged(kind: str, key: str, amount: Column | None = None, newest: Column | None = None, **counts: Column) -> Column:
+        known = F.col(key).isNotNull()
+        return F.struct(
+            F.lit(kind).alias("kind"), F.col(key).alias("key"),
+            F.when(known, F.lit(None) if amount is None else amount).cast("decimal(20,4)").alias("amount"),
+            (F.lit(None).cast("timestamp_ntz") if newest is None else newest).alias("newest"),
+            *[counts.get(m, F.lit(0)).cast("bigint").alias(m) for m in marks],
+        )
+
+    one = F.lit(1)
+    by_order = tagged(
+        "order", "order_id", F.col("total"), F.col("order_ts"), orders=one, nobody=F.col("customer_id").isNull().cast("int")
+    )
+    nothing = F.lit(None).cast("string").alias("none")
+    counted = fact_orders.agg(
+        F.count("*").alias("served"), F.count_if(F.col("customer_sk").isNull()).alias("unkeyed"), nothing
+    ).select(tagged("fact", "none", served=F.col("served"), unkeyed=F.col("unkeyed")).alias("r"))
+    outside = fact_payments.agg(F.count_if(_outside(F.col("amount"))).alias("n"), nothing)
+    parts = [
+        customers.select(tagged("customer", "customer_id", customers=one).alias("r")),
+        orders.select(F.explode(F.array(tagged("customer", "customer_id", ordered=one), by_order)).alias("r")),
+        payments.select(
+            tagged("order", "order_id", payments=one, paid=F.col("payment_id").isNotNull().cast("int")).alias("r")
+        ),
+        returns.select(tagged("order", "order_id", F.col("refund_amount"), returns=one).alias("r")),
+        counted,
+        outside.select(tagged("fact", "none", outside=F.col("n")).alias("r")),
+    ]
+    keyed = reduce(DataFrame.unionByName, parts).select("r.*").groupBy("kind", "key", "amount")
+    summed = keyed.agg(F.max("newest").alias("newest"), *[F.sum(m).alias(m) for m in marks])
+    key = Window.partitionBy("kind", "key")
+    ranked = key.orderBy("amount")
+    priced = F.when(F.col("amount").isNotNull(), F.col("orders"))
+    seen = summed.select(
+        "*",
+        (F.row_number().over(ranked) == 1).alias("leads"),
+        F.coalesce(F.sum(priced).over(ranked.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("cheaper"),
+        *[(F.sum(m).over(key) > 0).alias(f"has_{m}") for m in ("customers", "orders", "paid")],
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    known, of_order = F.col("key").isNotNull(), F.col("kind") == "order"
+    without_order = of_order & ~(known & F.col("has_orders"))
+    return seen.agg(
+        total("orders").alias("n"),
+        F.max("newest").alias("newest"),
+        total("nobody").alias("no_customer"),
+        F.count_if(of_order & known & F.col("leads") & F.col("has_orders")).alias("ids"),
+        total(F.when(~(known & F.col("has_customers")), F.col("ordered"))).alias("strangers"),
+        total(F.when(without_order, F.col("payments"))).alias("lost_payments"),
+        total(F.when(without_order, F.col("returns"))).alias("lost_returns"),
+        total(F.when(known & F.col("amount").isNotNull(), F.col("returns") * F.col("cheaper"))).alias("refunds"),
+        total(F.when(of_order & ~(known & F.col("has_paid")), F.col("orders"))).alias("unpaid"),
+        *[total(m).alias(m) for m in ("served", "unkeyed", "outside")],
+    )
+
+
+def check_presence(clean: dict[str, DataFrame], served: dict[str, DataFrame], clock: Column) -> DataFrame:
+    """The checks on keys and on the order and payment facts, from one scan of each table."""
+    feeds = [clean[name] for name in ("customers", "orders", "payments", "returns")]
+    measured = _presence(*feeds, served["fact_orders"], served["fact_payments"])
+    zero = lambda name, column, otherwise="FAIL": _result(name, verdict(F.col(column) == 0, otherwise), F.col(column))
+    results = [
+        *_order_results(clock),
+        zero("orders_customer_fk", "strangers"),
+        zero("payments_order_fk", "lost_payments"),
+        zero("returns_order_fk", "lost_returns"),
+        zero("returns_refund_not_exceeding_order", "refunds"),
+        zero("orders_with_no_payment", "unpaid", "WARN"),
+        _result("gold_fact_orders_row_count", verdict(F.col("served") > 0), F.col("served")),
+        zero("fact_orders_customer_sk_not_null", "unkeyed"),
+        zero("payment_amount_range", "outside"),
+        _layer_result(F.col("n"), F.col("served")),
+    ]
+    return _rows(measured, results, clock)
+
+
+def check_events(fact_events: DataFrame, clock: Column) -> DataFrame:
+    """Volume and key uniqueness of the event fact, in one pass."""
+    today = clock.cast("date")
+    on = lambda back: F.count_if(F.col("event_date") == F.date_sub(today, back))
+    days = [on(back).alias(f"d{back}") for back in range(VOLUME_DAYS + 1)]
+    counted = fact_events.agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"), *days)
+    past = [F.col(f"d{back}") for back in range(1, VOLUME_DAYS + 1)]
+    met = reduce(Column.__add__, [(p > 0).cast("bigint") for p in past])
+    measured = counted.select("*", rounded_mean(F.nullif(reduce(Column.__add__, past), F.lit(0)), met, 10).alias("mean"))
+    return _rows(measured, [_volume_result(F.col("d0"), F.col("mean")), _event_id_result()], clock)
+
+
 def run_all(
     clean: dict[str, DataFrame],
     served: dict[str, DataFrame],
@@ -315,24 +427,14 @@ def run_all(
     pending: dict[str, DataFrame] | None = None,
     stored: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Result rows of every check, ready for one append.
+    """Result rows of every check, ready for one append. Every table is scanned once.
 
     ``stored`` and ``raw`` are the clean and raw tables with the columns their files have.
     """
-    orders, payments, returns = clean["orders"], clean["payments"], clean["returns"]
     parts = [
-        check_orders(orders, clock),
-        check_orders_customer(orders, clean["customers"], clock),
-        check_payments_order(payments, orders, clock),
-        check_returns_order(returns, orders, clock),
-        check_refund_size(returns, orders, clock),
-        check_unpaid_orders(orders, payments, clock),
-        check_fact_orders(served["fact_orders"], clock),
-        check_amounts(served["fact_payments"], clock),
-        check_event_volume(served["fact_events"], clock),
-        check_layer_counts(orders, served["fact_orders"], clock),
+        check_presence(clean, served, clock),
+        check_events(served["fact_events"], clock),
         check_overlap(served["dim_customer"], clock),
-        check_event_ids(served["fact_events"], clock),
         check_schemas(stored or clean, "silver", clock),
     ]
     if raw:
@@ -344,6 +446,7 @@ def run_all(
 
 def failure_row(spark, job: str, error: str, clock: Column) -> DataFrame:
     """The result row a job leaves behind when it fails and publishes nothing."""
+    # The texts of the row.
     rows = spark.createDataFrame([(job, error)], "job string, error string").select(
         F.concat("job", F.lit("_execution")).alias("check_name"),
         F.lit("FAIL").alias("status"),
@@ -388,6 +491,7 @@ def latest_status(results: DataFrame) -> DataFrame:
 
 def category(name: Column) -> Column:
     """Report heading of a check, by the first pattern its name matches."""
+    # The patterns and headings, in the order they are tried.
     return (
         F.when(name.like("stream_staleness%"), "Stream Health")
         .when(name.like("schema_drift%"), "Schema Drift")
