@@ -86,6 +86,12 @@ def suppression_rows(listed: DataFrame, people: DataFrame, requested_by: str, ru
     return conform(rows, SUPPRESSION_LIST)
 
 
+def not_audited(people: DataFrame, audit: DataFrame, request_id: str) -> DataFrame:
+    """People whom a request's audit does not name yet: all of them, unless its id is used again."""
+    named = audit.filter(F.col("request_id") == request_id).select("customer_id")
+    return people.join(named, "customer_id", "left_anti")
+
+
 def audit_rows(
     raw: dict[str, DataFrame],
     clean: dict[str, DataFrame],

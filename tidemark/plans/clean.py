@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import clean_rows
 from tidemark.operators.quality import failure_row
-from tidemark.operators.upsert import guarded_merge, insert_new, updated_or_loaded
+from tidemark.operators.upsert import guarded_merge, updated_or_loaded
 from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import BATCH_FEEDS, EVENTS, conform
+from tidemark.sources.scratch import cut_lineage
 from tidemark.sources.tables import BATCH
 
 
@@ -56,15 +57,17 @@ def merge_events(
 ) -> None:
     """Append a batch of raw events, each event id once across all batches.
 
-    A replayed batch must not see its own earlier rows, so only earlier batches count.
-    ``horizon_days`` bounds how far back a repeated id is looked for; None is exact.
+    Repeats are looked for in the index of event ids, opened only at the prefixes that the batch has. A replayed batch must
+    not see its own earlier rows, so only earlier batches count. ``horizon_days`` bounds how far back a repeated id is
+    looked for; None is exact.
     """
     try:
         rows = clean_rows(changes, EVENTS, wh.suppressed.rows(), wh.suppressed_orders.rows())
-        earlier = wh.clean_events.read().filter(F.col(BATCH) < batch)
-        if horizon_days is not None:
-            earlier = earlier.filter(F.col("load_ts") >= run_ts - F.lit(timedelta(days=horizon_days)))
-        wh.clean_events.append(conform(insert_new(earlier, rows, [EVENTS.key]), EVENTS.clean), batch)
+        rows = cut_lineage(conform(rows, EVENTS.clean))
+        since = None if horizon_days is None else run_ts - F.lit(timedelta(days=horizon_days))
+        wh.clean_events.append(wh.event_ids.unseen(rows, batch, since), batch)
+        # Ids follow their rows: a run that stops in between is replayed and adds them then.
+        wh.event_ids.add(wh.clean_events.read().filter(F.col(BATCH) == batch), batch)
     except Exception as error:
         wh.check_results.append_once(failure_row(wh.spark, "merge_silver_events", str(error), run_ts), str(uuid.uuid4()))
         raise

@@ -35,8 +35,9 @@ def erase_people(
 
     Suppression comes first, so nothing that arrives meanwhile brings a person back;
     the audit is written before rows go, so no deletion is without one. Every step may
-    run again: a request repeated under its id keeps what it first recorded, and one
-    under a new id records only what is new. ``batch`` is the caller's name for the run.
+    run again: a request repeated under its id keeps what it first recorded, one under its
+    id for other people records those, and one under a new id records only what is new.
+    ``batch`` is the caller's name for the run.
     """
     request_id = request_id or str(uuid.uuid4())
     raw, clean = _raw(wh), _clean(wh)
@@ -46,15 +47,14 @@ def erase_people(
     if known.isEmpty():
         raise UnknownPeopleError("no requested customer_id was found in any layer")
 
+    fresh = cut_lineage(erasure.not_audited(known, wh.audit.rows(), request_id))
     audit = cut_lineage(
-        erasure.audit_rows(raw, clean, dim, wh.suppressed.rows(), known, requested_by, run_ts, request_id)
+        erasure.audit_rows(raw, clean, dim, wh.suppressed.rows(), fresh, requested_by, run_ts, request_id)
     )
     doomed = cut_lineage(
         erasure.orders_of(raw["orders"], known).unionByName(erasure.orders_of(clean["orders"], known)).distinct()
     )
-    wh.suppressed.append_once(erasure.suppression_rows(wh.suppressed.rows(), known, requested_by, run_ts), request_id)
-    wh.suppressed_orders.append_once(doomed, request_id)
-    wh.audit.append_once(audit, request_id)
+    record_request(wh, known, doomed, audit, requested_by, run_ts, request_id)
 
     _remove(wh, known, doomed)
 
@@ -65,6 +65,20 @@ def erase_people(
     return request_id
 
 
+def record_request(
+    wh: Warehouse, people: DataFrame, doomed: DataFrame, audit: DataFrame, requested_by: str, run_ts: Column, request_id: str
+) -> None:
+    """Put people on the suppression list, remember their orders, and append the audit entries.
+
+    Entries are kept under the request and whom it is for, so the same id for other people does not find itself done.
+    """
+    mark = people.agg(F.count("*"), F.sum(F.xxhash64("customer_id").cast("decimal(38,0)"))).first()
+    key = f"{request_id}:{mark[0]}:{mark[1]}"
+    wh.suppressed.append_once(erasure.suppression_rows(wh.suppressed.rows(), people, requested_by, run_ts), key)
+    wh.suppressed_orders.append_once(doomed, key)
+    wh.audit.append_once(audit, key)
+
+
 def sweep_suppressed(wh: Warehouse, batch: int) -> None:
     """Remove what belongs to suppressed people though it was loaded before that could be known.
 

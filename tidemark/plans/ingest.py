@@ -43,16 +43,27 @@ def _without_suppressed(wh: Warehouse, feed: Feed, rejects: DataFrame, suppresse
 
 
 def ingest_feed(
-    wh: Warehouse, folder: str, feed: Feed, run_ts: Callable[[], Column], interval: str | None = None
+    wh: Warehouse,
+    folder: str,
+    feed: Feed,
+    run_ts: Callable[[], Column],
+    interval: str | None = None,
+    files_per_batch: int | None = None,
+    bytes_per_batch: str | None = None,
 ) -> StreamingQuery:
     """Start loading a feed's files. Spark's checkpoint remembers which were loaded.
 
-    Without ``interval`` the query loads what is there and stops.
+    Without ``interval`` the query loads what is there and stops. A backfill is loaded in as many micro-batches as the
+    limits ask for: ``files_per_batch``, or ``bytes_per_batch`` as in ``10g``; a file larger than that is loaded alone.
     """
+    if files_per_batch is not None and bytes_per_batch is not None:
+        raise ValueError("a micro-batch is limited by files or by bytes, not by both")
+    limits = {"maxFilesPerTrigger": files_per_batch, "maxBytesPerTrigger": bytes_per_batch}
+    limits = {name: str(value) for name, value in limits.items() if value is not None}
     if feed.append_only:
-        stream = landing.stream_json_variant(wh.spark, folder, feed)
+        stream = landing.stream_json_variant(wh.spark, folder, feed, limits)
     else:
-        stream = landing.stream_csv_text(wh.spark, folder, feed)
+        stream = landing.stream_csv_text(wh.spark, folder, feed, limits)
     writer = stream.writeStream.foreachBatch(_store(wh, feed, run_ts)).option(
         "checkpointLocation", wh.checkpoint(f"ingest_{feed.name}")
     )
@@ -60,16 +71,17 @@ def ingest_feed(
     return writer.trigger(**trigger).start()
 
 
-def ingest_batch(wh: Warehouse, folder: str, run_ts: Callable[[], Column]) -> dict[str, int | None]:
+def ingest_batch(wh: Warehouse, folder: str, run_ts: Callable[[], Column], **limits) -> dict[str, int | None]:
     """Load new files of the five CSV feeds; returns each feed's last batch number.
 
-    Orders are loaded before payments, which depend on the suppressed orders found.
+    Orders are loaded before payments, which depend on the suppressed orders found. ``limits`` are those of
+    :func:`ingest_feed`.
     """
     for feed in BATCH_FEEDS:
-        ingest_feed(wh, folder, feed, run_ts).awaitTermination()
+        ingest_feed(wh, folder, feed, run_ts, **limits).awaitTermination()
     return {feed.name: wh.raw[feed.name].last_batch() for feed in BATCH_FEEDS}
 
 
-def ingest_events(wh: Warehouse, folder: str, run_ts: Callable[[], Column]) -> int | None:
-    ingest_feed(wh, folder, FEEDS[EVENTS.name], run_ts).awaitTermination()
+def ingest_events(wh: Warehouse, folder: str, run_ts: Callable[[], Column], **limits) -> int | None:
+    ingest_feed(wh, folder, FEEDS[EVENTS.name], run_ts, **limits).awaitTermination()
     return wh.raw["events"].last_batch()

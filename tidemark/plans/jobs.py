@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.time import timestamp
 from tidemark.operators import quality
@@ -15,10 +17,16 @@ from tidemark.plans.ingest import ingest_batch, ingest_events
 from tidemark.plans.serving import build_batch
 from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import BATCH_FEEDS, RUN_LOG, conform
-from tidemark.sources.tables import BATCH
+from tidemark.sources.tables import BATCH, number_of
 from tidemark.streaming.events import clean_events_query, serve_events_query
 
 
+_ENTRY = (
+    "name string, state string, scheduled_time timestamp_ntz, completed_time timestamp_ntz, "
+    "run_id string, message string, error_message string"
+)
+
+
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -34,13 +42,33 @@ def logged(wh: Warehouse, name: str, batch: int, stage: Callable[[], object], no
         state, error = "FAILED", str(failure)
         raise
     finally:
-        rows = wh.spark.createDataFrame(
-            [(name, state, started, now(), f"{name}-{batch}", message, error)],
-            "name string, state string, scheduled_time timestamp_ntz, completed_time timestamp_ntz, "
-            "run_id string, message string, error_message string",
-        )
-        entry = wh.run_log.read().agg(F.coalesce(F.max(BATCH), F.lit(0))).first()[0] + 1
-        wh.run_log.append(conform(rows, RUN_LOG), entry)
+        rows = wh.spark.createDataFrame([(name, state, started, now(), f"{name}-{batch}", message, error)], _ENTRY)
+        wh.run_log.append(conform(rows, RUN_LOG), number_of(str(uuid.uuid4())))  # jobs may end together
+
+
+def logged_stream(
+    wh: Warehouse, name: str, batch: int, start: Callable[[], StreamingQuery], now: Callable[[], datetime] = utc_now
+) -> None:
+    """:func:`logged` for a query that stops by itself, with an entry per micro-batch: its rows and how long it took."""
+
+    def run() -> str:
+        query = start()
+        query.awaitTermination()
+        done = [p for p in query.recentProgress if p.numInputRows]
+        entries = [
+            (f"{name}_MICRO_BATCH", "SUCCEEDED", _zoneless(p.timestamp), _zoneless(p.timestamp, p.batchDuration),
+             f"{name}-{batch}-{p.batchId}", f"{p.numInputRows} rows", None)
+            for p in done
+        ]
+        if entries:
+            wh.run_log.append(conform(wh.spark.createDataFrame(entries, _ENTRY), RUN_LOG), number_of(str(uuid.uuid4())))
+        return f"{sum(p.numInputRows for p in done)} rows in {len(done)} micro-batches"
+
+    logged(wh, name, batch, run, now)
+
+
+def _zoneless(instant: str, later_ms: int = 0) -> datetime:
+    return datetime.fromisoformat(instant.replace("Z", "+00:00")).replace(tzinfo=None) + timedelta(milliseconds=later_ms)
 
 
 def clean_tables(wh: Warehouse) -> dict[str, DataFrame]:
@@ -103,5 +131,21 @@ def run_events(wh: Warehouse, landing: str, batch: int, now: Callable[[], dateti
     clock = timestamp(now())
     if logged(wh, "TASK_INGEST_EVENTS", batch, lambda: ingest_events(wh, landing, lambda: clock), now) is None:
         return  # no event has ever landed
-    logged(wh, "TASK_MERGE_SILVER_EVENTS", batch, lambda: clean_events_query(wh, lambda: clock).awaitTermination(), now)
-    logged(wh, "TASK_BUILD_GOLD_EVENTS", batch, lambda: serve_events_query(wh, lambda: clock).awaitTermination(), now)
+    logged_stream(wh, "TASK_MERGE_SILVER_EVENTS", batch, lambda: clean_events_query(wh, lambda: clock), now)
+    logged_stream(wh, "TASK_BUILD_GOLD_EVENTS", batch, lambda: serve_events_query(wh, lambda: clock), now)
+
+
+def merge_all(wh: Warehouse, batch: int, now: Callable[[], datetime] = utc_now) -> None:
+    """Both merges by one call, for runs by hand: the batch feeds, then the events."""
+    clock = timestamp(now())
+    logged(wh, "MERGE_SILVER_BATCH", batch, lambda: merge_batch(wh, batch, clock), now)
+    if wh.raw["events"].last_batch() is not None:
+        logged_stream(wh, "MERGE_SILVER_EVENTS", batch, lambda: clean_events_query(wh, lambda: clock), now)
+
+
+def build_all(wh: Warehouse, batch: int, as_of: date | None = None, now: Callable[[], datetime] = utc_now, **options) -> None:
+    """Both builds by one call, for runs by hand."""
+    clock = timestamp(now())
+    logged(wh, "BUILD_GOLD_BATCH", batch, lambda: build_batch(wh, batch, clock, as_of or now().date(), **options), now)
+    if wh.clean_events.last_batch() is not None:
+        logged_stream(wh, "BUILD_GOLD_EVENTS", batch, lambda: serve_events_query(wh, lambda: clock), now)

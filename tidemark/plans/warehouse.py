@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators.session_days import fold_days
+from tidemark.sources.id_index import IdIndex
 from tidemark.sources.tables import AppendLog, Layout, SnapshotTables, bucket_of, month_of
 
 SESSION_BUCKETS = 256
@@ -30,6 +31,7 @@ class Warehouse:
             },
         )
         self.clean_events = self._log("clean/events", schemas.EVENTS.clean, Layout(bloom=("user_id", "session_id")))
+        self.event_ids = IdIndex(spark, f"{self.root}/clean/event_ids", schemas.EVENTS.key)
         self.served = SnapshotTables(
             spark,
             f"{self.root}/served",

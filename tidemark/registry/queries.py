@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import suppress
 from dataclasses import replace
 from functools import reduce
 
@@ -14,16 +16,22 @@ from tidemark.functions.expressions import change_hash
 from tidemark.functions.time import timestamp
 from tidemark.operators import erasure, facts, governance, history, quality, recon, sales, session_days, sessions, suppression
 from tidemark.operators.asof import as_of_customer, as_of_merged
+from tidemark.operators.changes import change_images
 from tidemark.operators.cleaning import clean_rows
 from tidemark.operators.joins import left_join
 from tidemark.operators.keys import assign_keys
-from tidemark.operators.latest import latest_by_key, snapshot_as_of
+from tidemark.operators.latest import latest_by_key, post_images, snapshot_as_of
 from tidemark.operators.upsert import guarded_merge, guarded_upsert, insert_new, overwrite_by_key, updated_or_loaded
+from tidemark.plans.erase import record_request
+from tidemark.plans.ingest import ingest_feed
+from tidemark.plans.jobs import logged
+from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import EVENTS, FACT_EVENTS, FACT_ORDERS, FEEDS, ORDERS, conform
 from tidemark.sources import landing
+from tidemark.sources.id_index import IdIndex
 from tidemark.sources.scratch import new_folder
 from tidemark.sources.star import EVENTS_AS_OF, ORDERS_AS_OF, RUN_TS, Star
-from tidemark.sources.tables import AppendLog, Layout, write_parquet
+from tidemark.sources.tables import BATCH, AppendLog, Layout, write_parquet
 from tidemark.streaming import bounded
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +131,39 @@ def insert_only_dedup(star):
     return _text_payload(insert_new(stored, batch, ["event_id"]).select(*EVENTS.clean.fieldNames()))
 
 
+@register
+def insert_only_indexed(star):
+    """The same through an index of ids, opened only at the prefixes that the batch has."""
+    index = IdIndex(star.spark, new_folder(star.spark, "ids"), "event_id", prefixes=16)
+    index.add(star.events().filter(F.col("event_ts") < timestamp(SPLIT_AT)), 0)
+    nobody = star.suppressed().filter("1 = 0")
+    batch = clean_rows(_events_twice(star), EVENTS, nobody, nobody)
+    return _text_payload(index.unseen(batch).select(*EVENTS.clean.fieldNames()))
+
+
+@register
+def change_images_orders(star):
+    """What changed between the orders and a later state: every third gone, some changed, some new."""
+    number = F.col("order_id").cast("bigint")
+    later = star.orders().filter(number % 3 != 0).withColumns(
+        {
+            "status": F.when(number % 3 == 1, F.lit("CHANGED")).otherwise(F.col("status")),
+            "total": F.when(number % 5 == 0, F.lit(None)).otherwise(F.col("total")),
+        }
+    )
+    added = star.orders().filter(number % 7 == 0).withColumn("order_id", F.concat(F.lit("N"), "order_id"))
+    return change_images(star.orders(), later.unionByName(added), ["order_id"])
+
+
+@register
+def merge_change_images(star):
+    """Orders merged with change images of which the old ones and the deletions are passed over."""
+    number = F.col("order_id").cast("bigint")
+    later = star.orders().filter(number % 3 != 0).withColumn("status", F.when(number % 3 == 1, "CHANGED").otherwise(F.col("status")))
+    images = post_images(change_images(star.orders(), later, ["order_id"]), "order_id")
+    return overwrite_by_key(star.orders(), images, ["order_id"])
+
+
 @register
 def clean_events(star):
     batch = clean_rows(_events_twice(star), EVENTS, star.suppressed(), star.suppressed())
@@ -540,6 +581,26 @@ def dq_alert(star):
     return quality.alert(star.check_log(), _clock(), minutes=60 * 24 * 7)
 
 
+@register
+def job_run_log(star):
+    """The log that four jobs left which ran at the same time; each counts a table, and one fails."""
+    wh = Warehouse(star.spark, new_folder(star.spark, "runs"))
+
+    def work(name: str) -> None:
+        def count() -> str:
+            n = star.table(name).count()
+            if name == "region":
+                raise RuntimeError(f"{n} rows are too few")
+            return f"{n} rows"
+
+        with suppress(RuntimeError):
+            logged(wh, f"TASK_{name.upper()}", 1, count)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(work, ("orders", "customer", "events", "region")))
+    return wh.run_log.rows().select("name", "state", "run_id", "message", "error_message")
+
+
 @register
 def recent_runs(star):
     return quality.recent_runs(star.run_log(), timestamp(EVENT_CLOCK)).drop("message")
@@ -646,6 +707,23 @@ def suppression_list(star):
     return erasure.suppression_rows(listed, star.suppressed(), "tester", _run_ts())
 
 
+@register
+def erase_replay(star):
+    """Who is on the list and in the audit after a request came three times under one id: for some, for all, for all again."""
+    wh = Warehouse(star.spark, new_folder(star.spark, "replay"))
+    layer, dim = _layer(star), star.dim_customer()
+    people = erasure.requests(star.suppressed())
+    for asked in (people.filter("cast(customer_id as bigint) % 2 = 0"), people, people):
+        fresh = erasure.not_audited(asked, wh.audit.rows(), "r1")
+        audit = erasure.audit_rows(layer, layer, dim, wh.suppressed.rows(), fresh, "tester", _run_ts(), "r1")
+        record_request(wh, asked, suppression.orders_of(star.orders(), asked), audit, "tester", _run_ts(), "r1")
+    entries = wh.audit.rows().groupBy("customer_id").agg(
+        F.count("*").alias("entries"), F.sum("rows_affected").alias("rows_affected")
+    )
+    listed = wh.suppressed.rows().groupBy("customer_id").agg(F.count("*").alias("listed"))
+    return listed.join(entries, "customer_id", "full_outer")
+
+
 @register
 def erase_found(star):
     """Requested people who are known, from a request list with blanks and strangers."""
@@ -700,6 +778,21 @@ def csv_row_numbers(star):
     return numbered.agg(F.sum("n").alias("order_rows"), F.bool_and(sound).alias("dense"))
 
 
+@register
+def csv_ingest_in_batches(star):
+    """Ten order files loaded three at a time by a query that stops when all are in; with the number of micro-batches."""
+    root = new_folder(star.spark, "batches")
+    stamp = "yyyy-MM-dd'T'HH:mm:ss"
+    text = star.orders().select(
+        *[F.date_format(c, stamp).alias(c) if c in ("order_ts", "updated_at") else F.col(c).cast("string") for c in ORDERS.columns]
+    )
+    text.repartition(10).write.option("header", True).csv(f"{root}/landing")
+    wh = Warehouse(star.spark, f"{root}/warehouse")
+    ingest_feed(wh, f"{root}/landing", _any_file(ORDERS), _run_ts, files_per_batch=3).awaitTermination()
+    batches = wh.raw["orders"].read().select(BATCH).distinct().count()
+    return wh.raw["orders"].rows().select(*ORDERS.columns, "ingestion_ts", F.lit(batches).alias("batches"))
+
+
 @register
 def json_ingest_events(star):
     """Events written as JSON lines and loaded back by key path."""

@@ -61,9 +61,9 @@ def read_csv_text(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     return reader.option("pathGlobFilter", feed.file_glob).csv(path).select(*feed.columns, *_file_position(path))
 
 
-def stream_csv_text(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
+def stream_csv_text(spark: SparkSession, path: str, feed: Feed, limits: dict[str, str] | None = None) -> DataFrame:
     """Streaming form of :func:`read_csv_text`: each file is delivered once."""
-    reader = _csv_options(spark.readStream.schema(_text_schema(feed))).option("maxFileAge", ANY_AGE)
+    reader = _csv_options(spark.readStream.schema(_text_schema(feed))).option("maxFileAge", ANY_AGE).options(**(limits or {}))
     stream = reader.option("pathGlobFilter", feed.file_glob).csv(path)
     return stream.select(*feed.columns, _file_in(path), F.col("_metadata.file_block_start").alias("_block"))
 
@@ -74,9 +74,9 @@ def read_json_variant(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     return reader.json(path).select("v", *_file_position(path))
 
 
-def stream_json_variant(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
+def stream_json_variant(spark: SparkSession, path: str, feed: Feed, limits: dict[str, str] | None = None) -> DataFrame:
     """Streaming form of :func:`read_json_variant`: each file is delivered once."""
-    reader = spark.readStream.option("singleVariantColumn", "v").option("maxFileAge", ANY_AGE)
+    reader = spark.readStream.option("singleVariantColumn", "v").option("maxFileAge", ANY_AGE).options(**(limits or {}))
     lines = reader.option("pathGlobFilter", feed.file_glob).json(path)
     return lines.select("v", _file_in(path), F.col("_metadata.file_block_start").alias("_block"))
 
