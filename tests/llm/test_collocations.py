@@ -92,7 +92,7 @@ def test_collocations(spark, corpus, edge, none):
     want = plain([(r[2], r[1]) for r in rows], 6)
     assert len(want) > 100 and max(len(w[2].split()) for w in want) == 5
     for shard in (co.SHARD, 300, 1):
-        assert got(co.collocations(df, least=6, shard=shard)) == want, shard
+        assert got(co.collocations(df, least=6, shard=shard, few=0 if shard == 300 else co.FEW)) == want, shard
     assert got(co.collocations(df, least=6, top=7)) == plain([(r[2], r[1]) for r in rows], 6, top=7)
     for table, least in ((corpus, 12), (edge, 3)):
         pairs = [(r.lang, r.text) for r in table.select("lang", "text").collect()]

@@ -12,7 +12,7 @@ and one-word extensions on either side are known without reading texts again.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import slices, stored
 
 LEAST, LONGEST, TOP = 100, 5, 2000
-#: Words of a shard: texts are added until it has as many.
-SHARD = 2_000_000
-#: Frequent phrases that may be sent whole to every task; more of them are joined by shuffling.
-BROADCAST_ROWS = 500_000
+#: Words of a shard, whose index one task holds: texts are added until it has as many.
+SHARD = 8_000_000
+#: Frequent phrases, and a quarter of the shards' phrases, that may be sent whole to every task; more meet by a shuffle.
+FEW = 500_000
 #: Marks the border of a piece; this byte is in no UTF-8 text.
 BORDER = b"\xff"
 #: Characters that end a piece become line feeds.
@@ -42,12 +42,15 @@ def _unpacked(data: bytes, n: int, kind) -> np.ndarray:
     return np.frombuffer(pa.decompress(data, n * np.dtype(kind).itemsize, codec="zstd"), kind) if n else np.zeros(0, kind)
 
 
-def _shards(docs: DataFrame, text_col: str, lang_col: str, shard: int) -> DataFrame:
-    """``shard, lang, n, length, ids, words, counts``: local numbers of a shard's words, 0 for borders, and its words."""
+def _pieces(docs: DataFrame, text_col: str, lang_col: str, shard: int) -> DataFrame:
+    """``piece, lang, n, length, ids, words, counts``: local numbers of a task's words, 0 for borders, and its words.
+
+    A task hands on the words of a language once there is a shard of them, and what is left at its end.
+    """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held = TaskContext.get().partitionId() << 32, 0
+        number = TaskContext.get().partitionId() << 32
 
         def fresh():
             words = defaultdict()
@@ -55,21 +58,22 @@ def _shards(docs: DataFrame, text_col: str, lang_col: str, shard: int) -> DataFr
             words[BORDER]
             return words, []
 
-        open_: dict[str, tuple] = defaultdict(fresh)
+        open_, held = defaultdict(fresh), Counter()
 
         def out(lang: str) -> pa.RecordBatch:
             nonlocal number
             words, parts = open_.pop(lang)
+            held.pop(lang)
             ids = np.concatenate(parts)
             counts = np.bincount(ids, minlength=len(words))
             number += 1
-            names = [w.decode("utf-8", "replace") for w in words if w is not BORDER and w != BORDER]
+            names = [w.decode("utf-8", "replace") for w in words if w != BORDER]
             columns = [
                 pa.array([number], pa.int64()), pa.array([lang], pa.string()), pa.array([int(counts[1:].sum())], pa.int64()),
                 pa.array([len(ids)], pa.int64()), pa.array([_packed(ids)], pa.binary()),
                 pa.array([names], pa.list_(pa.string())), pa.array([counts[1:]], pa.list_(pa.int64())),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["shard", "lang", "n", "length", "ids", "words", "counts"])
+            return pa.RecordBatch.from_arrays(columns, ["piece", "lang", "n", "length", "ids", "words", "counts"])
 
         for batch in slices(batches, "text", 2 << 20):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
@@ -78,18 +82,24 @@ def _shards(docs: DataFrame, text_col: str, lang_col: str, shard: int) -> DataFr
                     found = text.lower().translate(PIECES).replace(b"\n", b" \xff ").split()
                     found.append(BORDER)
                     parts.append(np.fromiter(map(words.__getitem__, found), np.int32, len(found)))
-                    held += len(found)
-                if held >= shard:
-                    for name in list(open_):
-                        yield out(name)
-                    held = 0
+                    held[lang] += len(found)
+                    if held[lang] >= shard or held.total() >= 2 * shard:
+                        yield out(max(held, key=held.get))
         for name in list(open_):
             yield out(name)
 
-    kind = "shard long, lang string, n long, length long, ids binary, words array<string>, counts array<long>"
+    kind = "piece long, lang string, n long, length long, ids binary, words array<string>, counts array<long>"
     return rows.mapInArrow(work, kind)
 
 
+def _shards(pieces: DataFrame, shard: int) -> DataFrame:
+    """``piece, shard``: pieces of a language put together until a shard has its words. There are few pieces per task."""
+    before = Window.partitionBy("lang").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.floor(F.coalesce(F.sum("length").over(before), F.lit(0)) / shard)
+    placed = pieces.select("piece", "lang", place.alias("place"))
+    return placed.select("piece", F.min("piece").over(Window.partitionBy("lang", "place")).alias("shard"))
+
+
 def transform(symbols: np.ndarray, depth: int) -> np.ndarray:
     """The symbol before each place, places sorted by their next ``depth`` symbols (at least); it goes round at the end."""
     key, known = symbols.astype(np.int64), 1
@@ -135,42 +145,71 @@ def inside(at: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.where((k >= 0) & (at < begin[found] + size[found]), found, -1)
 
 
-_PLACES = "array<struct<id: long, lo: long, rlo: long, size: long>>"
+#: Phrases alive in a shard and where their intervals begin, in packed pieces of ``n`` phrases each.
+_FIELDS = ("id", "lo", "rlo", "size")
+_PACKED = "struct<n: long, id: binary, lo: binary, rlo: binary, size: binary>"
+
 
+def _pack(columns: list[np.ndarray]) -> pa.StructArray:
+    arrays = [pa.array([_packed(c.astype(np.int64))], pa.binary()) for c in columns]
+    return pa.StructArray.from_arrays([pa.array([len(columns[0])], pa.int64()), *arrays], ["n", *_FIELDS])
 
-def _indexed(shards: DataFrame, frequent: DataFrame, local: DataFrame, longest: int) -> DataFrame:
+
+def _unpack(packed: pa.StructArray) -> list[np.ndarray]:
+    sizes = packed.field("n").to_pylist()
+    return [
+        np.concatenate([np.zeros(0, np.int64), *(_unpacked(p, n, np.int64) for p, n in zip(packed.field(f).to_pylist(), sizes))])
+        for f in _FIELDS
+    ]
+
+
+def _indexed(pieces: DataFrame, shard_of: DataFrame, frequent: DataFrame, local: DataFrame, longest: int) -> DataFrame:
     """``shard, length, symbols, forward, backward, alive`` of every shard that has a frequent word.
 
     ``alive`` has a shard's frequent words with their intervals, which are the same in both directions.
     """
     known = local.join(frequent.select("lang", "word", "id"), ["lang", "word"])
-    known = known.groupBy("shard").agg(F.collect_list(F.struct("at", "id")).alias("known"))
-    rows = shards.select("shard", "length", "ids").join(known, "shard")
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                shard, length, data = (batch.column(c)[k].as_py() for c in range(3))
-                words = batch.column(3)[k].values
-                at, ids = (words.field(f).to_numpy() for f in range(2))
-                order = np.argsort(ids)
-                names = np.zeros(int(at.max()) + 2, np.int32)
-                names[at[order] + 1] = np.arange(1, len(at) + 1)
-                text = _unpacked(data, length, np.int32)
-                text = np.concatenate(([0], np.where(text < len(names), names[np.minimum(text, len(names) - 1)], 0), [0])).astype(np.int32)
-                text = text[(text > 0) | np.concatenate(([True], text[:-1] > 0))]
-                counts = np.bincount(text, minlength=len(at) + 1)
-                begin = (np.cumsum(counts) - counts)[1:]
-                alive = pa.StructArray.from_arrays([pa.array(x.astype(np.int64)) for x in (ids[order], begin, begin, counts[1:])], ["id", "lo", "rlo", "size"])
-                columns = [
-                    pa.array([shard], pa.int64()), pa.array([len(text)], pa.int64()), pa.array([len(at)], pa.int64()),
-                    pa.array([_packed(transform(text, longest - 1))], pa.binary()),
-                    pa.array([_packed(transform(text[::-1], longest - 1))], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array([0, len(alive)], pa.int32()), alive),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "length", "symbols", "forward", "backward", "alive"])
-
-    return rows.mapInArrow(work, f"shard long, length long, symbols long, forward binary, backward binary, alive {_PLACES}")
+    # One row per piece. Both sides of the cogroup need columns of their own.
+    known = known.join(F.broadcast(shard_of), "piece").select(*(F.col(c).alias(c) for c in ("shard", "piece", "at", "id")))
+    texts = pieces.select("piece", "length", "ids").join(F.broadcast(shard_of), "piece")
+
+    def work(key, texts: pa.Table, known: pa.Table) -> pa.Table:
+        kind = _INDEX_TYPES
+        if not known.num_rows:
+            return kind.empty_table()
+        of_piece, at, ids = (known.column(c).to_numpy() for c in ("piece", "at", "id"))
+        symbols = np.unique(ids)
+        parts = [np.zeros(1, np.int32)]
+        for piece, length, data in sorted(zip(*(texts.column(c).to_pylist() for c in ("piece", "length", "ids")))):
+            mine = of_piece == piece
+            names = np.zeros(int(at[mine].max(initial=-1)) + 2, np.int32)
+            names[at[mine] + 1] = np.searchsorted(symbols, ids[mine]) + 1
+            text = _unpacked(data, length, np.int32)
+            parts += [np.where(text < len(names), names[np.minimum(text, len(names) - 1)], 0).astype(np.int32), np.zeros(1, np.int32)]
+        text = np.concatenate(parts)
+        text = text[(text > 0) | np.concatenate(([True], text[:-1] > 0))]
+        counts = np.bincount(text, minlength=len(symbols) + 1)
+        begin = (np.cumsum(counts) - counts)[1:]
+        packed = _pack([symbols, begin, begin, counts[1:]])
+        columns = [
+            pa.array([key[0].as_py()], pa.int64()), pa.array([len(text)], pa.int64()), pa.array([len(symbols)], pa.int64()),
+            pa.array([_packed(transform(text, longest - 1))], pa.binary()),
+            pa.array([_packed(transform(text[::-1], longest - 1))], pa.binary()),
+            pa.ListArray.from_arrays(pa.array([0, 1], pa.int32()), packed),
+        ]
+        return pa.Table.from_arrays(columns, schema=kind)
+
+    grouped = texts.groupBy("shard").cogroup(known.groupBy("shard"))
+    kind = f"shard long, length long, symbols long, forward binary, backward binary, alive array<{_PACKED}>"
+    return grouped.applyInArrow(work, kind)
+
+
+_INDEX_TYPES = pa.schema(
+    [
+        ("shard", pa.int64()), ("length", pa.int64()), ("symbols", pa.int64()), ("forward", pa.binary()), ("backward", pa.binary()),
+        ("alive", pa.list_(pa.struct([("n", pa.int64()), *((f, pa.binary()) for f in _FIELDS)]))),
+    ]
+)
 
 
 def _longer(index: DataFrame, right: bool) -> DataFrame:
@@ -181,8 +220,7 @@ def _longer(index: DataFrame, right: bool) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 shard, length, symbols, data = (batch.column(c)[k].as_py() for c in range(4))
-                places = batch.column(4)[k].values
-                ids, lo, rlo, size = (places.field(f).to_numpy() for f in range(4))
+                ids, lo, rlo, size = _unpack(batch.column(4)[k].values)
                 at, other = (rlo, lo) if right else (lo, rlo)
                 phrase, _, new_at, new_other, count = extended(_unpacked(data, length, np.int32), at, size, other, symbols)
                 met = inside(new_at, at, size)
@@ -190,10 +228,52 @@ def _longer(index: DataFrame, right: bool) -> DataFrame:
                 own, beyond = ids[phrase[keep]], ids[met[keep]]
                 head, tail = (own, beyond) if right else (beyond, own)
                 starts = (new_other[keep], new_at[keep]) if right else (new_at[keep], new_other[keep])
-                arrays = [pa.array(x.astype(np.int64)) for x in (np.full(len(head), shard), head, tail, count[keep], *starts)]
+                arrays = [pa.array(x.astype(np.int64)) for x in (np.full(len(head), shard), head, tail)]
+                arrays += [pa.array(x.astype(np.int32)) for x in (count[keep], *starts)]
                 yield from pa.Table.from_arrays(arrays, ["shard", "head", "tail", "size", "lo", "rlo"]).to_batches(100_000)
 
-    return rows.mapInArrow(work, "shard long, head long, tail long, size long, lo long, rlo long")
+    return rows.mapInArrow(work, "shard long, head long, tail long, size int, lo int, rlo int")
+
+
+def _alive(rows: DataFrame, sums: DataFrame, few: bool) -> DataFrame:
+    """``shard, alive``: of a shard's phrases those that are frequent over all shards, packed.
+
+    A bounded number of frequent phrases is sent to all tasks, which look up what they read; more meet it by a shuffle.
+    """
+    if few:
+        table = sums.select("head", "tail", "id").toArrow()
+        heads, tails, names = (table.column(c).to_numpy() for c in ("head", "tail", "id"))
+        some_heads, some_tails = np.unique(heads), np.unique(tails)
+        key = np.searchsorted(some_heads, heads) * len(some_tails) + np.searchsorted(some_tails, tails)
+        order = np.argsort(key)
+        shared = rows.sparkSession.sparkContext.broadcast((some_heads, some_tails, key[order], names[order]))
+    else:
+        rows = rows.join(sums.select("head", "tail", "id"), ["head", "tail"])
+
+    def named(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Which rows stay, and their ids."""
+        if not few:
+            return np.arange(batch.num_rows), batch.column("id").to_numpy()
+        some_heads, some_tails, key, names = shared.value
+        head, tail = batch.column("head").to_numpy(), batch.column("tail").to_numpy()
+        h = np.minimum(np.searchsorted(some_heads, head), len(some_heads) - 1)
+        t = np.minimum(np.searchsorted(some_tails, tail), len(some_tails) - 1)
+        wanted = h * len(some_tails) + t
+        k = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+        hit = np.flatnonzero((some_heads[h] == head) & (some_tails[t] == tail) & (key[k] == wanted))
+        return hit, names[k[hit]]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit, ids = named(batch)
+            shard, size, lo, rlo = (batch.column(c).to_numpy()[hit] for c in ("shard", "size", "lo", "rlo"))
+            for own in np.unique(shard):
+                mine = shard == own
+                packed = _pack([ids[mine], lo[mine], rlo[mine], size[mine]])
+                yield pa.RecordBatch.from_arrays([pa.array([own], pa.int64()), packed], ["shard", "alive"])
+
+    packed = rows.mapInArrow(work, f"shard long, alive {_PACKED}")
+    return packed.groupBy("shard").agg(F.collect_list("alive").alias("alive"))
 
 
 def phrases(
@@ -203,19 +283,21 @@ def phrases(
     least: int = LEAST,
     longest: int = LONGEST,
     shard: int = SHARD,
+    few: int = FEW,
 ) -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to ``longest`` words that occur ``least`` times in a language, and ``lang, n`` words in all.
 
     Phrases are ``id, lang, words, f, heads, tails, head, tail``: ``heads`` has the counts of the first 1, 2, ... words,
     ``tails`` of the last, up to the whole; ``head`` and ``tail`` are the ids of the phrase without its last and first word.
     """
-    shards = stored(_shards(docs, text_col, lang_col, shard), "shards")
-    totals = shards.groupBy("lang").agg(F.sum("n").alias("n"))
-    local = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
-    local = local.select("shard", "lang", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    pieces = stored(_pieces(docs, text_col, lang_col, shard), "pieces")
+    totals = pieces.groupBy("lang").agg(F.sum("n").alias("n"))
+    local = pieces.select("piece", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
+    local = local.select("piece", "lang", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     often = local.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     often = stored(often.withColumn("id", F.monotonically_increasing_id()), "frequent-words")
-    index = stored(_indexed(shards, often, local, longest), "word-indexes")
+    shard_of = stored(_shards(pieces, shard), "shards")
+    index = stored(_indexed(pieces, shard_of, often, local, longest), "word-indexes")
     none = F.lit(None).cast("long")
     one = often.select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("head"), none.alias("tail"))
     found, level, alive = [one], one, index
@@ -236,10 +318,9 @@ def phrases(
         level = stored(level, f"phrases-of-{words}-named")
         found.append(level)
         if words < longest:
-            mine = sums.select("head", "tail", "id")
-            kept = rows.join(F.broadcast(mine) if n <= BROADCAST_ROWS else mine, ["head", "tail"])
-            kept = kept.groupBy("shard").agg(F.collect_list(F.struct("id", "lo", "rlo", "size")).alias("alive"))
-            alive = index.drop("alive").join(kept, "shard")
+            kept = stored(_alive(rows, sums, n <= few), f"alive-phrases-of-{words}")
+            held = kept.select(F.explode("alive.n").alias("n")).agg(F.sum("n")).first()[0] or 0
+            alive = index.drop("alive").join(F.broadcast(kept) if held <= 4 * few else kept, "shard")
     out = found[0]
     for part in found[1:]:
         out = out.unionByName(part)
@@ -254,6 +335,7 @@ def collocations(
     longest: int = LONGEST,
     top: int = TOP,
     shard: int = SHARD,
+    few: int = FEW,
 ) -> DataFrame:
     """The first ``top`` phrases of every language: ``lang, rank, phrase, a, l, r, n, score``.
 
@@ -264,7 +346,7 @@ def collocations(
     longer holds it and occurs as often. Order: score, then ``a``, falling, then the phrase in bytes. Null and empty texts
     have no words. Repeated rows count each. An empty table gives no rows. Only text and language are read.
     """
-    every, totals = phrases(docs, text_col, lang_col, least, longest, shard)
+    every, totals = phrases(docs, text_col, lang_col, least, longest, shard, few)
     longer = every.filter(F.size("words") > 2)
     whole = F.element_at("heads", -1)
     size = F.size("words")  # an id is unique among phrases of its size
