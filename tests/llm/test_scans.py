@@ -124,6 +124,47 @@ def test_canonical_headers(spark):
     assert {r.doc_id: (r.licenses, r.n_sentences) for r in got} == want
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+%s
+THIS SOFTWARE IS PROVIDED BY %s "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED."""
+ENDORSE = """3. Neither the name of the University of Somewhere, Department of Things nor the
+   names of its contributors may be used to endorse or promote products derived
+   from this software without specific prior written permission.
+"""
+LIBRARY = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version %s of the License, or (at your option) any later version."""
+AFFERO = GPL.split("\n\n")[0].replace("GNU General", "GNU Affero General")
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+
+
+def test_more_licences(spark):
+    cases = [
+        (BSD % (ENDORSE, "THE REGENTS AND CONTRIBUTORS"), ["BSD-3-Clause"]), (BSD % ("", "Some Body, Inc."), ["BSD-2-Clause"]),
+        (LIBRARY % "2.1", ["LGPL-2.1-or-later"]), (LIBRARY % "3", ["LGPL-3.0-or-later"]), (AFFERO % (":", ",", 3), ["AGPL-3.0-or-later"]),
+        (ISC, ["ISC"]), ("Licensed under the GNU GPL v3.0.", ["GPL-3.0-only"]), ("Licensed under the GNU AGPL v3.0", ["AGPL-3.0-only"]),
+        ("// SPDX-License-Identifier: Apache-2.0\nint x;", ["Apache-2.0"]), ("/* SPDX-License-Identifier: LGPL-2.1-or-later */", ["LGPL-2.1-or-later"]),
+        ("x = 1\n# SPDX-License-Identifier: MIT\n", ["MIT"]),
+        ("Released under the MIT License" + " \t" * 9000 + ".", ["MIT"]), ("/*" + "*" * 5000 + "\nAll rights reserved.", ["All-Rights-Reserved"]),
+    ]
+    df = spark.createDataFrame([(n, text) for n, (text, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(df).collect()}
+    assert got == {n: want for n, (_, want) in enumerate(cases)}
+
+
 def plain_counts(text):
     words = WORD.findall(text or "")
     windows = [tuple(words[n : n + 5]) for n in range(len(words) - 4)]

@@ -102,7 +102,8 @@ def exact_groups(
     numbered, identities = block_identities(texts, block, block_hash)
     rows = stored(numbered.join(identities, "rid"), "identities")
     newest = F.max(F.struct("doc_id", "rid")).alias("keep")
-    groups = rows.groupBy("level", "name").agg(newest, F.count(F.lit(1)).alias("group_size"))
+    # Written, so that both sides of the join are plain shuffles: adaptive execution then splits a group of very many copies.
+    groups = stored(rows.groupBy("level", "name").agg(newest, F.count(F.lit(1)).alias("group_size")), "copy-groups")
     return rows.join(groups, ["level", "name"]).select(
         "doc_id",
         F.col("keep.doc_id").alias("keep_id"),

@@ -8,6 +8,7 @@ the known sentences are a literal map, so no rows are moved.
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -60,6 +61,10 @@ SENTENCES = {
         "licensed under the gnu general public license version 3",
         "licensed under the gnu gpl version 3",
         "released under the gnu general public license version 3",
+        "licensed under the gnu general public license v3 0",
+        "released under the gnu general public license v3 0",
+        "licensed under the gnu gpl v3 0",
+        "licensed under the gnu gpl v3",
     ],
     "gpl2_notice": [
         "this work is licensed under the gnu general public license version 2",
@@ -96,6 +101,54 @@ SENTENCES = {
     ],
     "gpl_hope": ["this program is distributed in the hope that it will be useful but without any warranty"],
     "gpl_implied": ["without even the implied warranty of merchantability or fitness for a particular purpose"],
+    "lgpl_free": ["this library is free software"],
+    "lgpl_terms": [
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+        "the free software foundation",
+    ],
+    "agpl_terms": [
+        "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by "
+        "the free software foundation",
+    ],
+    "lgpl_terms_21": [
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+        "the free software foundation either version 2 1 of the license or at your option any later version",
+    ],
+    "lgpl_terms_3": [
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+        "the free software foundation either version 3 of the license or at your option any later version",
+    ],
+    "agpl_terms_3": [
+        "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by "
+        "the free software foundation either version 3 of the license or at your option any later version",
+    ],
+    "gpl_either_21": ["either version 2 1 of the license or at your option any later version"],
+    "lgpl21_notice": [
+        "licensed under the gnu lesser general public license version 2 1",
+        "licensed under the gnu lgpl version 2 1",
+        "licensed under the gnu lgpl v2 1",
+    ],
+    "lgpl3_notice": [
+        "licensed under the gnu lesser general public license version 3",
+        "licensed under the gnu lesser general public license v3 0",
+        "licensed under the gnu lgpl version 3",
+        "licensed under the gnu lgpl v3 0",
+        "licensed under the gnu lgpl v3",
+    ],
+    "agpl3_notice": [
+        "licensed under the gnu affero general public license version 3",
+        "licensed under the gnu affero general public license v3 0",
+        "licensed under the gnu agpl version 3",
+        "licensed under the gnu agpl v3 0",
+        "licensed under the gnu agpl v3",
+    ],
+    "isc_grant": [
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+        "permission to use copy modify and distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+    ],
+    "isc_notice": ["licensed under the isc license", "released under the isc license", "isc license"],
     "bsd_notice": ["licensed under the bsd license", "use of this source code is governed by a bsd style license"],
     "bsd_grant": [
         "redistribution and use in source and binary forms with or without modification are permitted provided that the "
@@ -113,6 +166,11 @@ SENTENCES = {
         "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
         "products derived from this software without specific prior written permission",
     ],
+    "bsd_disclaimer": [
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties "
+        "including but not limited to the implied warranties of merchantability and fitness for a particular purpose are "
+        "disclaimed",
+    ],
     "mpl2_notice": [
         "this source code form is subject to the terms of the mozilla public license v 2 0",
         "licensed under the mozilla public license version 2 0",
@@ -133,6 +191,18 @@ SENTENCES = {
     "cc0": ["licensed under cc0 1 0", "this work is dedicated to the public domain"],
     "all_rights": ["all rights reserved"],
 }
+#: Names that a line "SPDX-License-Identifier: ..." may state; fixed values.
+SPDX = (
+    "Apache-2.0", "MIT", "ISC", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only",
+    "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause",
+    "BSD-3-Clause", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "Unlicense", "Zlib",
+)
+SENTENCES |= {f"spdx_{n}": [re.sub("[^a-z0-9]+", " ", f"spdx license identifier {n}".lower())] for n in SPDX}
+#: Where a known sentence names somebody, whoever it is: what is looked up instead; fixed values.
+NAMED = (
+    (r"^neither the names? of .{1,300}? nor the names of (?:its|their|any) contributors", "neither the name of the copyright holder nor the names of its contributors"),
+    (r"^this software is provided by .{1,300}? as is and any express", "this software is provided by the copyright holders and contributors as is and any express"),
+)
 #: Ordered rules: a licence, and the identifiers that must follow each other, others in between allowed; fixed values.
 RULES = (
     ("Apache-2.0", ("apache2_notice", "apache2_compliance", "apache2_copy", "apache2_basis")),
@@ -154,7 +224,20 @@ RULES = (
     ("GPL-2.0-or-later", ("gpl_free", "gpl_terms", "gpl_either_2")),
     ("GPL-3.0-only", ("gpl3_notice",)),
     ("GPL-2.0-only", ("gpl2_notice",)),
+    ("LGPL-2.1-or-later", ("lgpl_free", "lgpl_terms", "gpl_either_21")),
+    ("LGPL-2.1-or-later", ("lgpl_free", "lgpl_terms_21")),
+    ("LGPL-3.0-or-later", ("lgpl_free", "lgpl_terms", "gpl_either_3")),
+    ("LGPL-3.0-or-later", ("lgpl_free", "lgpl_terms_3")),
+    ("AGPL-3.0-or-later", ("gpl_free", "agpl_terms", "gpl_either_3")),
+    ("AGPL-3.0-or-later", ("gpl_free", "agpl_terms_3")),
+    ("LGPL-2.1-only", ("lgpl21_notice",)),
+    ("LGPL-3.0-only", ("lgpl3_notice",)),
+    ("AGPL-3.0-only", ("agpl3_notice",)),
+    ("ISC", ("isc_grant",)),
+    ("ISC", ("isc_notice",)),
+    ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse", "bsd_disclaimer")),
     ("BSD-3-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse")),
+    ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_disclaimer")),
     ("BSD-2-Clause", ("bsd_grant", "bsd_source", "bsd_binary")),
     ("BSD", ("bsd_notice",)),
     ("MPL-2.0", ("mpl2_notice",)),
@@ -163,16 +246,17 @@ RULES = (
     ("CC-BY-4.0", ("cc_by_4",)),
     ("CC0-1.0", ("cc0",)),
     ("All-Rights-Reserved", ("all_rights",)),
+    *((name, (f"spdx_{name}",)) for name in SPDX),
 )
-#: A stop followed by white space, but not that of "v. 2.0".
-STOP = r"(?<![^\p{L}\p{N}][vV])[.!?:;]+[\x20\x09-\x0D]+"
+#: A stop followed by white space, but not that of "v. 2.0" or "SPDX-License-Identifier: ...".
+STOP = r"(?<![^\p{L}\p{N}][vV])(?<!License-Identifier)[.!?:;]+[\x20\x09-\x0D]+"
 #: Where a sentence ends: after a stop, and at a line's end.
 SENTENCE_END = STOP + r"|[\n\r]+"
 #: The same for texts whose sentences run over line ends: a line without letters and digits (empty, or a comment's mark)
 #: ends one, a single line end does not.
 WRAPPED_END = STOP + r"|\n[^\p{L}\p{N}\n]*\n+"
-#: Longest normalised sentence that is looked up; none that is known is longer.
-LONGEST = max(len(s) for known in SENTENCES.values() for s in known)
+#: Longest known sentence, and by how much a name within may lengthen it; longer normalised sentences are not known.
+LONGEST, SLOT = max(len(s) for known in SENTENCES.values() for s in known), 300
 #: A document is read sentence by sentence only if it holds one of these words; each known sentence holds one.
 HINT = r"(?i)licen[cs]e|permission|redistribut|warrant|copyright|rights reserved|noninfringement|public domain|cc0|free software"
 
@@ -185,11 +269,19 @@ def normalised(sentence: Column) -> Column:
 def sentence_ids(text: Column, end: str) -> Column:
     """The identifiers of a text's known sentences, in order."""
     known = F.create_map(*chain.from_iterable((F.lit(s), F.lit(k)) for k, own in SENTENCES.items() for s in own))
-    short = F.filter(F.split(text, end), lambda s: F.length(s).between(3, 4 * LONGEST))
-    found = F.transform(short, lambda s: F.try_element_at(known, normalised(s)))
+    plain = F.filter(F.transform(F.split(text, end), normalised), lambda s: F.length(s).between(3, LONGEST + SLOT))
+    found = F.transform(plain, lambda s: F.try_element_at(known, _unnamed(s)))
     return F.filter(found, lambda k: k.isNotNull())
 
 
+def _unnamed(sentence: Column) -> Column:
+    """A sentence with the holder that it names replaced by the usual words."""
+    for pattern, usual in NAMED:
+        start = pattern.split(" .{")[0].lstrip("^").replace("names?", "name")
+        sentence = F.when(sentence.startswith(start), F.regexp_replace(sentence, pattern, usual)).otherwise(sentence)
+    return sentence
+
+
 def _pattern(ids: tuple[str, ...]) -> tuple[str, str]:
     """A rule as an expression over a sequence, and what replaces a match: used sentences are struck out, others stay."""
     first, *rest = ids

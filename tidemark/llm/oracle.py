@@ -13,7 +13,7 @@ ORACLE = {
             SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
             FROM documents),
         per AS (
-            SELECT source, sum(size)::BIGINT AS source_size,
+            SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS class,
                    [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS w
             FROM s GROUP BY source),
         run AS (
@@ -28,22 +28,29 @@ ORACLE = {
                    (total - taken_up)::DOUBLE / (all_w - w_before)::DOUBLE AS level
             FROM run),
         aimed AS (
-            SELECT source, source_size,
+            SELECT source, source_size, class,
                    CASE WHEN capped THEN (source_size * 3)::DOUBLE
                         ELSE (SELECT arg_min(level, source_size / w) FROM marked m WHERE NOT m.capped) * w END AS target
             FROM marked),
         run_docs AS (
-            SELECT s.doc_id, s.size, a.source_size, a.target,
+            SELECT s.doc_id, s.size, a.source_size, a.target, a.class,
                    sum(s.size) OVER (PARTITION BY s.source
                                      ORDER BY ('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, '')), 1, 15))::BIGINT,
                                               s.doc_id, s.size
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size AS start,
                    CASE WHEN a.source_size > 0 THEN floor(a.target / a.source_size)::BIGINT ELSE 0 END AS whole
-            FROM s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source)
-        SELECT doc_id, size, source_size, target,
-               size * (whole + CASE WHEN (2 * start + size)::DOUBLE < 2 * (target - whole * source_size)
-                                    THEN 1 ELSE 0 END)::BIGINT AS taken
-        FROM run_docs""",
+            FROM s JOIN aimed a ON s.source IS NOT DISTINCT FROM a.source),
+        passed AS (
+            SELECT *, whole + CASE WHEN (2 * start + size)::DOUBLE < 2 * (target - whole * source_size) THEN 1 ELSE 0 END AS passes,
+                   least(greatest(coalesce((start + size / 2) / nullif(target, 0), 0), 0), 1)::DOUBLE AS u
+            FROM run_docs)
+        SELECT doc_id, size, source_size, target, (size * passes)::BIGINT AS taken,
+               CASE WHEN passes > 0 THEN round(least(1.0::DOUBLE, CASE class
+                   WHEN 0 THEN u * 2 / (1.5 + sqrt(greatest(2.25 - 2 * u, 0)))
+                   WHEN 1 THEN u
+                   ELSE CASE WHEN u < 0.375 THEN u * 2 / (0.5 + sqrt(0.25 + 2 * u))
+                             ELSE 0.5 + (u - 0.375) * 2 / (1 + sqrt(1 + 2 * (u - 0.375))) END END), 9) END AS position
+        FROM passed""",
     "op11_phrase_collocations": r"""
         WITH pieces AS (
             SELECT coalesce(lang, 'und') AS lang,

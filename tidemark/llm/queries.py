@@ -32,7 +32,8 @@ def exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(_documents(spark, folder)).drop("position")
+    mixed = mixing.mix(_documents(spark, folder))
+    return mixed.withColumn("position", F.round("position", 9))
 
 
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
