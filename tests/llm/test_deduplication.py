@@ -144,33 +144,107 @@ def test_connected(spark):
     assert connected(df.limit(0)).count() == 0
 
 
-def plain_repeats(pairs, least=repeats.LEAST_WORDS):
+def plain_units(text, least):
+    """Units worked out anew: lines, paragraphs, and runs of sentences from each sentence on."""
+    size = lambda s: max(len(s.split()), len(s.strip()) // repeats.WIDE_WORD)
+    sentences, at = [], 0
+    for line in text.split("\n"):
+        for m in re.finditer(r"\S.*?(?:[.!?]+(?=\s|$)|$)", line):
+            sentences.append((at + m.start(), at + m.start() + len(m[0].rstrip())))
+        at += len(line) + 1
+    spans = set()
+    for n in range(len(sentences)):
+        total, k = 0, n
+        while k < len(sentences) and total < least:
+            total += size(text[slice(*sentences[k])])
+            k += 1
+        if total >= least:
+            spans.add((sentences[n][0], sentences[k - 1][1]))
+    for pattern in (r"[^\n]+", r"(?:[^\n]*\S[^\n]*(?:\n|$))+"):
+        for m in re.finditer(pattern, text):
+            start, end = m.start() + len(m[0]) - len(m[0].lstrip()), m.start() + len(m[0].rstrip())
+            if start < end and size(text[start:end]) >= least:
+                spans.add((start, end))
+    return {(a, b, " ".join(text[a:b].split()).lower()) for a, b in spans}
+
+
+def plain_removed(pairs, least=repeats.LEAST_WORDS):
+    """Per document the positions that go, and what stays of each unit."""
     met = defaultdict(list)
-    for doc_id, text in pairs:
-        for start, end, words, digest in repeats.units(text or "", least):
-            met[digest].append((doc_id is None, doc_id, start, end, words))
-    out = Counter()
+    for n, (doc_id, text) in enumerate(pairs):
+        for start, end, words in plain_units(text or "", least):
+            met[words].append(((doc_id is None, doc_id or 0, n, start), n, start, end))
+    out = defaultdict(set)
     for found in met.values():
-        found.sort(key=lambda x: (x[0], x[1] or 0, x[2]))
-        for _, doc_id, start, end, words in found[1:]:
-            out[(doc_id, start, end, words, found[0][1], found[0][2])] += 1
+        for _, n, start, end in sorted(found)[1:]:
+            out[n].update(range(start, end))
     return out
 
 
-def test_repeated_units(edge, corpus, none):
-    for df in (corpus.select("doc_id", "text").unionByName(edge.select("doc_id", "text")), edge):
-        pairs = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
-        assert Counter(rows(repeats.repeated_units(df))) == plain_repeats(pairs)
+def removed(df):
+    got = defaultdict(set)
+    for r in repeats.repeated_units(df).collect():
+        got[r.doc_id].update(range(r.start, r.end))
+    return got
+
+
+def solid(text, places):
+    """Positions that are not white space: joined spans may differ in the space between units."""
+    return {p for p in places if not text[p].isspace()}
+
+
+def test_repeated_units(spark, edge, corpus, none):
+    pairs = [(r.doc_id, r.text) for r in corpus.select("doc_id", "text").orderBy("doc_id").collect()]
+    want, got = plain_removed(pairs), removed(corpus)
+    for n, (doc_id, text) in enumerate(pairs):
+        assert solid(text or "", got.get(doc_id, ())) == solid(text or "", want.get(n, ())), doc_id
+    rows_ = repeats.repeated_units(edge).collect()
+    # One row of documents 1, 2, 2 keeps nothing that is long enough; 5, 6 and 7 share all but the last sentence.
+    assert {r.doc_id for r in rows_} == {5, 6, 7} and all(r.keep_id == 5 for r in rows_)
     assert repeats.repeated_units(none).count() == 0
 
 
+def test_spans_are_joined_and_apart(corpus):
+    per = defaultdict(list)
+    for r in repeats.repeated_units(corpus).collect():
+        per[r.doc_id].append((r.start, r.end))
+    for spans in per.values():
+        spans.sort()
+        assert all(a < b for a, b in spans) and all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_repeated_passages_are_covered_and_others_left(spark):
+    """Words in 50-word windows that an earlier document holds, and documents that share no 20 words with another."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = removed(docs)
+    first, covered, total = {}, 0, 0
+    shared = defaultdict(set)
+    for doc_id in sorted(texts):
+        words = [(m.start(), m[0].lower()) for m in re.finditer(r"\S+", texts[doc_id])]
+        marked = set()
+        for n in range(len(words) - 49):
+            key = hash(tuple(w for _, w in words[n : n + 50]))
+            if first.setdefault(key, doc_id) != doc_id:
+                marked.update(range(n, n + 50))
+        total += len(marked)
+        covered += sum(words[n][0] in got[doc_id] for n in marked)
+        for n in range(len(words) - 15):
+            shared[hash(tuple(w for _, w in words[n : n + 16]))].add(doc_id)
+    assert total > 1000 and covered >= 0.9 * total
+    alone = set(texts) - {d for ids in shared.values() if len(ids) > 1 for d in ids}
+    own = {d for d in alone if len({w for w in re.findall(r"\S+", texts[d])}) > 0.8 * len(texts[d].split())}
+    assert len(own) > 100 and not any(got[d] for d in own)
+
+
 def test_a_passage_within_lines_is_found(spark):
-    passage = "Every word of this passage is here twice. It was put into the middle of other lines by somebody."
+    passage = "Every word of this passage is here twice. So. It was put into the middle of other lines by somebody who had time."
     rows_ = [(1, f"A first line of its own with words. {passage} And more.", "en", "a"),
-             (2, f"Something else\nbefore it. {passage}", "en", "a"), (3, "Nothing here is the same as elsewhere at all.", "en", "a")]
+             (2, f"Something else\nbefore it. {passage}", "en", "a"), (3, "Nothing here is the same as elsewhere at all.", "en", "a"),
+             (4, "文" * 300, "zh", "a"), (5, "文" * 300, "zh", "a")]
     docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string, source string")
-    found = repeats.repeated_units(docs).collect()
-    assert {r.doc_id for r in found} == {2} and {r.keep_id for r in found} == {1}
+    found = {r.doc_id: r for r in repeats.repeated_units(docs).collect()}
+    assert found.keys() == {2, 5} and found[2].keep_id == 1 and (found[5].start, found[5].end) == (0, 300)
     text = rows_[1][1]
-    assert repeats.without_spans(text, [(r.start, r.end) for r in found]) == "Something else\nbefore it."
-    assert " ".join(text[r.start : r.end] for r in sorted(found, key=lambda r: r.start)) == passage
+    assert repeats.without_spans(text, [(found[2].start, found[2].end)]) == "Something else\nbefore it."
+    assert text[found[2].start : found[2].end] == passage

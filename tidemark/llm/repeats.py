@@ -1,9 +1,10 @@
-"""Substring deduplication by hashing of lines and the sentences within them.
+"""Substring deduplication by hashing of lines, paragraphs and runs of neighbouring sentences.
 
-A unit is a sentence, or what a line holds of one; a passage that was pasted into the middle of a line is found by the
-sentences it is made of. Units of enough words are normalised (lower case, single spaces) and get a 128-bit digest.
-Digests are grouped over all documents; the earliest occurrence, by id and place, stays, and the others are removed, with
-their offsets in the original text kept.
+A unit is a line, a paragraph, or as many neighbouring sentences as make the least length; one such run begins at every
+sentence, so a passage that was pasted into the middle of a line is found by the runs within it, and short sentences
+between others go with them. Units are normalised (lower case, single spaces) and get a 128-bit digest. Digests are
+grouped over all documents; the earliest occurrence, by id and place, stays. The others are removed: where their units
+touch or overlap they are joined to one span, with its offsets in the original text.
 """
 
 from __future__ import annotations
@@ -19,78 +20,98 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import slices, stored
 
-#: Fewest words of a unit that may be removed.
-LEAST_WORDS = 6
-UNIT = re.compile(r"\S[^\n.!?]*(?:[.!?]+(?!\s|$)[^\n.!?]*)*(?:[.!?]+)?")
-
-
-def units(text: str, least: int = LEAST_WORDS) -> Iterator[tuple[int, int, int, bytes]]:
-    """``(start, end, words, digest)`` of the units of a text with enough words; offsets in code points."""
-    for m in UNIT.finditer(text):
-        words = m[0].split()
-        if len(words) >= least:
-            yield m.start(), m.start() + len(m[0].rstrip()), len(words), xxhash.xxh3_128_digest(" ".join(words).lower())
+#: Words of a unit at least. Where words are not spaced, so many characters count as one.
+LEAST_WORDS, WIDE_WORD = 16, 12
+#: A sentence, or what a line holds of one.
+SENTENCE = re.compile(r"\S[^\n.!?]*(?:[.!?]+(?!\s|$)[^\n.!?]*)*(?:[.!?]+)?")
+LINE = re.compile(r"\S[^\n]*")
+PARAGRAPH = re.compile(r"\S(?:[^\n]|\n(?![^\S\n]*\n))*")
+
+
+def size_of(words: list[str], characters: int) -> int:
+    return max(len(words), characters // WIDE_WORD)
+
+
+def units(text: str, least: int = LEAST_WORDS) -> Iterator[tuple[int, int, bytes]]:
+    """``(start, end, digest)`` of the units of a text; offsets in code points. A span is given once for each digest."""
+    sentences = [(m.start(), m.start() + len(m[0].rstrip()), m[0].split()) for m in SENTENCE.finditer(text)]
+    sizes = [size_of(words, end - start) for start, end, words in sentences]
+    seen, last, total = set(), 0, 0
+    for first, (start, _, _) in enumerate(sentences):
+        while last < len(sentences) and total < least:
+            total += sizes[last]
+            last += 1
+        if total < least:
+            break
+        end = sentences[last - 1][1]
+        seen.add((start, end))
+        yield start, end, _digest(w for _, _, words in sentences[first:last] for w in words)
+        total -= sizes[first]
+    for pattern in (LINE, PARAGRAPH):
+        for m in pattern.finditer(text):
+            words = m[0].split()
+            span = (m.start(), m.start() + len(m[0].rstrip()))
+            if span not in seen and size_of(words, span[1] - span[0]) >= least:
+                seen.add(span)
+                yield *span, _digest(words)
+
+
+def _digest(words) -> bytes:
+    return xxhash.xxh3_128_digest(" ".join(words).lower())
 
 
 def unit_rows(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
-    """All units: ``doc_id, start, end, words, high, low, again``.
-
-    ``again`` marks units met before, by id and place, within the same batch of rows: so a unit that very many documents
-    hold brings one row per batch to the global grouping.
-    """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    """All units: ``doc_id, row, start, end, high, low``; ``row`` tells documents of one id apart."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            at, starts, ends, sizes, digests = [], [], [], [], []
-            ids = batch.column(0).to_pylist()
-            order = sorted(range(len(ids)), key=lambda n: (ids[n] is None, ids[n] if ids[n] is not None else 0))
-            texts = batch.column(1).to_pylist()
-            seen, again = set(), []
-            for n in order:
-                for start, end, words, digest in units(texts[n] or "", least):
+            at, starts, ends, digests = [], [], [], []
+            for n, text in enumerate(batch.column(1).to_pylist()):
+                for start, end, digest in units(text or "", least):
                     at.append(n)
                     starts.append(start)
                     ends.append(end)
-                    sizes.append(words)
                     digests.append(digest)
-                    again.append(digest in seen)
-                    seen.add(digest)
             halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            longs = [pa.array(x, pa.int64()) for x in (starts, ends, sizes, halves[:, 0], halves[:, 1])]
-            own = batch.column(0).take(pa.array(at, pa.int64()))
-            names = ["doc_id", "start", "end", "words", "high", "low", "again"]
-            yield pa.RecordBatch.from_arrays([own, *longs, pa.array(again, pa.bool_())], names)
+            place = pa.array(at, pa.int64())
+            longs = [pa.array(x, pa.int64()) for x in (starts, ends, halves[:, 0], halves[:, 1])]
+            own = [batch.column(0).take(place), batch.column(2).take(place)]
+            yield pa.RecordBatch.from_arrays([*own, *longs], ["doc_id", "row", "start", "end", "high", "low"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"doc_id {kind}, start long, end long, words long, high long, low long, again boolean")
+    return rows.mapInArrow(work, f"doc_id {kind}, row long, start long, end long, high long, low long")
 
 
 def repeated_units(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_WORDS
 ) -> DataFrame:
-    """One row per unit to remove: ``doc_id, start, end, words, keep_id, keep_start``.
+    """One row per span to remove: ``doc_id, start, end, units, keep_id, keep_start``.
 
-    The earliest occurrence by id and then place stays; a null id comes after all others. Repeats within a document
-    count. Null and empty texts have no units. Of repeated rows of one id and text, one keeps its units and the same
-    spans are listed for each of the others. An empty table gives no rows. Only id and text are read, texts whole.
+    Of equal units the earliest by id, row and place stays; a null id comes after all others. ``keep_id`` and
+    ``keep_start`` say where the first unit of the span is kept, ``units`` how many units it is joined of. Repeats within
+    a document count. Null and empty texts have no units. Repeated rows are documents of their own, of which one keeps its
+    units. An empty table gives no rows. Only id and text are read, texts whole.
 
-    The smallest id per digest is found with a sum per task first; the units then meet only digests seen more than once,
-    in a join whose hot keys are split.
+    The earliest occurrence of a digest is found by one aggregation with a sum per task first; units then meet the digests
+    seen more than once in a join whose hot keys are split. Spans are joined within one document's units.
     """
     keys = ["high", "low"]
     found = stored(unit_rows(docs, id_col, text_col, least), "units")
-    often = found.groupBy(*keys).agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "start")
+    often = found.groupBy(*keys).agg(F.min(place).alias("keep"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     often = stored(often.drop("n"), "repeated-digests")
-    met = stored(found.join(often, keys), "repeated-units")
-    own = met.filter(~F.col("again") & F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    place = Window.partitionBy(*keys).orderBy("start")
-    own = stored(own.withColumn("nth", F.row_number().over(place)), "earliest-units")
-    kept = own.filter("nth = 1").select(*keys, F.col("start").alias("keep_start"))
-    columns = ["doc_id", "start", "end", "words", "keep_id", *keys]
-    others = met.filter(F.col("again") | ~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(*columns)
-    gone = others.unionByName(own.filter("nth > 1").select(*columns))
-    return gone.join(kept, keys).select("doc_id", "start", "end", "words", "keep_id", "keep_start")
+    gone = found.join(often, keys).filter((F.col("row") != F.col("keep.row")) | (F.col("start") != F.col("keep.start")))
+    reading = Window.partitionBy("row").orderBy("start", "end", *keys)
+    reached = F.max("end").over(reading.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached.isNull() | (F.col("start") > reached + 1), 1).otherwise(0)
+    spans = gone.withColumn("begins", begins).withColumn("span", F.sum("begins").over(reading))
+    first = F.min(F.struct("start", "end", "keep")).alias("first")
+    joined = spans.groupBy("row", "span").agg(F.first("doc_id").alias("doc_id"), first, F.max("end").alias("end"), F.count(F.lit(1)).alias("units"))
+    return joined.select(
+        "doc_id", F.col("first.start").alias("start"), "end", "units",
+        F.col("first.keep.doc_id").alias("keep_id"), F.col("first.keep.start").alias("keep_start"),
+    )
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
