@@ -1,7 +1,8 @@
 """Both pipelines end to end on landed files, with results worked out by hand."""
 
 import shutil
-from datetime import date, datetime
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta
 from decimal import Decimal as D
 from pathlib import Path
 
@@ -9,9 +10,10 @@ import pytest
 
 from tidemark.functions.time import timestamp
 from tidemark.operators import recon, sales, sessions
-from tidemark.plans.clean import merge_batch
+from tidemark.plans.clean import merge_batch, merge_changes
 from tidemark.plans.erase import UnknownPeopleError, erase_people, sweep_suppressed
-from tidemark.plans.jobs import clean_tables, run_batch, run_events, served_tables
+from tidemark.plans.ingest import ingest_batch, ingest_events
+from tidemark.plans.jobs import build_all, clean_tables, logged, merge_all, run_batch, run_events, served_tables
 from tidemark.plans.serving import build_batch, rekey_facts
 from tidemark.plans.warehouse import Warehouse
 
@@ -209,6 +211,86 @@ def test_a_payment_loaded_before_its_suppressed_order(world, spark):
     assert clean_tables(wh)["payments"].count() == 2
 
 
+def test_daily_sales_kept_by_changes_equal_a_rebuild(spark, tmp_path):
+    """Batches with late, changed and very old rows; every publication equals daily sales of all rows."""
+    from tidemark.schemas import ORDERS, RETURNS
+
+    wh = Warehouse(spark, str(tmp_path))
+    stamp = timestamp(now())
+    day = lambda d: datetime(2023, 1, 1) + timedelta(days=d)
+
+    def publish(orders, returns, n):
+        snap, folders = wh.clean.snapshot(), {}
+        for name, schema, key, rows in (("orders", ORDERS.clean, "order_id", orders), ("returns", RETURNS.clean, "return_id", returns)):
+            if rows:
+                df = spark.createDataFrame(rows, schema)
+                folders[name] = wh.clean.rewrite(name, df, [key], snap, snap.next, lambda s, b, k=key: merge_changes(s, b, k, snap.next))
+        wh.clean.publish(snap, folders, {})
+        build_batch(wh, n, stamp, AS_OF, days=None)
+
+    def order(i, d, total, n=0):
+        return (f"o{i}", "c", day(d), "x", D(1), D(1), D(1), None if total is None else D(total), "p", day(n), "f", day(n))
+
+    def back(i, o, d, amount, status="APPROVED", n=0):
+        return (f"r{i}", f"o{o}", "c", day(d), "why", D(amount), status, day(n), "f", day(n))
+
+    batches = [
+        ([order(i, i % 5, 10 * i) for i in range(12)], [back(i, i, 900 + i % 3, 5) for i in range(4)]),
+        ([order(3, 400, 7, 1), order(20, 2, None, 1)], [back(9, 5, 950, 3, n=1), back(1, 1, 901, 5, "REJECTED", n=1)]),
+        ([], [back(10, 0, 1100, 2, n=2), back(11, 99, 1100, 2, n=2)]),
+        ([order(99, 1000, 4, 3), order(0, 0, 1, 3)], []),
+    ]
+    for n, (orders, returns) in enumerate(batches):
+        publish(orders, returns, n)
+        s = served_tables(wh)
+        for basis, build in (("cash", sales.daily_sales_cash), ("accrual", sales.daily_sales_accrual)):
+            want = build(s["fact_orders"], s["fact_returns"], AS_OF, stamp, days=None)
+            assert sorted(map(str, s[f"daily_sales_{basis}"].collect())) == sorted(map(str, want.collect())), (n, basis)
+
+
+def test_jobs_that_end_together_are_all_logged(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+
+    def work(n):
+        logged(wh, f"TASK_{n}", n, lambda: f"done {n}")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(work, range(4)))
+    with pytest.raises(ZeroDivisionError):
+        logged(wh, "TASK_BAD", 9, lambda: 1 / 0)
+    assert sorted((r.name, r.state) for r in wh.run_log.rows().collect()) == [
+        *[(f"TASK_{n}", "SUCCEEDED") for n in range(4)], ("TASK_BAD", "FAILED"),
+    ]
+
+
+def test_merge_and_build_by_one_call_each(spark, tmp_path):
+    batch, events = tmp_path / "batch", tmp_path / "events"
+    batch.mkdir()
+    events.mkdir()
+    wh = Warehouse(spark, str(tmp_path / "wh"), session_buckets=2)
+    land("first", batch)
+    shutil.copy(FIXTURES / "events" / "events_1.json", events)
+    ingest_batch(wh, str(batch), lambda: timestamp(now()), files_per_batch=1)
+    ingest_events(wh, str(events), lambda: timestamp(now()))
+    merge_all(wh, 1, now)
+    build_all(wh, 1, AS_OF, now)
+    assert {r.session_id for r in wh.fact_sessions().collect()} == {"Z1", "COMPUTED_1_0", "COMPUTED_1_1"}
+    assert wh.served.read("fact_orders").count() == 4
+    logged_names = [r.name for r in wh.run_log.rows().collect()]
+    assert {"MERGE_SILVER_EVENTS_MICRO_BATCH", "BUILD_GOLD_EVENTS_MICRO_BATCH", "BUILD_GOLD_BATCH"} <= set(logged_names)
+
+
+def test_a_request_id_used_again_for_other_people(world, spark):
+    wh = world[0]
+    ids = lambda *who: spark.createDataFrame([(w,) for w in who], "customer_id string")
+    for who in (("K2",), ("K2", "K3"), ("K2", "K3")):
+        erase_people(wh, ids(*who), "tester", 90, timestamp(now()), request_id="again")
+    listed = {r.customer_id for r in wh.suppressed.rows().collect()}
+    assert {"K2", "K3"} <= listed
+    entries = wh.audit.rows().filter("request_id = 'again'").groupBy("customer_id").count().collect()
+    assert {r.customer_id: r["count"] for r in entries} == {"K2": 13, "K3": 13}
+
+
 def test_no_events_yet(spark, tmp_path):
     (tmp_path / "events").mkdir()
     wh = Warehouse(spark, str(tmp_path / "wh"))
@@ -244,4 +326,5 @@ def test_run_log(world):
     assert names == {
         "TASK_INGEST_BATCH", "TASK_MERGE_SILVER_BATCH", "TASK_BUILD_GOLD_BATCH", "TASK_DQ_CHECKS",
         "TASK_INGEST_EVENTS", "TASK_MERGE_SILVER_EVENTS", "TASK_BUILD_GOLD_EVENTS",
+        "TASK_MERGE_SILVER_EVENTS_MICRO_BATCH", "TASK_BUILD_GOLD_EVENTS_MICRO_BATCH",
     }

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,11 +10,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tidemark.operators.changes import change_images
 from tidemark.operators.keys import assign_keys
 from tidemark.operators.latest import latest_by_key, post_images, snapshot_as_of
 from tidemark.operators.upsert import (
     DuplicateKeyError, guarded_merge, guarded_upsert, insert_new, overwrite_by_key, require_unique, updated_or_loaded,
 )
+from tidemark.sources.id_index import IdIndex
 
 SCHEMA = "k string, v int, updated_at timestamp_ntz, load_ts timestamp_ntz"
 T0 = datetime(2026, 1, 1)
@@ -128,3 +131,34 @@ def test_keys_are_dense_unique_and_continue(spark):
     taken = spark.createDataFrame([(41,)], "sk long")
     assert rows_of(assign_keys(more, ["name"], "sk", taken)) == [(42, "aa"), (43, "zz")]
     assert assign_keys(more.limit(0), ["name"], "sk", taken).count() == 0
+
+
+def test_change_images(spark):
+    before = spark.createDataFrame([(1, "a", None), (2, "b", 1.0), (3, "c", 2.0), (None, "x", 0.0)], "k long, v string, w double")
+    after = spark.createDataFrame([(1, "a", None), (2, "b", None), (4, "d", 2.0), (None, "y", 0.0)], "k long, v string, w double")
+    got = sorted(tuple(r) for r in change_images(before, after, ["k"]).select("k", "v", "_action").collect())
+    assert got == [(2, "b", "UPDATE"), (2, "b", "UPDATE_BEFORE"), (3, "c", "DELETE"), (4, "d", "INSERT")]
+    assert change_images(before, before, ["k"]).isEmpty()
+    variant = lambda text: spark.createDataFrame([(1,)], "k long").withColumn("p", F.parse_json(F.lit(text)))
+    assert change_images(variant('{"a": 1}'), variant('{"a":1}'), ["k"]).isEmpty()
+    assert change_images(variant('{"a": 1}'), variant('{"a": 2}'), ["k"]).count() == 2
+
+
+def test_an_index_of_ids_is_opened_at_the_prefixes_met(spark, tmp_path):
+    index = IdIndex(spark, str(tmp_path / "ids"), "event_id", prefixes=8)
+    rows = lambda ids, at="2026-01-01": spark.createDataFrame([(i,) for i in ids], "event_id string").withColumn(
+        "load_ts", F.lit(at).cast("timestamp_ntz"))
+    assert index.unseen(rows(["a"])).count() == 1
+    index.add(rows([f"e{n}" for n in range(500)]), 0)
+    index.add(rows([f"e{n}" for n in range(490, 600)], "2026-02-01"), 1)
+    index.add(rows([f"e{n}" for n in range(490, 600)], "2026-02-01"), 1)  # again
+    assert index.read().count() == 610
+    met = index.met_by(rows(["e7"]))
+    text = met._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_prefix#\d+ = \d", text), "other prefixes are not opened"
+    assert met.select("_prefix").distinct().count() == 1 and met.count() < 200
+    batch = rows(["e7", "e550", "new", "e599"])
+    assert {r.event_id for r in index.unseen(batch).collect()} == {"new"}
+    assert {r.event_id for r in index.unseen(batch, batch=1).collect()} == {"new", "e550", "e599"}
+    since = F.lit("2026-01-15").cast("timestamp_ntz")
+    assert {r.event_id for r in index.unseen(batch, since=since).collect()} == {"new", "e7"}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import facts, history, sales, session_days
 from tidemark.operators.asof import lookup_for
+from tidemark.operators.changes import change_images
 from tidemark.operators.upsert import insert_new, overwrite_by_key
 from tidemark.plans.warehouse import Warehouse
 from tidemark.sources.scratch import cut_lineage
@@ -65,7 +66,8 @@ def build_batch(
     """Build what changed: dimensions first, then the facts that look them up, then aggregates.
 
     A table whose source has no changes is left alone, and daily sales are refreshed only
-    if orders or returns changed. Everything publishes in one step.
+    if orders or returns changed: those of the last ``days``, or if that is None of every
+    day that the changes bear on. Everything publishes in one step.
     """
     clean, snap = wh.clean.snapshot(), wh.served.snapshot()
     result, folders, consumed = BuildResult("build_batch"), {}, {}
@@ -109,13 +111,37 @@ def build_batch(
         upsert("fact_payments", facts.fact_payments(payments, paid, payers, run_ts, lookup), "payment_id")
     if returns is not None:
         upsert("fact_returns", facts.fact_returns(returns, named_by(returns, "customer_id", dim), run_ts, lookup), "return_id")
-    if orders is not None or returns is not None:
+    if (orders is not None or returns is not None) and days is None:
+        _add_changes(wh, snap, table, replace, run_ts, folders)
+    elif orders is not None or returns is not None:
         _refresh_sales(wh, table, replace, run_ts, as_of, days)
     if consumed:
         wh.served.publish(snap, folders, consumed)
     return result
 
 
+def _add_changes(wh, snap, table, replace, run_ts, folders) -> None:
+    """All days kept right by what the batch changed: old images of its rows count minus, new ones plus."""
+    old = {name: wh.served.read(name, snap) for name in ("fact_orders", "fact_returns")}
+    images = {}
+    for name, key in (("fact_orders", "order_id"), ("fact_returns", "return_id")):
+        if name in folders:  # only rows that this publication stamped have changed
+            now = wh.served.read_stored(name, Snapshot(snap.version, folders)).filter(F.col(BATCH) == snap.next).drop(BATCH)
+            images[name] = cut_lineage(change_images(named_by(now, key, old[name]), now, [key]))
+        else:
+            images[name] = old[name].limit(0).withColumn("_action", F.lit(""))
+    states = ((old["fact_orders"], old["fact_returns"]), (table("fact_orders"), table("fact_returns")))
+    for basis in ("cash", "accrual"):
+        name, accrual = f"sales_sums_{basis}", basis == "accrual"
+        if name in snap.folders:
+            delta = sales.sales_delta(images["fact_orders"], images["fact_returns"], accrual, *states)
+            sums = sales.add_sums(table(name), delta)
+        else:
+            sums = sales.sales_sums(*states[1], accrual)
+        replace(name, sums)
+        replace(f"daily_sales_{basis}", sales.daily_from_sums(table(name), run_ts))
+
+
 def _refresh_sales(wh, table, replace, run_ts, as_of, days) -> None:
     # Months before the refreshed days are not opened. A return may undo an order of any
     # earlier date, so the accrual view looks through all returns.

@@ -43,6 +43,8 @@ class Warehouse:
                 "fact_returns": schemas.FACT_RETURNS,
                 "daily_sales_cash": schemas.DAILY_SALES,
                 "daily_sales_accrual": schemas.DAILY_SALES,
+                "sales_sums_cash": schemas.SALES_SUMS,
+                "sales_sums_accrual": schemas.SALES_SUMS,
             },
             {
                 "dim_customer": Layout(sort=("customer_id", "is_current", "valid_from")),

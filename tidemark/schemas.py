@@ -297,6 +297,16 @@ DAILY_SALES = _schema(
     ("load_ts", TS),
 )
 
+#: What daily sales add up from.
+SALES_SUMS = _schema(
+    ("order_date", DATE),
+    ("orders", LONG),
+    ("sold", TOTAL),
+    ("priced", LONG),
+    ("refunds", TOTAL),
+    ("returned", LONG),
+)
+
 CHECK_RESULTS = _schema(
     ("check_name", STRING),
     ("status", STRING),
