@@ -25,7 +25,7 @@ from tidemark.llm.shared import slices, stored
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words of a shard, whose index one task holds: texts are added until it has as many.
-SHARD = 8_000_000
+SHARD = 3_000_000
 #: Frequent phrases, and a quarter of the shards' phrases, that may be sent whole to every task; more meet by a shuffle.
 FEW = 500_000
 #: Marks the border of a piece; this byte is in no UTF-8 text.
@@ -108,9 +108,13 @@ def transform(symbols: np.ndarray, depth: int) -> np.ndarray:
         if size >= 1 << 31:
             key = np.unique(key, return_inverse=True)[1]
             size = int(key.max(initial=0)) + 1
-        key = key * size + np.roll(key, -known)
+        after = np.roll(key, -known)
+        key *= size
+        key += after
         known *= 2
-    return np.roll(symbols, 1)[np.argsort(key, kind="stable")]
+    order = np.argsort(key, kind="stable")
+    del key
+    return symbols[order - 1]
 
 
 def extended(bwt: np.ndarray, at: np.ndarray, size: np.ndarray, other: np.ndarray, symbols: int):
@@ -119,12 +123,13 @@ def extended(bwt: np.ndarray, at: np.ndarray, size: np.ndarray, other: np.ndarra
     ``at`` is where the phrases' intervals begin in the index of ``bwt``, ``other`` in the index of the reverse; a border
     is no word. The same on the transform of the reverse adds a word behind.
     """
-    place = np.empty(len(bwt), np.int64)
-    place[np.argsort(bwt, kind="stable")] = np.arange(len(bwt))
+    place = np.empty(len(bwt), np.int32)
+    place[np.argsort(bwt, kind="stable")] = np.arange(len(bwt), dtype=np.int32)
     begin = np.cumsum(size) - size
-    phrase = np.repeat(np.arange(len(at)), size)
-    where = np.arange(len(phrase)) + np.repeat(at - begin, size)
-    key = phrase * (symbols + 1) + bwt[where]
+    where = np.repeat((at - begin).astype(np.int32), size)
+    where += np.arange(len(where), dtype=np.int32)
+    key = np.repeat(np.arange(len(at)) * (symbols + 1), size)
+    key += bwt[where]
     order = np.argsort(key, kind="stable")
     key = key[order]
     first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
