@@ -2,11 +2,12 @@
 
 import shutil
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal as D
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.functions.time import timestamp
 from tidemark.operators import recon, sales, sessions
@@ -14,6 +15,8 @@ from tidemark.plans.clean import merge_batch, merge_changes
 from tidemark.plans.erase import UnknownPeopleError, erase_people, sweep_suppressed
 from tidemark.plans.ingest import ingest_batch, ingest_events
 from tidemark.plans.jobs import build_all, clean_tables, logged, merge_all, run_batch, run_events, served_tables
+from tidemark.plans import views
+from tidemark.plans.retention import expire
 from tidemark.plans.serving import build_batch, rekey_facts
 from tidemark.plans.warehouse import Warehouse
 
@@ -131,6 +134,22 @@ def test_nothing_new_changes_nothing(world):
     assert (wh.clean.snapshot().version, wh.served.snapshot().version) == before
 
 
+def test_views_for_consumers(world, spark):
+    wh = world[0]
+    names = views.create_views(wh, AS_OF, timestamp(now()), "analyst", "US_EAST")
+    assert {"fact_orders", "dim_customer", "recon_summary", "conversion_funnel", "session_kpis", "dq_latest_status"} <= set(names)
+    status = {r.order_id: r.recon_status for r in spark.sql("SELECT * FROM revenue_reconciliation").collect()}
+    assert status == {"B1": "PAID_WITH_RETURN", "B2": "PARTIAL_PENDING", "B3": "OVERPAID", "B4": "NO_PAYMENT"}
+    assert spark.sql("SELECT sum(order_count) FROM recon_summary").first()[0] == 4
+    people = spark.table("dim_customer").collect()
+    assert all(p.region == "US_EAST" and "*" in p.email for p in people)
+    assert {p.customer_id for p in views.customers_for(wh, "admin").collect()} == {"K1", "K2", "K3"}
+    assert spark.table("session_kpis").count() > 0 and spark.table("dq_summary").count() > 3
+    assert spark.sql("SELECT count(*) FROM dq_latest_status").first()[0] == spark.table("dq_latest_status").select("check_name").distinct().count()
+    for name in names:
+        spark.catalog.dropTempView(name)
+
+
 def test_late_batch_and_merging_event(world):
     wh, batch, events, _ = world
     land("late", batch)
@@ -196,6 +215,18 @@ def test_erasure_survives_a_reload(world, spark):
     assert sorted(p.customer_sk for p in people) == [1, 4]
 
 
+def test_superseded_folders_expire(world, spark):
+    wh = world[0]
+    before = {n: sorted(map(str, df.collect())) for n, df in {**clean_tables(wh), **served_tables(wh)}.items()}
+    assert expire(wh, datetime(2001, 1, 1)) == []
+    gone = expire(wh, datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(hours=1))
+    assert gone and expire(wh, datetime.now() + timedelta(hours=1)) == []
+    assert {n: sorted(map(str, df.collect())) for n, df in {**clean_tables(wh), **served_tables(wh)}.items()} == before
+    for tables, name, column in ((wh.clean, "customers", "customer_id"), (wh.served, "dim_customer", "first_name")):
+        every = spark.read.option("recursiveFileLookup", True).schema(tables.schemas[name]).parquet(f"{tables.root}/{name}")
+        assert every.filter(F.col(column).isin("K1", "Mira")).isEmpty()
+
+
 def test_a_payment_loaded_before_its_suppressed_order(world, spark):
     wh, batch, _, _ = world
     header, row = (FIXTURES / "first" / "payments.csv").read_text().splitlines()[:2]

@@ -30,7 +30,7 @@ def large_tables(spark):
 
 
 # Queries that only write and read files plan nothing of interest here.
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("csv_", "json_", "stream_", "dated_"))))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("csv_", "json_", "stream_", "dated_", "job_"))))
 def test_no_python_no_products_no_forced_broadcast(spark, large_tables, name):
     text = plan(QUERIES[name](spark, FOLDER))
     assert not re.search(r"Python|ArrowEval|BatchEval|MapInPandas", text)

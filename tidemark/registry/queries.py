@@ -22,9 +22,12 @@ from tidemark.operators.joins import left_join
 from tidemark.operators.keys import assign_keys
 from tidemark.operators.latest import latest_by_key, post_images, snapshot_as_of
 from tidemark.operators.upsert import guarded_merge, guarded_upsert, insert_new, overwrite_by_key, updated_or_loaded
+from tidemark.plans import views
+from tidemark.plans.clean import merge_batch
 from tidemark.plans.erase import record_request
 from tidemark.plans.ingest import ingest_feed
 from tidemark.plans.jobs import logged
+from tidemark.plans.serving import build_batch, build_events
 from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import EVENTS, FACT_EVENTS, FACT_ORDERS, FEEDS, ORDERS, conform
 from tidemark.sources import landing
@@ -766,6 +769,57 @@ def erase_found(star):
     return erasure.found_in(people, star.customers(), star.customers(), star.dim_customer())
 
 
+# --- jobs over a warehouse --------------------------------------------------------------------------
+
+
+def _built_warehouse(star: Star) -> Warehouse:
+    """A warehouse whose clean tables hold the star's feeds, served by the batch job."""
+    wh = Warehouse(star.spark, new_folder(star.spark, "warehouse"))
+    snap = wh.clean.snapshot()
+    clean = {"customers": star.customers(), "products": star.products(), **{n: t for n, t in _layer(star).items() if n in ("orders", "payments", "returns")}}
+    folders = {name: wh.clean.write(name, df.withColumn(BATCH, F.lit(snap.next)), snap.next) for name, df in clean.items()}
+    wh.clean.publish(snap, folders, {})
+    build_batch(wh, 1, _run_ts(), ORDERS_AS_OF, days=None)
+    return wh
+
+
+@register
+def job_daily_sales(star):
+    """Daily sales on both bases as the batch job leaves them."""
+    wh = _built_warehouse(star)
+    parts = [wh.served.read(f"daily_sales_{basis}").withColumn("basis", F.lit(basis)) for basis in ("cash", "accrual")]
+    return parts[0].unionByName(parts[1])
+
+
+@register
+def job_recon_summary(star):
+    """The reconciliation summary that consumers see after the batch job."""
+    return views.recon_summary(_built_warehouse(star), ORDERS_AS_OF)
+
+
+@register
+def job_merge_orders(star):
+    """Clean orders after the merge job ran over a first load and then over all later copies."""
+    wh = Warehouse(star.spark, new_folder(star.spark, "warehouse"))
+    raw = star.raw_orders()
+    for batch, rows in enumerate((raw.filter("source_file = 'orders-0.csv'"), raw.filter("source_file <> 'orders-0.csv'"))):
+        wh.raw["orders"].append(rows, batch)
+        merge_batch(wh, batch, _run_ts())
+    return wh.clean.read("orders")
+
+
+@register
+def job_sessions(star):
+    """Sessions after the events job served the earlier events and then the later ones."""
+    wh = Warehouse(star.spark, new_folder(star.spark, "warehouse"), session_buckets=8)
+    snap, dim = wh.served.snapshot(), star.dim_customer()
+    wh.served.publish(snap, {"dim_customer": wh.served.write("dim_customer", dim.withColumn(BATCH, F.lit(snap.next)), snap.next)}, {})
+    early = F.col("event_ts") < timestamp(SPLIT_AT)
+    for batch, rows in enumerate((star.events().filter(early), star.events().filter(~early))):
+        build_events(wh, rows, batch, _run_ts())
+    return _joined_products(wh.fact_sessions())
+
+
 # --- files and layouts ----------------------------------------------------------------------------
 
 
