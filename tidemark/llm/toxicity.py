@@ -98,12 +98,22 @@ def character_model(counts: np.ndarray) -> np.ndarray:
     return -np.log(three).astype(np.float32)
 
 
-def readings(token: str, model: np.ndarray, borders: bool = False) -> list[str]:
+#: Places of letters in the character model.
+PLACE = {letter: n + 1 for n, letter in enumerate(LETTERS)}
+
+
+def flat(model: np.ndarray) -> list[float]:
+    """The character model as a list: single cells of a list are read faster than those of an array."""
+    return model.ravel().tolist()
+
+
+def readings(token: str, model: list[float] | np.ndarray, borders: bool = False) -> list[str]:
     """The likeliest letter strings behind a disguised token, found by Viterbi over its whole lattice.
 
     A state is the last two letters; it keeps its likeliest strings, so the result is exact. With ``borders`` a border of
     words, a space in the result, may lie before each symbol.
     """
+    cells = model if isinstance(model, list) else flat(model)
     states: dict[tuple[int, int], dict[str, float]] = {(0, 0): {"": 0.0}}
     last = ""
     for at, symbol in enumerate(token):
@@ -111,42 +121,47 @@ def readings(token: str, model: np.ndarray, borders: bool = False) -> list[str]:
             split: dict[str, float] = {}
             for (a, b), paths in states.items():
                 if b:
-                    cost = BORDER + float(model[a, b, 0])
+                    cost = BORDER + cells[(a * SIZE + b) * SIZE]
                     split |= {s + " ": p + cost for s, p in paths.items()}
             if split:
                 states.setdefault((0, 0), {}).update(_best(split))
-        options: list[tuple[str, float]] = [(r, READ) for r in READINGS.get(symbol, "")]
-        repeated = symbol == last or symbol == token[at + 1 : at + 2]
+        read = READINGS.get(symbol, "")
+        options: list[tuple[str, int, float]] = [(r, PLACE.get(r, SIZE - 1), READ) for r in read]
         if symbol in INSIDE:
-            options.append(("", 0.0))
-        elif LETTER.match(symbol) and symbol not in READINGS:
-            options.append((symbol, KEPT if symbol == last else 0.0))
-        elif symbol not in READINGS or not at or at == len(token) - 1 or repeated:
-            options.append(("", PASSED))
+            options.append(("", 0, 0.0))
+        elif not read and symbol.isalpha():
+            options.append((symbol, PLACE.get(symbol, SIZE - 1), KEPT if symbol == last else 0.0))
+        elif not read or not at or at == len(token) - 1 or symbol == last or symbol == token[at + 1]:
+            options.append(("", 0, PASSED))
         if symbol == last:
-            options.append(("", DROPPED))
+            options.append(("", 0, DROPPED))
         last = symbol
         step: dict[tuple[int, int], dict[str, float]] = {}
+        merged = False
         for (a, b), paths in states.items():
-            for letter, cost in options:
+            row = (a * SIZE + b) * SIZE
+            for letter, c, cost in options:
                 if letter:
-                    c = LETTERS.find(letter) + 1 or SIZE - 1
-                    key, cost = (b, c), cost + float(model[a, b, c])
+                    key, cost = (b, c), cost + cells[row + c]
                 else:
                     key = (a, b)
-                own = step.setdefault(key, {})
+                own = step.get(key)
+                if own is None:
+                    step[key] = {s + letter: p + cost for s, p in paths.items()}
+                    continue
+                merged = True
                 for string, p in paths.items():
                     longer = string + letter
                     if p + cost < own.get(longer, math.inf):
                         own[longer] = p + cost
-        states = {key: _best(paths) for key, paths in step.items()}
-    ends = {s: p + float(model[a, b, 0]) for (a, b), paths in states.items() for s, p in paths.items()}
+        states = {key: _best(paths) for key, paths in step.items()} if merged else step
+    ends = {s: p + cells[(a * SIZE + b) * SIZE] for (a, b), paths in states.items() for s, p in paths.items()}
     return list(_best(ends))
 
 
 def _best(paths: dict[str, float]) -> dict[str, float]:
     """The likeliest strings, ties in their order."""
-    if len(paths) <= 1:
+    if len(paths) <= 1:  # nothing to choose
         return paths
     return dict(sorted(paths.items(), key=lambda x: (x[1], x[0]))[:READINGS_KEPT])
 
@@ -261,7 +276,7 @@ class Scorer:
     """
 
     def __init__(self, weights: dict[str, dict[int, float]], model: np.ndarray):
-        self.weights, self.model, self.known = weights, model, {}
+        self.weights, self.model, self.known = weights, flat(model), {}
         self.starts = {f[:3] for f in weights}
 
     def _of(self, found: Iterator[str]) -> tuple[str, ...]:
