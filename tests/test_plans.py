@@ -115,6 +115,21 @@ def test_a_batch_of_one_customer_reads_and_writes_its_own_days(spark, tmp_path):
     assert re.search(r"PushedFilters: \[Or\(EqualTo\(event_date", text)
 
 
+def test_history_and_audit_take_few_shuffles(spark, large_tables):
+    from tidemark.operators import erasure, history
+
+    stamp = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    staged = history.stage_versions(spark.createDataFrame(Star(spark, FOLDER).customers().limit(5).collect(), Star(spark, FOLDER).customers().schema))
+    assert _shuffles(history.build_history(staged, stamp)) <= 7
+    star = Star(spark, FOLDER)
+    plain = lambda df: spark.createDataFrame(df.limit(3).collect(), df.schema)
+    layer = {n: plain(getattr(star, n)()) for n in ("customers", "orders", "payments", "returns")}
+    layer["events"] = plain(star.events().drop("payload"))
+    people = plain(star.suppressed()).select("customer_id")
+    audit = erasure.audit_rows(layer, layer, plain(star.dim_customer()), people, people, "t", stamp, "r")
+    assert _shuffles(audit) <= 19
+
+
 def test_a_full_check_run_scans_every_table_once(spark, large_tables, tmp_path):
     from tidemark.functions.time import timestamp
     from tidemark.operators import quality

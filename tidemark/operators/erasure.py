@@ -55,17 +55,24 @@ def erase(tables: dict[str, DataFrame], people: DataFrame) -> dict[str, DataFram
     return kept
 
 
-def erased_counts(tables: dict[str, DataFrame], people: DataFrame) -> DataFrame:
-    """Rows :func:`erase` removes, as (customer_id, feed, rows), for people who lose any."""
-    counts = []
+def _owned(tables: dict[str, DataFrame], people: DataFrame, layer: str) -> list[DataFrame]:
+    """(customer_id, slot) of the rows of one layer that name somebody; payments through the people's orders."""
+    found = []
     for name in AUDITED_FEEDS:
         if name == "payments":
-            owned = tables[name].select("order_id").join(_doomed_orders(tables, people), "order_id")
+            rows = tables[name].select("order_id").join(_doomed_orders(tables, people), "order_id").select("customer_id")
         else:
-            owner = OWNER[name]
-            owned = tables[name].select(F.col(owner).alias("customer_id")).join(people, "customer_id", "left_semi")
-        counts.append(owned.groupBy("customer_id").agg(F.count("*").alias("rows")).withColumn("feed", F.lit(name)))
-    return reduce(DataFrame.unionByName, counts)
+            rows = tables[name].select(F.col(OWNER[name]).alias("customer_id"))
+        found.append(rows.withColumn("slot", F.lit(f"{layer}.{name}")))
+    return found
+
+
+def erased_counts(tables: dict[str, DataFrame], people: DataFrame) -> DataFrame:
+    """Rows :func:`erase` removes, as (customer_id, feed, rows), for people who lose any."""
+    named = reduce(DataFrame.unionByName, _owned(tables, people, "layer"))
+    met = named.join(people.select("customer_id"), "customer_id", "left_semi")
+    feed = F.substring_index("slot", ".", -1).alias("feed")
+    return met.groupBy("customer_id", feed).agg(F.count("*").alias("rows"))
 
 
 def anonymise(dim: DataFrame, people: DataFrame, run_ts: Column) -> DataFrame:
@@ -104,16 +111,11 @@ def audit_rows(
 ) -> DataFrame:
     """Thirteen entries per person: what was deleted, anonymised and suppressed, and a retention warning."""
     request_id = request_id or str(uuid.uuid4())
-    raw_counts = erased_counts(raw, people).withColumn("layer", F.lit("BRONZE"))
-    clean_counts = erased_counts(clean, people).withColumn("layer", F.lit("SILVER"))
-    dim_counts = (
-        dim.select("customer_id").join(people, "customer_id", "left_semi").groupBy("customer_id")
-        .agg(F.count("*").alias("rows")).select("customer_id", "rows", F.lit("dim").alias("feed"), F.lit("GOLD").alias("layer"))
-    )
-    new_entries = suppression_rows(listed, people, requested_by, run_ts).select(
-        "customer_id", F.lit(1).alias("rows"), F.lit("list").alias("feed"), F.lit("UTIL").alias("layer")
-    )
-    counted = reduce(DataFrame.unionByName, [raw_counts, clean_counts, dim_counts, new_entries])
+    in_dim = dim.select("customer_id", F.lit("GOLD.dim").alias("slot"))
+    new_entries = suppression_rows(listed, people, requested_by, run_ts).select("customer_id", F.lit("UTIL.list").alias("slot"))
+    # All tables meet the people once, and are counted in one aggregation. A semi join would be pushed into each table.
+    named = reduce(DataFrame.unionByName, [*_owned(raw, people, "BRONZE"), *_owned(clean, people, "SILVER"), in_dim, new_entries])
+    met = named.join(people.select("customer_id").distinct(), "customer_id")
     # One column per (layer, feed): a fixed set, so the trail needs a single aggregation.
     slots = (
         [("BRONZE", f, HARD_DELETE, RAW_NAMES[f]) for f in AUDITED_FEEDS]
@@ -121,14 +123,9 @@ def audit_rows(
         + [("GOLD", "dim", ANONYMIZE, "DIM_CUSTOMER"), ("UTIL", "list", SUPPRESS, "GDPR_SUPPRESSION_LIST")]
         + [("ALL", None, WARNING, "ALL_TABLES")]
     )
-    asked = people.select("customer_id", F.lit(0).alias("rows"), F.lit("none").alias("feed"), F.lit("none").alias("layer"))
-    wide = counted.unionByName(asked).groupBy("customer_id").agg(
-        *[
-            F.coalesce(F.sum(F.when((F.col("layer") == layer) & (F.col("feed") == feed), F.col("rows"))), F.lit(0))
-            .alias(f"n{i}")
-            for i, (layer, feed, _, _) in enumerate(slots)
-            if feed is not None
-        ]
+    asked = people.select("customer_id", F.lit("none").alias("slot"))
+    wide = met.unionByName(asked).groupBy("customer_id").agg(
+        *[F.count_if(F.col("slot") == f"{layer}.{feed}").alias(f"n{i}") for i, (layer, feed, _, _) in enumerate(slots) if feed is not None]
     )
     entries = F.array(
         *[

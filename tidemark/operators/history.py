@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import change_hash
 from tidemark.functions.time import timestamp
 from tidemark.operators.keys import assign_keys
-from tidemark.operators.sliced import lag_sliced, lead_sliced
 from tidemark.operators.upsert import insert_new, update_by_key
 from tidemark.schemas import DIM_CUSTOMER, DIM_PRODUCT, OPEN_END, conform
 
@@ -83,16 +82,33 @@ def build_history(staged: DataFrame, run_ts: Column) -> DataFrame:
     """All versions of a whole change log at once, several per customer allowed.
 
     A row equal to its predecessor opens no version. Rows are first reduced to one
-    per customer and effective time, so the ordered part holds distinct versions only.
+    per customer and effective time, and ordered within a month, so a customer with very
+    many versions is spread over the months; only a row per month is ordered across them.
     """
+    key = ["customer_id", "_month"]
     one = staged.groupBy("customer_id", "effective_ts").agg(
         F.max_by(F.struct("record_source", *TRACKED, "hash_diff"), "hash_diff").alias("_v")
     )
-    one = one.select("customer_id", "effective_ts", "_v.*").withColumn("_month", F.trunc("effective_ts", "month"))
-    line = (["customer_id"], "_month", "effective_ts")
-    changes = lag_sliced(one, *line, "hash_diff", "_before")
-    changes = changes.filter(F.col("_before").isNull() | (F.col("_before") != F.col("hash_diff")))
-    changes = lead_sliced(changes, *line, "effective_ts", "_next")
+    month = F.coalesce(F.trunc("effective_ts", "month"), F.lit("0001-01-01").cast("date"))
+    in_month = Window.partitionBy(*key).orderBy("effective_ts")
+    rows = one.select("customer_id", "effective_ts", "_v.*", month.alias("_month")).select(
+        "*", F.lag("hash_diff").over(in_month).alias("_before"), (F.row_number().over(in_month) == 1).alias("_first")
+    )
+    # Whether a month's first row is a change, and when the next change comes, follows from one summary row per month.
+    inner = F.when(~F.col("_first") & (F.col("_before") != F.col("hash_diff")), F.col("effective_ts"))
+    months = rows.groupBy(*key).agg(
+        F.min("effective_ts").alias("_start"), F.min(inner).alias("_inner"),
+        F.min_by("hash_diff", F.struct("effective_ts")).alias("_opening"), F.max_by("hash_diff", F.struct("effective_ts")).alias("_closing"),
+    )
+    line = Window.partitionBy("customer_id").orderBy("_month")
+    earlier = F.lag("_closing").over(line)
+    months = months.withColumn("_opens", earlier.isNull() | (earlier != F.col("_opening")))
+    months = months.withColumn("_begins", F.when(F.col("_opens"), F.col("_start")).otherwise(F.col("_inner")))
+    later = F.first("_begins", ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing))
+    edges = months.select(*key, "_opens", later.alias("_after"))
+    joined = rows.join(edges, key, "left")
+    changes = joined.filter(F.when(F.col("_first"), F.coalesce("_opens", F.lit(True))).otherwise(F.col("_before") != F.col("hash_diff")))
+    changes = changes.withColumn("_next", F.coalesce(F.lead("effective_ts").over(in_month), "_after"))
     return changes.select(
         "customer_id",
         *TRACKED,
