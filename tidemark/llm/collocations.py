@@ -25,7 +25,7 @@ from tidemark.llm.shared import slices, stored
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words of a shard, whose index one task holds: texts are added until it has as many.
-SHARD = 3_000_000
+SHARD = 1_500_000
 #: Frequent phrases, and a quarter of the shards' phrases, that may be sent whole to every task; more meet by a shuffle.
 FEW = 500_000
 #: Marks the border of a piece; this byte is in no UTF-8 text.
@@ -217,68 +217,81 @@ _INDEX_TYPES = pa.schema(
 )
 
 
-def _longer(index: DataFrame, right: bool) -> DataFrame:
-    """``shard, head, tail, size, lo, rlo``: a shard's phrases of one word more, head and tail both being alive there."""
+class Frequent:
+    """A bounded number of frequent phrases by the ids of their heads and tails, for tasks to look up."""
+
+    def __init__(self, sums: DataFrame):
+        table = sums.select("head", "tail", "id").toArrow()
+        heads, tails, ids = (table.column(c).to_numpy() for c in ("head", "tail", "id"))
+        self.heads, self.tails = np.unique(heads), np.unique(tails)
+        key = np.searchsorted(self.heads, heads) * len(self.tails) + np.searchsorted(self.tails, tails)
+        order = np.argsort(key)
+        self.key, self.ids = key[order], ids[order]
+
+    def find(self, head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of some phrases are among them, and their ids."""
+        h = np.minimum(np.searchsorted(self.heads, head), len(self.heads) - 1)
+        t = np.minimum(np.searchsorted(self.tails, tail), len(self.tails) - 1)
+        wanted = h * len(self.tails) + t
+        k = np.minimum(np.searchsorted(self.key, wanted), len(self.key) - 1)
+        hit = np.flatnonzero((self.heads[h] == head) & (self.tails[t] == tail) & (self.key[k] == wanted))
+        return hit, self.ids[k[hit]]
+
+
+def _longer(index: DataFrame, right: bool, frequent=None) -> DataFrame:
+    """``shard, head, tail, size, lo, rlo``: a shard's phrases of one word more, head and tail both being alive there.
+
+    With ``frequent``, a broadcast :class:`Frequent`, those among them only, packed: ``shard, alive``.
+    """
     rows = index.select("shard", "length", "symbols", F.col("backward" if right else "forward").alias("data"), "alive")
 
+    def found(batch: pa.RecordBatch, k: int) -> tuple[int, list[np.ndarray]]:
+        shard, length, symbols, data = (batch.column(c)[k].as_py() for c in range(4))
+        ids, lo, rlo, size = _unpack(batch.column(4)[k].values)
+        at, other = (rlo, lo) if right else (lo, rlo)
+        phrase, _, new_at, new_other, count = extended(_unpacked(data, length, np.int32), at, size, other, symbols)
+        met = inside(new_at, at, size)
+        keep = met >= 0
+        own, beyond = ids[phrase[keep]], ids[met[keep]]
+        head, tail = (own, beyond) if right else (beyond, own)
+        starts = (new_other[keep], new_at[keep]) if right else (new_at[keep], new_other[keep])
+        return shard, [head, tail, count[keep], *starts]
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                shard, length, symbols, data = (batch.column(c)[k].as_py() for c in range(4))
-                ids, lo, rlo, size = _unpack(batch.column(4)[k].values)
-                at, other = (rlo, lo) if right else (lo, rlo)
-                phrase, _, new_at, new_other, count = extended(_unpacked(data, length, np.int32), at, size, other, symbols)
-                met = inside(new_at, at, size)
-                keep = met >= 0
-                own, beyond = ids[phrase[keep]], ids[met[keep]]
-                head, tail = (own, beyond) if right else (beyond, own)
-                starts = (new_other[keep], new_at[keep]) if right else (new_at[keep], new_other[keep])
-                arrays = [pa.array(x.astype(np.int64)) for x in (np.full(len(head), shard), head, tail)]
-                arrays += [pa.array(x.astype(np.int32)) for x in (count[keep], *starts)]
-                yield from pa.Table.from_arrays(arrays, ["shard", "head", "tail", "size", "lo", "rlo"]).to_batches(100_000)
-
+                shard, columns = found(batch, k)
+                if frequent is not None:
+                    hit, ids = frequent.value.find(*columns[:2])
+                    if len(hit):
+                        size, lo, rlo = (c[hit] for c in columns[2:])
+                        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), _pack([ids, lo, rlo, size])], ["shard", "alive"])
+                    continue
+                for at in range(0, len(columns[0]), 100_000):
+                    part = [c[at : at + 100_000] for c in columns]
+                    arrays = [pa.array(np.full(len(part[0]), shard)), *(pa.array(c.astype(np.int64)) for c in part[:2])]
+                    arrays += [pa.array(c.astype(np.int32)) for c in part[2:]]
+                    yield pa.RecordBatch.from_arrays(arrays, ["shard", "head", "tail", "size", "lo", "rlo"])
+                pa.default_memory_pool().release_unused()
+
+    if frequent is not None:
+        return rows.mapInArrow(work, f"shard long, alive {_PACKED}")
     return rows.mapInArrow(work, "shard long, head long, tail long, size int, lo int, rlo int")
 
 
-def _alive(rows: DataFrame, sums: DataFrame, few: bool) -> DataFrame:
-    """``shard, alive``: of a shard's phrases those that are frequent over all shards, packed.
-
-    A bounded number of frequent phrases is sent to all tasks, which look up what they read; more meet it by a shuffle.
-    """
-    if few:
-        table = sums.select("head", "tail", "id").toArrow()
-        heads, tails, names = (table.column(c).to_numpy() for c in ("head", "tail", "id"))
-        some_heads, some_tails = np.unique(heads), np.unique(tails)
-        key = np.searchsorted(some_heads, heads) * len(some_tails) + np.searchsorted(some_tails, tails)
-        order = np.argsort(key)
-        shared = rows.sparkSession.sparkContext.broadcast((some_heads, some_tails, key[order], names[order]))
-    else:
-        rows = rows.join(sums.select("head", "tail", "id"), ["head", "tail"])
-
-    def named(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        """Which rows stay, and their ids."""
-        if not few:
-            return np.arange(batch.num_rows), batch.column("id").to_numpy()
-        some_heads, some_tails, key, names = shared.value
-        head, tail = batch.column("head").to_numpy(), batch.column("tail").to_numpy()
-        h = np.minimum(np.searchsorted(some_heads, head), len(some_heads) - 1)
-        t = np.minimum(np.searchsorted(some_tails, tail), len(some_tails) - 1)
-        wanted = h * len(some_tails) + t
-        k = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
-        hit = np.flatnonzero((some_heads[h] == head) & (some_tails[t] == tail) & (key[k] == wanted))
-        return hit, names[k[hit]]
+def _joined(rows: DataFrame, sums: DataFrame) -> DataFrame:
+    """The same for any number of frequent phrases, which meet the shards' phrases by a shuffle."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit, ids = named(batch)
-            shard, size, lo, rlo = (batch.column(c).to_numpy()[hit] for c in ("shard", "size", "lo", "rlo"))
+            shard, ids, lo, rlo, size = (batch.column(c).to_numpy() for c in ("shard", "id", "lo", "rlo", "size"))
             for own in np.unique(shard):
                 mine = shard == own
                 packed = _pack([ids[mine], lo[mine], rlo[mine], size[mine]])
                 yield pa.RecordBatch.from_arrays([pa.array([own], pa.int64()), packed], ["shard", "alive"])
 
-    packed = rows.mapInArrow(work, f"shard long, alive {_PACKED}")
-    return packed.groupBy("shard").agg(F.collect_list("alive").alias("alive"))
+    met = rows.join(sums.select("head", "tail", "id"), ["head", "tail"])
+    return met.select("shard", "id", "lo", "rlo", "size").mapInArrow(work, f"shard long, alive {_PACKED}")
 
 
 def phrases(
@@ -307,7 +320,8 @@ def phrases(
     one = often.select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("head"), none.alias("tail"))
     found, level, alive = [one], one, index
     for words in range(2, longest + 1):
-        rows = stored(_longer(alive, right=words % 2 == 0), f"phrases-of-{words}")
+        right = words % 2 == 0
+        rows = _longer(alive, right)  # not kept: there are many, and they are made again where they are frequent
         sums = rows.groupBy("head", "tail").agg(F.sum("size").alias("f")).filter(F.col("f") >= least)
         sums = stored(sums.withColumn("id", F.monotonically_increasing_id()), f"frequent-phrases-of-{words}")
         n = sums.count()
@@ -323,7 +337,12 @@ def phrases(
         level = stored(level, f"phrases-of-{words}-named")
         found.append(level)
         if words < longest:
-            kept = stored(_alive(rows, sums, n <= few), f"alive-phrases-of-{words}")
+            if n <= few:
+                kept = _longer(alive, right, docs.sparkSession.sparkContext.broadcast(Frequent(sums)))
+            else:
+                kept = _joined(rows, sums)
+            kept = kept.groupBy("shard").agg(F.collect_list("alive").alias("alive"))
+            kept = stored(kept, f"alive-phrases-of-{words}")
             held = kept.select(F.explode("alive.n").alias("n")).agg(F.sum("n")).first()[0] or 0
             alive = index.drop("alive").join(F.broadcast(kept) if held <= 4 * few else kept, "shard")
     out = found[0]
