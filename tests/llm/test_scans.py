@@ -230,7 +230,7 @@ def test_disguised_words_are_restored(spark, edge, none):
     model = toxicity.character_model(toxicity.trigrams(docs))
     for token, word in {"1d10t": "idiot", "i.d.i.o.t": "idiot", "stuuupid": "stupid", "$cum": "scum", "w0rthle55": "worthless"}.items():
         assert toxicity.disguised(token) and word in toxicity.readings(token, model)
-    scorer = toxicity.Scorer({"idiot$": {0: 0.9}}, model)
+    scorer = toxicity.Scorer({"idiot$": {0: 0.9}}, model, "one")
     assert scorer.text("you i d i o t !") == scorer.text("an 1d10t.") == scorer.text("IDIOOOT") == 0.9
     assert scorer.text("") == scorer.text("a fine day") == 0.0
     labels = spark.createDataFrame([(1, 1), (2, None), (None, 1), (1, 0), (999, 1)], "doc_id long, toxic int")
@@ -286,7 +286,7 @@ def test_readings_are_those_of_an_exhaustive_search(spark):
 def test_long_and_spaced_disguises(spark):
     words = "the stupid idiot is worthless and pathetic loser scum with a good day you are".split()
     docs = spark.createDataFrame([(n, " ".join(words[n % 7 :] + words)) for n in range(50)], "doc_id long, text string")
-    scorer = toxicity.Scorer({f"{w}$": {0: 0.9} for w in ("idiot", "stupid")}, toxicity.character_model(toxicity.trigrams(docs)))
+    scorer = toxicity.Scorer({f"{w}$": {0: 0.9} for w in ("idiot", "stupid")}, toxicity.character_model(toxicity.trigrams(docs)), "two")
     for text in ("you are a s t u p i d", "y o u i d i o t", "$ t u p i d", "such a s.t.u.p.i.d thing", "i" * 45 + "diot",
                  "i" * 300 + "diot", "the.good.day." * 9 + "1d10t." + "and.all." * 9, "g o o d " * 60 + "i d i o t"):
         assert scorer.text(text) == 0.9, text

@@ -30,7 +30,7 @@ class WordCounter:
     """Numbers of tokens of texts under a tokenizers file whose pre-tokenizer drops white space."""
 
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
-        self.tokenizer, self.known = tokenizer_of(path), memory("word counts", path)
+        self.tokenizer, self.known = tokenizer_of(path), memory("words", f"counts {path}")
         self.chunk, self.overlap = chunk, overlap
         own = memory("word lengths", path)
         if not own:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import slices, stored
+from tidemark.llm.word_memory import memory
 
 #: Labelled documents that the features are learnt from at most, chosen by a hash of the id.
 TRAIN_ROWS = 40_000
@@ -47,7 +48,7 @@ BORDER = 1.0
 #: Symbols that are decoded at once; longer ones are decoded in pieces that overlap by half, so no word of up to half as
 #: many letters is cut in all of them.
 PIECE = 64
-#: Words that are remembered while a task lasts; then it starts anew, which costs time and changes nothing.
+#: Words that a worker remembers at most; then it starts anew, which costs time and changes nothing.
 MOST = 300_000
 TRIM = ".,;:?\"'()[]{}…«»“”„`~^%&=/\\>-_#*"
 SPACED = re.compile(r"(?<!\S)(?:[\w@$!|+(<€£¡*#][ .\-_*]){2,}[\w@$!|+(<€£¡*#](?![^\s.,;:!?])")
@@ -270,13 +271,13 @@ def toxic_features(sample: DataFrame, support: int = SUPPORT, least: int = LEAST
 
 
 class Scorer:
-    """Scores texts by learnt features; words are remembered while it lasts, which is one task.
+    """Scores texts by learnt features; words are remembered by the worker until it meets another model.
 
     Most words have no disguise and begin like no feature, which is seen at once.
     """
 
-    def __init__(self, weights: dict[str, dict[int, float]], model: np.ndarray):
-        self.weights, self.model, self.known = weights, flat(model), {}
+    def __init__(self, weights: dict[str, dict[int, float]], model: np.ndarray, key: str):
+        self.weights, self.model, self.known = weights, flat(model), memory("words", f"toxicity {key}")
         self.starts = {f[:3] for f in weights}
 
     def _of(self, found: Iterator[str]) -> tuple[str, ...]:
@@ -309,7 +310,7 @@ class Scorer:
     def text(self, text: str) -> float:
         small = text.lower()
         words = Counter(small.split())
-        known, starts, stretched, found = self.known, self.starts, REPEATED.search(small), {}
+        known, starts, found = self.known, self.starts, {}
         if len(known) > MOST:
             known.clear()
         for w in words:
@@ -317,7 +318,7 @@ class Scorer:
             if own is None:
                 core = w.strip(TRIM)
                 plain = core.isascii() and core.isalpha() or not SYMBOL.search(core)
-                if plain and (core + "$")[:3] not in starts and not (stretched and REPEATED.search(core)):
+                if plain and (core + "$")[:3] not in starts and not REPEATED.search(core):
                     known[w] = ()
                     continue
                 own = known[w] = self.word(w)
@@ -375,7 +376,9 @@ def _learnt(docs, labels, id_col, text_col, label_col, train_rows):
     model = character_model(trigrams(docs, text_col))
     sample = stored(_sample(docs, labels, id_col, text_col, label_col, train_rows).select("text", "y"), "toxicity-sample")
     weights = toxic_features(sample)
-    shared = docs.sparkSession.sparkContext.broadcast((weights, model))
+    told = repr(sorted((f, sorted(w.items())) for f, w in weights.items()))
+    key = f"{xxhash.xxh64_hexdigest(model.tobytes())}-{xxhash.xxh64_hexdigest(told)}"
+    shared = docs.sparkSession.sparkContext.broadcast((weights, model, key))
     return shared, _sample_cut(sample, shared)
 
 

@@ -16,8 +16,8 @@ MOST = 500_000
 def memory(purpose: str, key: str = "") -> dict:
     """A dictionary that outlives the task; it belongs to the worker process and holds only what can be recomputed.
 
-    There is one for each purpose: another key drops what the last one gathered, so a worker does not grow with the
-    number of models or files that it meets.
+    There is one for each purpose: another key drops what the last one gathered. All dictionaries of words share one
+    purpose, so a worker holds one of them, however many models and files it meets.
     """
     kept = vars(sys.modules.setdefault("_tidemark_worker_memory", types.ModuleType("_tidemark_worker_memory")))
     if kept.get(purpose, ("", {}))[0] != key:
@@ -51,7 +51,7 @@ class ByteLevelIds:
     PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
     def __init__(self, path: str):
-        self.known = memory("byte-level", path)
+        self.known = memory("words", f"byte-level {path}")
         self.tokenizer = tokenizer_of(path)
         own = memory("ranks", path)
         if not own:
