@@ -1,11 +1,12 @@
 """The plans behind the queries: what is pushed down, combined early, and never done."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import recon, session_days, sessions
+from tidemark.operators import facts, recon, session_days, sessions
 from tidemark.operators.asof import as_of_customer
 from tidemark.operators.joins import left_join, without
 from tidemark.operators.latest import latest_by_key
@@ -165,6 +166,45 @@ def test_a_small_batch_leaves_orders_and_the_dimension_unshuffled(spark, large_t
     assert "SortMergeJoin" in seen[-1] and "BroadcastHashJoin" not in seen[-1]
 
 
+def test_a_first_build_meets_no_stored_rows_and_keeps_no_copies(spark, tmp_path, monkeypatch):
+    from tidemark.plans import serving
+    from tidemark.plans.warehouse import Warehouse
+    from tidemark.sources import tables as stores
+    from tidemark.sources.star import ORDERS_AS_OF
+    from tidemark.sources.tables import BATCH
+
+    star, wh = Star(spark, FOLDER), Warehouse(spark, str(tmp_path / "w"))
+    clean = {n: getattr(star, n)() for n in ("customers", "products", "orders", "payments", "returns")}
+    snap = wh.clean.snapshot()
+    written = {n: wh.clean.write(n, df.withColumn(BATCH, F.lit(1)), 1) for n, df in clean.items()}
+    wh.clean.publish(snap, written, {})
+    refused = lambda *_: pytest.fail("a first build has no use for this")
+    for place, name in ((serving, "change_images"), (serving, "cut_lineage"), (stores, "cut_lineage")):
+        monkeypatch.setattr(place, name, refused)
+    monkeypatch.setattr(serving, "SMALL_BATCH", 10)
+    stamp = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    result = serving.build_batch(wh, 1, stamp, ORDERS_AS_OF, days=None)
+    assert result.updated == list(serving.BUILD_ORDER)
+    for name in ("fact_orders", "fact_payments", "fact_returns"):
+        want = getattr(facts, name)
+        dim = wh.served.read("dim_customer")
+        given = [clean["payments"], clean["orders"]] if name == "fact_payments" else [clean[name.removeprefix("fact_")]]
+        assert sorted(map(str, wh.served.read(name).collect())) == sorted(map(str, want(*given, dim, stamp).collect()))
+
+
+def test_partitions_are_written_without_drawing_ranges(spark, tmp_path, monkeypatch):
+    from tidemark.sources.tables import Layout, SnapshotTables, month_of
+
+    at = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.col("id").cast("int"))
+    rows = spark.range(90).select((89 - F.col("id")).alias("k"), at.alias("at"), F.lit(1).cast("long").alias("_batch"))
+    monkeypatch.setattr(type(rows), "repartitionByRange", lambda *_: pytest.fail("bounds are drawn by a run of their own"))
+    tables = SnapshotTables(spark, str(tmp_path), {"t": rows.drop("_batch").schema}, {"t": Layout(part=month_of("at"), sort=("k",))})
+    for folder in tables.write("t", rows, 1).values():
+        for file in Path(folder).glob("*.parquet"):
+            keys = [r.k for r in spark.read.parquet(str(file)).collect()]
+            assert keys == sorted(keys) and keys
+
+
 def test_new_rows_are_found_without_shuffling_a_large_target(spark):
     target = spark.range(1_000_000).select(F.col("id").cast("string").alias("k"))
     batch = spark.createDataFrame([("5",), ("new",)], "k string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, timedelta
 
@@ -39,6 +41,11 @@ def _newest_batch(snap: Snapshot, name: str) -> int | None:
     return max((batch_of(f) for f in snap.folders.get(name, {}).values()), default=None)
 
 
+#: The tables of a build as its message lists them.
+BUILD_ORDER = (
+    "dim_product", "dim_customer", "fact_orders", "fact_payments", "fact_returns",
+    "sales_sums_cash", "daily_sales_cash", "sales_sums_accrual", "daily_sales_accrual",
+)
 #: Keys of a batch that may be sent whole to every task.
 SMALL_BATCH = 500_000
 
@@ -55,6 +62,22 @@ def named_by(batch: DataFrame, column: str, table: DataFrame, key: str | None =
     return cut_lineage(table.join(F.broadcast(keys) if few else keys, key, "left_semi").select(table.columns))
 
 
+def side_by_side(*steps: Callable[[], None]) -> None:
+    """Run steps that do not build on each other at one time, so that the last tasks of one leave no core idle."""
+    with ThreadPoolExecutor(max(len(steps), 1)) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
+def looked_up_by(batch: DataFrame, column: str, table: DataFrame, key: str | None = None) -> DataFrame:
+    """The rows of a large table that a lookup from a batch may need: those it names, or all of them.
+
+    A batch of more than ``SMALL_BATCH`` rows meets the table by a shuffle in any case. Its share of the table is then not
+    looked for and stored first, and a lookup finds nothing else in the whole.
+    """
+    return table if batch.count() > SMALL_BATCH else named_by(batch, column, table, key)
+
+
 def build_batch(
     wh: Warehouse,
     batch: int,
@@ -103,37 +126,49 @@ def build_batch(
     dim = table("dim_customer")
     lookup = lookup_for(dim)
     orders, payments, returns = changed("orders"), changed("payments"), changed("returns")
-    if orders is not None:
-        upsert("fact_orders", facts.fact_orders(orders, named_by(orders, "customer_id", dim), run_ts, lookup), "order_id")
-    if payments is not None:
-        paid = named_by(payments, "order_id", wh.clean.read("orders", clean))
-        payers = named_by(paid, "customer_id", dim)
+
+    def build_orders() -> None:
+        upsert("fact_orders", facts.fact_orders(orders, looked_up_by(orders, "customer_id", dim), run_ts, lookup), "order_id")
+
+    def build_payments() -> None:
+        paid = looked_up_by(payments, "order_id", wh.clean.read("orders", clean).select("order_id", "customer_id"))
+        payers = looked_up_by(paid, "customer_id", dim)
         upsert("fact_payments", facts.fact_payments(payments, paid, payers, run_ts, lookup), "payment_id")
-    if returns is not None:
-        upsert("fact_returns", facts.fact_returns(returns, named_by(returns, "customer_id", dim), run_ts, lookup), "return_id")
+
+    def build_returns() -> None:
+        upsert("fact_returns", facts.fact_returns(returns, looked_up_by(returns, "customer_id", dim), run_ts, lookup), "return_id")
+
+    news = ((build_orders, orders), (build_payments, payments), (build_returns, returns))
+    side_by_side(*[build for build, rows in news if rows is not None])
     if (orders is not None or returns is not None) and days is None:
         _add_changes(wh, snap, table, replace, run_ts, folders)
     elif orders is not None or returns is not None:
         _refresh_sales(wh, table, replace, run_ts, as_of, days)
     if consumed:
         wh.served.publish(snap, folders, consumed)
+    result.updated.sort(key=BUILD_ORDER.index)  # steps that ran at one time end in any order
     return result
 
 
 def _add_changes(wh, snap, table, replace, run_ts, folders) -> None:
-    """All days kept right by what the batch changed: old images of its rows count minus, new ones plus."""
+    """All days kept right by what the batch changed: old images of its rows count minus, new ones plus.
+
+    Sums that are not there yet are made of all rows, and need no images.
+    """
     old = {name: wh.served.read(name, snap) for name in ("fact_orders", "fact_returns")}
+    kept = [basis for basis in ("cash", "accrual") if f"sales_sums_{basis}" in snap.folders]
     images = {}
-    for name, key in (("fact_orders", "order_id"), ("fact_returns", "return_id")):
+    for name, key in (("fact_orders", "order_id"), ("fact_returns", "return_id")) if kept else ():
         if name in folders:  # only rows that this publication stamped have changed
             now = wh.served.read_stored(name, Snapshot(snap.version, folders)).filter(F.col(BATCH) == snap.next).drop(BATCH)
             images[name] = cut_lineage(change_images(named_by(now, key, old[name]), now, [key]))
         else:
             images[name] = old[name].limit(0).withColumn("_action", F.lit(""))
     states = ((old["fact_orders"], old["fact_returns"]), (table("fact_orders"), table("fact_returns")))
-    for basis in ("cash", "accrual"):
+
+    def keep(basis: str) -> None:
         name, accrual = f"sales_sums_{basis}", basis == "accrual"
-        if name in snap.folders:
+        if basis in kept:
             delta = sales.sales_delta(images["fact_orders"], images["fact_returns"], accrual, *states)
             sums = sales.add_sums(table(name), delta)
         else:
@@ -141,6 +176,8 @@ def _add_changes(wh, snap, table, replace, run_ts, folders) -> None:
         replace(name, sums)
         replace(f"daily_sales_{basis}", sales.daily_from_sums(table(name), run_ts))
 
+    side_by_side(lambda: keep("cash"), lambda: keep("accrual"))
+
 
 def _refresh_sales(wh, table, replace, run_ts, as_of, days) -> None:
     # Months before the refreshed days are not opened. A return may undo an order of any

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import suppress
 from dataclasses import replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ from tidemark.plans.clean import merge_batch
 from tidemark.plans.erase import record_request
 from tidemark.plans.ingest import ingest_feed
 from tidemark.plans.jobs import logged
-from tidemark.plans.serving import build_batch, build_events
+from tidemark.plans.serving import build_batch, build_events, side_by_side
 from tidemark.plans.warehouse import Warehouse
 from tidemark.schemas import EVENTS, FACT_EVENTS, FACT_ORDERS, FEEDS, ORDERS, conform
 from tidemark.sources import landing
@@ -777,7 +777,12 @@ def _built_warehouse(star: Star) -> Warehouse:
     wh = Warehouse(star.spark, new_folder(star.spark, "warehouse"))
     snap = wh.clean.snapshot()
     clean = {"customers": star.customers(), "products": star.products(), **{n: t for n, t in _layer(star).items() if n in ("orders", "payments", "returns")}}
-    folders = {name: wh.clean.write(name, df.withColumn(BATCH, F.lit(snap.next)), snap.next) for name, df in clean.items()}
+    folders = {}
+
+    def write(name: str, df: DataFrame) -> None:
+        folders[name] = wh.clean.write(name, df.withColumn(BATCH, F.lit(snap.next)), snap.next)
+
+    side_by_side(*[partial(write, name, df) for name, df in clean.items()])
     wh.clean.publish(snap, folders, {})
     build_batch(wh, 1, _run_ts(), ORDERS_AS_OF, days=None)
     return wh

@@ -48,8 +48,10 @@ class Layout:
 def write_parquet(df: DataFrame, folder: str, layout: Layout = Layout(), partition_by: Sequence[str] = ()) -> None:
     """Write ``df`` to a folder of its own in the table's layout."""
     if layout.sort:
-        # Neighbouring keys share row groups, so readers skip the others by their min and max.
-        df = df.repartitionByRange(*partition_by, *layout.sort).sortWithinPartitions(*partition_by, *layout.sort)
+        # Neighbouring keys share row groups, so readers skip the others by their min and max. Ranges cost a second run of
+        # the last stage, to draw their bounds from; partitions of their own need none, and large ones are cut by size.
+        dealt = df.hint("rebalance", *partition_by) if layout.part is not None else df.repartitionByRange(*partition_by, *layout.sort)
+        df = dealt.sortWithinPartitions(*partition_by, *layout.sort)
     writer = df.write.mode("overwrite")
     for column in layout.bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
@@ -201,7 +203,7 @@ class SnapshotTables:
     def _read_folders(self, name: str, folders: Sequence[str]) -> DataFrame:
         schema = self._stored_schema(name)
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], schema).limit(0)  # known to be empty: a first load meets no join
         return self.spark.read.schema(schema).parquet(*folders)
 
     def read_stored(self, name: str, snap: Snapshot, parts: set[str] | None = None) -> DataFrame:
@@ -263,8 +265,11 @@ class SnapshotTables:
     ) -> dict[str, str]:
         """``merge(stored, source)`` for the partitions ``source`` touches; returns the table's new listing.
 
-        The batch is needed several times, so it is computed once and kept in the shared folder.
+        The batch is needed several times, so it is computed once and kept in the shared folder. A table that has nothing
+        yet is written at once.
         """
+        if not snap.folders.get(name):
+            return self.write(name, merge(self.read_stored(name, snap), source), batch)
         source = cut_lineage(source)
         touched = self.touched_parts(name, source, keys, snap)
         kept = {p: f for p, f in snap.folders.get(name, {}).items() if p not in touched}
