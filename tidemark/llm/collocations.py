@@ -14,9 +14,11 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 SHARD = 1_500_000
 #: Frequent phrases, and a quarter of the shards' phrases, that may be sent whole to every task; more meet by a shuffle.
 FEW = 500_000
+#: Words or phrases of all shards, on average at most, that one group of a sum holds.
+SHARE = 4_000_000
 #: Marks the border of a piece; this byte is in no UTF-8 text.
 BORDER = b"\xff"
 #: Characters that end a piece become line feeds.
@@ -168,21 +172,95 @@ def _unpack(packed: pa.StructArray) -> list[np.ndarray]:
     ]
 
 
-def _indexed(pieces: DataFrame, shard_of: DataFrame, frequent: DataFrame, local: DataFrame, longest: int) -> DataFrame:
+def _known(pieces: DataFrame, shard_of: DataFrame, least: int, parts: int) -> DataFrame:
+    """``lang, word, f, id`` of frequent words, and ``shard, piece, n, at, ids`` of where pieces hold them, packed.
+
+    Words meet by a hash in one of ``parts`` groups; a piece sends each word once, in one row per group.
+    """
+    rows = pieces.select("piece", "lang", "words", "counts").join(F.broadcast(shard_of), "piece")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                piece, lang, words, counts, shard = (batch.column(c).slice(k, 1) for c in range(5))
+                words, counts = words.flatten(), counts.flatten().to_numpy()
+                part = np.fromiter((crc32(w.encode()) for w in words.to_pylist()), np.int64, len(words)) % parts
+                order = np.argsort(part, kind="stable")
+                ends = np.searchsorted(part[order], np.arange(parts + 1))
+                for own in range(parts):
+                    at = order[ends[own] : ends[own + 1]]
+                    if len(at):
+                        lists = (pa.array([v], t) for v, t in ((words.take(pa.array(at)), pa.list_(pa.string())), (at, pa.list_(pa.int64())), (counts[at], pa.list_(pa.int64()))))
+                        yield pa.RecordBatch.from_arrays([pa.array([own], pa.int64()), shard, piece, lang, *lists], _DEALT)
+
+    dealt = rows.mapInArrow(deal, "part long, shard long, piece long, lang string, words array<string>, at array<long>, counts array<long>")
+
+    def work(table: pa.Table) -> pa.Table:
+        own, taken, out = table.column("part")[0].as_py(), 0, []
+        langs = np.array(table.column("lang").to_pylist(), object)
+        for lang in sorted(set(langs)):
+            some = table.take(np.flatnonzero(langs == lang))
+            words, at, counts = (pc.list_flatten(some.column(c)) for c in ("words", "at", "counts"))
+            coded = pa.concat_arrays(words.chunks).dictionary_encode()
+            codes, at = coded.indices.to_numpy(), at.to_numpy()
+            sums = np.zeros(len(coded.dictionary), np.int64)
+            np.add.at(sums, codes, counts.to_numpy())
+            often = np.flatnonzero(sums >= least)
+            ids = np.full(len(sums), -1)
+            ids[often] = (taken + np.arange(len(often))) * parts + own
+            taken += len(often)
+            names = coded.dictionary.take(pa.array(often))
+            columns = {"lang": pa.array([lang] * len(often), pa.string()), "word": names, "f": sums[often], "id": ids[often]}
+            out.append(_filled(columns, len(often)))
+            ends = np.cumsum(pc.list_value_length(some.column("words")).to_numpy())
+            packs = {c: [] for c in ("shard", "piece", "n", "at", "ids")}
+            for shard, piece, begin, end in zip(some.column("shard").to_pylist(), some.column("piece").to_pylist(), [0, *ends[:-1]], ends):
+                mine = ids[codes[begin:end]]
+                hit = mine >= 0
+                if hit.any():
+                    row = (shard, piece, int(hit.sum()), _packed(at[begin:end][hit]), _packed(mine[hit]))
+                    for c, value in zip(packs, row):
+                        packs[c].append(value)
+            out.append(_filled(packs, len(packs["n"])))
+        return pa.concat_tables(out)
+
+    kind = "lang string, word string, f long, id long, shard long, piece long, n long, at binary, ids binary"
+    return dealt.groupBy("part").applyInArrow(work, kind)
+
+
+_DEALT = ["part", "shard", "piece", "lang", "words", "at", "counts"]
+_KNOWN_TYPES = pa.schema(
+    [
+        ("lang", pa.string()), ("word", pa.string()), ("f", pa.int64()), ("id", pa.int64()), ("shard", pa.int64()),
+        ("piece", pa.int64()), ("n", pa.int64()), ("at", pa.binary()), ("ids", pa.binary()),
+    ]
+)
+
+
+def _filled(columns: dict, rows: int) -> pa.Table:
+    """Some columns of ``_KNOWN_TYPES``; the others are null."""
+    given = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in _KNOWN_TYPES]
+    return pa.Table.from_arrays(given, schema=_KNOWN_TYPES)
+
+
+def _indexed(pieces: DataFrame, shard_of: DataFrame, known: DataFrame, longest: int) -> DataFrame:
     """``shard, length, symbols, forward, backward, alive`` of every shard that has a frequent word.
 
     ``alive`` has a shard's frequent words with their intervals, which are the same in both directions.
     """
-    known = local.join(frequent.select("lang", "word", "id"), ["lang", "word"])
-    # One row per piece. Both sides of the cogroup need columns of their own.
-    known = known.join(F.broadcast(shard_of), "piece").select(*(F.col(c).alias(c) for c in ("shard", "piece", "at", "id")))
+    # Both sides of the cogroup need columns of their own.
+    known = known.select(*(F.col(c).alias(c) for c in ("shard", "piece", "n", "at", "ids")))
     texts = pieces.select("piece", "length", "ids").join(F.broadcast(shard_of), "piece")
 
     def work(key, texts: pa.Table, known: pa.Table) -> pa.Table:
         kind = _INDEX_TYPES
         if not known.num_rows:
             return kind.empty_table()
-        of_piece, at, ids = (known.column(c).to_numpy() for c in ("piece", "at", "id"))
+        sizes = known.column("n").to_pylist()
+        of_piece = np.repeat(known.column("piece").to_numpy(), sizes)
+        at, ids = (
+            np.concatenate([_unpacked(p, n, np.int64) for p, n in zip(known.column(c).to_pylist(), sizes)]) for c in ("at", "ids")
+        )
         symbols = np.unique(ids)
         parts = [np.zeros(1, np.int32)]
         for piece, length, data in sorted(zip(*(texts.column(c).to_pylist() for c in ("piece", "length", "ids")))):
@@ -238,10 +316,58 @@ class Frequent:
         return hit, self.ids[k[hit]]
 
 
-def _longer(index: DataFrame, right: bool, frequent=None) -> DataFrame:
+def thin(head: np.ndarray, tail: np.ndarray, size: np.ndarray) -> bytes:
+    """Phrases in order of head and tail, packed: steps from one to the next, byte by byte of their places."""
+    fresh = np.concatenate(([True], head[1:] != head[:-1]))
+    steps = [np.diff(head, prepend=0), np.where(fresh, tail, np.diff(tail, prepend=0)), size]
+    planes = [np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T) for c in steps]
+    return pa.compress(b"".join(p.tobytes() for p in planes), codec="zstd", asbytes=True)
+
+
+def thick(data: bytes, n: int) -> list[np.ndarray]:
+    """Head, tail and size of ``n`` phrases from :func:`thin`."""
+    planes = np.frombuffer(pa.decompress(data, 24 * n, codec="zstd", asbytes=True), np.uint8).reshape(3, 8, n)
+    head, tail, size = (np.ascontiguousarray(p.T).view("<i8").reshape(n) for p in planes)
+    head = np.cumsum(head)
+    first = np.flatnonzero(np.concatenate(([True], head[1:] != head[:-1])))
+    run = np.cumsum(tail)
+    run -= np.repeat(run[first] - tail[first], np.diff(np.append(first, n)))
+    return [head, run, size]
+
+
+def part_of(head: np.ndarray, tail: np.ndarray, parts: int) -> np.ndarray:
+    """Which group sums a phrase. The tails of a very common head are dealt over the groups in blocks of neighbours."""
+    mixed = head.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (tail.astype(np.uint64) >> np.uint64(8)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
+def _summed(counts: DataFrame, least: int, parts: int) -> DataFrame:
+    """``head, tail, f, id`` of phrases that occur ``least`` times over all shards, from ``part, n, data``."""
+
+    def work(table: pa.Table) -> pa.Table:
+        own = table.column("part")[0].as_py()
+        each = [thick(d, n) for d, n in zip(table.column("data").to_pylist(), table.column("n").to_pylist())]
+        head, tail, size = (np.concatenate([e[c] for e in each]) for c in range(3))
+        del each
+        order = np.lexsort((tail, head))
+        head, tail, size = head[order], tail[order], size[order]
+        first = np.flatnonzero(np.concatenate(([True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1]))))
+        f = np.add.reduceat(size, first)
+        often = f >= least
+        found = first[often]
+        columns = [head[found], tail[found], f[often], np.arange(len(found)) * parts + own]
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], ["head", "tail", "f", "id"])
+
+    return counts.groupBy("part").applyInArrow(work, "head long, tail long, f long, id long")
+
+
+def _longer(index: DataFrame, right: bool, frequent=None, parts: int | None = None) -> DataFrame:
     """``shard, head, tail, size, lo, rlo``: a shard's phrases of one word more, head and tail both being alive there.
 
-    With ``frequent``, a broadcast :class:`Frequent`, those among them only, packed: ``shard, alive``.
+    With ``frequent``, a broadcast :class:`Frequent`, those among them only, packed: ``shard, alive``. With ``parts``, their
+    heads, tails and sizes only, packed for the group that sums them: ``part, n, data``.
     """
     rows = index.select("shard", "length", "symbols", F.col("backward" if right else "forward").alias("data"), "alive")
 
@@ -267,6 +393,19 @@ def _longer(index: DataFrame, right: bool, frequent=None) -> DataFrame:
                         size, lo, rlo = (c[hit] for c in columns[2:])
                         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), _pack([ids, lo, rlo, size])], ["shard", "alive"])
                     continue
+                if parts is not None:
+                    head, tail, size = columns[:3]
+                    part = part_of(head, tail, parts)
+                    order = np.lexsort((tail, head, part))
+                    head, tail, size = head[order], tail[order], size[order]
+                    ends = np.searchsorted(part[order], np.arange(parts + 1))
+                    for own in np.flatnonzero(np.diff(ends)):
+                        mine = slice(ends[own], ends[own + 1])
+                        data = thin(head[mine], tail[mine], size[mine])
+                        arrays = [pa.array([v], t) for v, t in ((own, pa.int64()), (mine.stop - mine.start, pa.int64()), (data, pa.binary()))]
+                        yield pa.RecordBatch.from_arrays(arrays, ["part", "n", "data"])
+                    pa.default_memory_pool().release_unused()
+                    continue
                 for at in range(0, len(columns[0]), 100_000):
                     part = [c[at : at + 100_000] for c in columns]
                     arrays = [pa.array(np.full(len(part[0]), shard)), *(pa.array(c.astype(np.int64)) for c in part[:2])]
@@ -276,6 +415,8 @@ def _longer(index: DataFrame, right: bool, frequent=None) -> DataFrame:
 
     if frequent is not None:
         return rows.mapInArrow(work, f"shard long, alive {_PACKED}")
+    if parts is not None:
+        return rows.mapInArrow(work, "part long, n long, data binary")
     return rows.mapInArrow(work, "shard long, head long, tail long, size int, lo int, rlo int")
 
 
@@ -302,6 +443,7 @@ def phrases(
     longest: int = LONGEST,
     shard: int = SHARD,
     few: int = FEW,
+    share: int = SHARE,
 ) -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to ``longest`` words that occur ``least`` times in a language, and ``lang, n`` words in all.
 
@@ -310,20 +452,20 @@ def phrases(
     """
     pieces = stored(_pieces(docs, text_col, lang_col, shard), "pieces")
     totals = pieces.groupBy("lang").agg(F.sum("n").alias("n"))
-    local = pieces.select("piece", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
-    local = local.select("piece", "lang", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    often = local.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    often = stored(often.withColumn("id", F.monotonically_increasing_id()), "frequent-words")
     shard_of = stored(_shards(pieces, shard), "shards")
-    index = stored(_indexed(pieces, shard_of, often, local, longest), "word-indexes")
+    # A shard has no more different words than words, nor more phrases: both bound what a group of a sum holds.
+    size = pieces.agg(F.sum(F.size("words")).alias("words"), F.sum("n").alias("n")).first()
+    known = stored(_known(pieces, shard_of, least, 1 + (size.words or 0) // share), "frequent-words")
+    often = known.filter("word is not null").select("lang", "word", "f", "id")
+    index = stored(_indexed(pieces, shard_of, known.filter("word is null"), longest), "word-indexes")
+    parts = 1 + (size.n or 0) // share
     none = F.lit(None).cast("long")
     one = often.select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("head"), none.alias("tail"))
     found, level, alive = [one], one, index
     for words in range(2, longest + 1):
         right = words % 2 == 0
-        rows = _longer(alive, right)  # not kept: there are many, and they are made again where they are frequent
-        sums = rows.groupBy("head", "tail").agg(F.sum("size").alias("f")).filter(F.col("f") >= least)
-        sums = stored(sums.withColumn("id", F.monotonically_increasing_id()), f"frequent-phrases-of-{words}")
+        # Not kept with their places: there are many, and they are made again where they are frequent.
+        sums = stored(_summed(_longer(alive, right, parts=parts), least, parts), f"frequent-phrases-of-{words}")
         n = sums.count()
         if not n:
             break
@@ -340,7 +482,7 @@ def phrases(
             if n <= few:
                 kept = _longer(alive, right, docs.sparkSession.sparkContext.broadcast(Frequent(sums)))
             else:
-                kept = _joined(rows, sums)
+                kept = _joined(_longer(alive, right), sums)
             kept = kept.groupBy("shard").agg(F.collect_list("alive").alias("alive"))
             kept = stored(kept, f"alive-phrases-of-{words}")
             held = kept.select(F.explode("alive.n").alias("n")).agg(F.sum("n")).first()[0] or 0
@@ -360,6 +502,7 @@ def collocations(
     top: int = TOP,
     shard: int = SHARD,
     few: int = FEW,
+    share: int = SHARE,
 ) -> DataFrame:
     """The first ``top`` phrases of every language: ``lang, rank, phrase, a, l, r, n, score``.
 
@@ -370,7 +513,7 @@ def collocations(
     longer holds it and occurs as often. Order: score, then ``a``, falling, then the phrase in bytes. Null and empty texts
     have no words. Repeated rows count each. An empty table gives no rows. Only text and language are read.
     """
-    every, totals = phrases(docs, text_col, lang_col, least, longest, shard, few)
+    every, totals = phrases(docs, text_col, lang_col, least, longest, shard, few, share)
     longer = every.filter(F.size("words") > 2)
     whole = F.element_at("heads", -1)
     size = F.size("words")  # an id is unique among phrases of its size
