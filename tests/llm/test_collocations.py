@@ -100,6 +100,49 @@ def test_collocations(spark, corpus, edge, none):
     assert co.collocations(none).count() == 0 and co.collocations(df, least=10**6).count() == 0
 
 
+def test_counts_meet_packed_in_groups(spark):
+    rng = np.random.default_rng(4)
+    head, tail = np.divmod(np.unique(rng.integers(0, 10**9, 5000)), 30_000)
+    head, tail, size = head * 2**20, tail + 2**33, rng.integers(1, 9, len(head))
+    for n in (1, len(head)):
+        for given, found in zip((head, tail, size), co.thick(co.thin(head[:n], tail[:n], size[:n]), n)):
+            assert (given[:n] == found).all()
+    hot = co.part_of(np.full(10**5, 7), np.arange(10**5), 8)
+    assert np.bincount(hot, minlength=8).max() < 10**5 / 4, "a common head is spread"
+    rows = made(8, 120)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    want = plain([(r[2], r[1]) for r in rows], 5)
+    assert got(co.collocations(df, least=5, shard=400, share=150)) == want
+    assert got(co.collocations(df, least=5, shard=400, share=150, few=0)) == want
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_no_join_per_word_or_phrase_and_no_table_left(spark, monkeypatch):
+    plans, stored, bucketed = [], co.stored, co._bucketed
+    monkeypatch.setattr(co, "stored", lambda df, purpose: plans.append((purpose, plan(df))) or stored(df, purpose))
+    monkeypatch.setattr(co, "_bucketed", lambda df, n: plans.append(("word-indexes", plan(df))) or bucketed(df, n))
+    df = spark.createDataFrame(made(9, 40), "doc_id long, text string, lang string").repartition(2)
+    co.collocations(df, least=5, shard=200, few=0)
+    assert {"word-indexes", "frequent-words", "frequent-phrases-of-2", "alive-phrases-of-2"} <= {p for p, _ in plans}
+    for purpose, text in plans:
+        joins = [line for line in text.splitlines() if "Join " in line]
+        if not purpose.endswith("-named"):
+            assert all("(shard#" in j or "(piece#" in j for j in joins) and not any("word#" in j for j in joins), (purpose, joins)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("word_indexes")]
+
+
+def test_indexes_stay_where_they_are(spark):
+    index, table = co._bucketed(spark.range(40).selectExpr("id AS shard", "cast(cast(id AS string) AS binary) AS forward"), 5)
+    alive = spark.range(30).selectExpr("id AS shard", "id + 1 AS alive")
+    met = index.hint("merge").join(alive.repartition(5, "shard"), "shard")
+    assert met._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted((r.shard, r.alive) for r in met.collect()) == [(k, k + 1) for k in range(30)]
+    spark.sql(f"DROP TABLE {table}")
+
+
 def test_scores_beyond_64_bits(spark):
     df = spark.createDataFrame([(0,)], "x int")
     big = 10**12

@@ -14,20 +14,26 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from uuid import uuid4
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import slices, stored
+from tidemark.sources.scratch import new_folder
 
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words of a shard, whose index one task holds: texts are added until it has as many.
 SHARD = 1_500_000
-#: Frequent phrases, and a quarter of the shards' phrases, that may be sent whole to every task; more meet by a shuffle.
+#: A quarter of the shards' frequent phrases that may be sent whole to every task; more are shuffled to their shards.
 FEW = 500_000
+#: Phrases of all shards that a group of a sum holds on average at most, and eight times its words: these take more room.
+SHARE = 3_000_000
 #: Marks the border of a piece; this byte is in no UTF-8 text.
 BORDER = b"\xff"
 #: Characters that end a piece become line feeds.
@@ -168,21 +174,95 @@ def _unpack(packed: pa.StructArray) -> list[np.ndarray]:
     ]
 
 
-def _indexed(pieces: DataFrame, shard_of: DataFrame, frequent: DataFrame, local: DataFrame, longest: int) -> DataFrame:
+def _known(pieces: DataFrame, shard_of: DataFrame, least: int, parts: int) -> DataFrame:
+    """``lang, word, f, id`` of frequent words, and ``shard, piece, n, at, ids`` of where pieces hold them, packed.
+
+    Words meet by a hash in one of ``parts`` groups; a piece sends each of its words once, in one row per group.
+    """
+    rows = pieces.select("piece", "lang", "words", "counts").join(F.broadcast(shard_of), "piece")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                piece, lang, words, counts, shard = (batch.column(c).slice(k, 1) for c in range(5))
+                words, counts = words.flatten(), counts.flatten()
+                part = np.fromiter((crc32(w.encode()) for w in words.to_pylist()), np.int64, len(words)) % parts
+                order = np.argsort(part, kind="stable")
+                ends = pa.array(np.searchsorted(part[order], np.arange(parts + 1)), pa.int32())
+                same = pa.array(np.zeros(parts, np.int64))
+                columns = [pa.array(np.arange(parts)), *(c.take(same) for c in (shard, piece, lang))]
+                columns += [pa.ListArray.from_arrays(ends, c.take(pa.array(order))) for c in (words, counts)]
+                columns.append(pa.ListArray.from_arrays(ends, pa.array(order)))
+                yield pa.RecordBatch.from_arrays(columns, ["part", "shard", "piece", "lang", "words", "counts", "at"])
+
+    kind = "part long, shard long, piece long, lang string, words array<string>, counts array<long>, at array<long>"
+    dealt = rows.mapInArrow(deal, kind)
+
+    def work(table: pa.Table) -> pa.Table:
+        own, taken, out = table.column("part")[0].as_py(), 0, []
+        langs = np.array(table.column("lang").to_pylist(), object)
+        for lang in sorted(set(langs)):
+            some = table.take(np.flatnonzero(langs == lang))
+            words, counts, at = (pc.list_flatten(some.column(c)) for c in ("words", "counts", "at"))
+            coded = words.cast(pa.large_string()).combine_chunks().dictionary_encode()
+            codes, at = coded.indices.to_numpy(), at.to_numpy()
+            sums = np.zeros(len(coded.dictionary), np.int64)
+            np.add.at(sums, codes, counts.to_numpy())
+            often = np.flatnonzero(sums >= least)
+            ids = np.full(len(sums), -1)
+            ids[often] = (taken + np.arange(len(often))) * parts + own
+            taken += len(often)
+            names = coded.dictionary.take(pa.array(often)).cast(pa.string())
+            out.append(_filled({"lang": [lang] * len(often), "word": names, "f": sums[often], "id": ids[often]}, len(often)))
+            ends = np.cumsum(pc.list_value_length(some.column("words")).to_numpy())
+            packs = defaultdict(list)
+            for shard, piece, begin, end in zip(*(some.column(c).to_pylist() for c in ("shard", "piece")), [0, *ends[:-1]], ends):
+                mine = ids[codes[begin:end]]
+                hit = mine >= 0
+                if hit.any():
+                    for c, value in zip(("shard", "piece", "n"), (shard, piece, int(hit.sum()))):
+                        packs[c].append(value)
+                    packs["at"].append(_packed(at[begin:end][hit]))
+                    packs["ids"].append(_packed(mine[hit]))
+            out.append(_filled(packs, len(packs["n"])))
+        return pa.concat_tables(out)
+
+    kind = "lang string, word string, f long, id long, shard long, piece long, n long, at binary, ids binary"
+    return dealt.groupBy("part").applyInArrow(work, kind)
+
+
+_KNOWN_TYPES = pa.schema(
+    [
+        ("lang", pa.string()), ("word", pa.string()), ("f", pa.int64()), ("id", pa.int64()), ("shard", pa.int64()),
+        ("piece", pa.int64()), ("n", pa.int64()), ("at", pa.binary()), ("ids", pa.binary()),
+    ]
+)
+
+
+def _filled(columns: dict, rows: int, kind: pa.Schema = _KNOWN_TYPES) -> pa.Table:
+    """Some columns of ``kind``; the others are null."""
+    given = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(rows, f.type) for f in kind]
+    return pa.Table.from_arrays(given, schema=kind)
+
+
+def _indexed(pieces: DataFrame, shard_of: DataFrame, known: DataFrame, longest: int) -> DataFrame:
     """``shard, length, symbols, forward, backward, alive`` of every shard that has a frequent word.
 
     ``alive`` has a shard's frequent words with their intervals, which are the same in both directions.
     """
-    known = local.join(frequent.select("lang", "word", "id"), ["lang", "word"])
-    # One row per piece. Both sides of the cogroup need columns of their own.
-    known = known.join(F.broadcast(shard_of), "piece").select(*(F.col(c).alias(c) for c in ("shard", "piece", "at", "id")))
+    # Both sides of the cogroup need columns of their own.
+    known = known.select(*(F.col(c).alias(c) for c in ("shard", "piece", "n", "at", "ids")))
     texts = pieces.select("piece", "length", "ids").join(F.broadcast(shard_of), "piece")
 
     def work(key, texts: pa.Table, known: pa.Table) -> pa.Table:
         kind = _INDEX_TYPES
         if not known.num_rows:
             return kind.empty_table()
-        of_piece, at, ids = (known.column(c).to_numpy() for c in ("piece", "at", "id"))
+        sizes = known.column("n").to_pylist()
+        of_piece = np.repeat(known.column("piece").to_numpy(), sizes)
+        at, ids = (
+            np.concatenate([_unpacked(p, n, np.int64) for p, n in zip(known.column(c).to_pylist(), sizes)]) for c in ("at", "ids")
+        )
         symbols = np.unique(ids)
         parts = [np.zeros(1, np.int32)]
         for piece, length, data in sorted(zip(*(texts.column(c).to_pylist() for c in ("piece", "length", "ids")))):
@@ -217,35 +297,91 @@ _INDEX_TYPES = pa.schema(
 )
 
 
-class Frequent:
-    """A bounded number of frequent phrases by the ids of their heads and tails, for tasks to look up."""
+def thin(head: np.ndarray, tail: np.ndarray, size: np.ndarray) -> bytes:
+    """Phrases in order of head and tail, packed: steps from one to the next, byte by byte of their places."""
+    fresh = np.concatenate(([True], head[1:] != head[:-1]))
+    steps = [np.diff(head, prepend=0), np.where(fresh, tail, np.diff(tail, prepend=0)), size]
+    planes = [np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T) for c in steps]
+    return pa.compress(b"".join(p.tobytes() for p in planes), codec="zstd", asbytes=True)
+
 
-    def __init__(self, sums: DataFrame):
-        table = sums.select("head", "tail", "id").toArrow()
-        heads, tails, ids = (table.column(c).to_numpy() for c in ("head", "tail", "id"))
-        self.heads, self.tails = np.unique(heads), np.unique(tails)
-        key = np.searchsorted(self.heads, heads) * len(self.tails) + np.searchsorted(self.tails, tails)
-        order = np.argsort(key)
-        self.key, self.ids = key[order], ids[order]
+def thick(data: bytes, n: int) -> list[np.ndarray]:
+    """Head, tail and size of ``n`` phrases from :func:`thin`."""
+    planes = np.frombuffer(pa.decompress(data, 24 * n, codec="zstd", asbytes=True), np.uint8).reshape(3, 8, n)
+    head, tail, size = (np.ascontiguousarray(p.T).view("<i8").reshape(n) for p in planes)
+    head = np.cumsum(head)
+    first = np.flatnonzero(np.concatenate(([True], head[1:] != head[:-1])))
+    run = np.cumsum(tail)
+    run -= np.repeat(run[first] - tail[first], np.diff(np.append(first, n)))
+    return [head, run, size]
 
-    def find(self, head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of some phrases are among them, and their ids."""
-        h = np.minimum(np.searchsorted(self.heads, head), len(self.heads) - 1)
-        t = np.minimum(np.searchsorted(self.tails, tail), len(self.tails) - 1)
-        wanted = h * len(self.tails) + t
-        k = np.minimum(np.searchsorted(self.key, wanted), len(self.key) - 1)
-        hit = np.flatnonzero((self.heads[h] == head) & (self.tails[t] == tail) & (self.key[k] == wanted))
-        return hit, self.ids[k[hit]]
 
+def part_of(head: np.ndarray, tail: np.ndarray, parts: int) -> np.ndarray:
+    """Which group sums a phrase. The tails of a very common head are dealt over the groups in blocks of neighbours."""
+    mixed = head.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed += (tail.astype(np.uint64) >> np.uint64(8)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
 
-def _longer(index: DataFrame, right: bool, frequent=None) -> DataFrame:
-    """``shard, head, tail, size, lo, rlo``: a shard's phrases of one word more, head and tail both being alive there.
 
-    With ``frequent``, a broadcast :class:`Frequent`, those among them only, packed: ``shard, alive``.
+def _summed(counts: DataFrame, least: int, parts: int) -> DataFrame:
+    """``head, tail, f, id`` of phrases that occur ``least`` times over all shards, from ``part, shard, n, data``.
+
+    And for each row of ``counts`` that has any of them ``shard, part, n, at, ids``: which they are in it, packed.
     """
-    rows = index.select("shard", "length", "symbols", F.col("backward" if right else "forward").alias("data"), "alive")
 
-    def found(batch: pa.RecordBatch, k: int) -> tuple[int, list[np.ndarray]]:
+    def work(table: pa.Table) -> pa.Table:
+        part, sizes = table.column("part")[0].as_py(), table.column("n").to_pylist()
+        each = [thick(d, n) for d, n in zip(table.column("data").to_pylist(), sizes)]
+        head, tail, size = (np.concatenate([e[c] for e in each]) for c in range(3))
+        del each
+        order = np.lexsort((tail, head))
+        head, tail, size = head[order], tail[order], size[order]
+        fresh = np.concatenate(([True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])))
+        first = np.flatnonzero(fresh)
+        f = np.add.reduceat(size, first)
+        often = f >= least
+        ids = np.where(often, (np.cumsum(often) - 1) * parts + part, -1)
+        found = first[often]
+        sums = _filled({"head": head[found], "tail": tail[found], "f": f[often], "id": ids[often]}, len(found), _SUMMED_TYPES)
+        given = np.empty(len(order), np.int64)
+        given[order] = ids[np.cumsum(fresh) - 1]
+        answers, begin = defaultdict(list), 0
+        for shard, n in zip(table.column("shard").to_pylist(), sizes):
+            mine = given[begin : begin + n]
+            at = np.flatnonzero(mine >= 0)
+            begin += n
+            if len(at):
+                row = (shard, part, len(at), _packed(np.diff(at, prepend=0)), _packed(np.diff(mine[at], prepend=0)))
+                for c, value in zip(("shard", "part", "n", "at", "ids"), row):
+                    answers[c].append(value)
+        return pa.concat_tables([sums, _filled(answers, len(answers["n"]), _SUMMED_TYPES)])
+
+    kind = "head long, tail long, f long, id long, shard long, part long, n long, at binary, ids binary"
+    return counts.groupBy("part").applyInArrow(work, kind)
+
+
+_SUMMED_TYPES = pa.schema(
+    [
+        ("head", pa.int64()), ("tail", pa.int64()), ("f", pa.int64()), ("id", pa.int64()), ("shard", pa.int64()),
+        ("part", pa.int64()), ("n", pa.int64()), ("at", pa.binary()), ("ids", pa.binary()),
+    ]
+)
+
+
+def _longer(index: DataFrame, right: bool, parts: int, answers: DataFrame | None = None) -> DataFrame:
+    """``part, shard, n, data``: a shard's phrases of one word more, head and tail both being alive there, with their sizes.
+
+    They are packed for the groups that sum them. With ``answers`` of those groups ``shard, alive``: the frequent ones among
+    them with their ids and intervals. They are made again for that, as keeping all of them takes much room.
+    """
+    names = ["shard", "length", "symbols", F.col("backward" if right else "forward").alias("data"), "alive"]
+    if answers is not None:
+        index = index.join(answers, "shard")
+        names.append("answers")
+
+    def found(batch: pa.RecordBatch, k: int) -> tuple[int, list[np.ndarray], np.ndarray, np.ndarray]:
         shard, length, symbols, data = (batch.column(c)[k].as_py() for c in range(4))
         ids, lo, rlo, size = _unpack(batch.column(4)[k].values)
         at, other = (rlo, lo) if right else (lo, rlo)
@@ -255,43 +391,46 @@ def _longer(index: DataFrame, right: bool, frequent=None) -> DataFrame:
         own, beyond = ids[phrase[keep]], ids[met[keep]]
         head, tail = (own, beyond) if right else (beyond, own)
         starts = (new_other[keep], new_at[keep]) if right else (new_at[keep], new_other[keep])
-        return shard, [head, tail, count[keep], *starts]
+        part = part_of(head, tail, parts)
+        order = np.lexsort((tail, head, part))
+        return shard, [c[order] for c in (head, tail, count[keep], *starts)], np.searchsorted(part[order], np.arange(parts + 1))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                shard, columns = found(batch, k)
-                if frequent is not None:
-                    hit, ids = frequent.value.find(*columns[:2])
-                    if len(hit):
-                        size, lo, rlo = (c[hit] for c in columns[2:])
-                        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), _pack([ids, lo, rlo, size])], ["shard", "alive"])
-                    continue
-                for at in range(0, len(columns[0]), 100_000):
-                    part = [c[at : at + 100_000] for c in columns]
-                    arrays = [pa.array(np.full(len(part[0]), shard)), *(pa.array(c.astype(np.int64)) for c in part[:2])]
-                    arrays += [pa.array(c.astype(np.int32)) for c in part[2:]]
-                    yield pa.RecordBatch.from_arrays(arrays, ["shard", "head", "tail", "size", "lo", "rlo"])
+                shard, columns, ends = found(batch, k)
+                sizes = np.diff(ends)
+                own = np.flatnonzero(sizes)
+                data = [thin(*(c[ends[p] : ends[p + 1]] for c in columns[:3])) for p in own]
+                arrays = [pa.array(own), pa.array(np.full(len(own), shard)), pa.array(sizes[own]), pa.array(data, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["part", "shard", "n", "data"])
                 pa.default_memory_pool().release_unused()
 
-    if frequent is not None:
-        return rows.mapInArrow(work, f"shard long, alive {_PACKED}")
-    return rows.mapInArrow(work, "shard long, head long, tail long, size int, lo int, rlo int")
-
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                shard, columns, ends = found(batch, k)
+                hits, ids = [], []
+                for a in sorted(batch.column(5)[k].as_py(), key=lambda a: a["part"]):
+                    hits.append(ends[a["part"]] + np.cumsum(_unpacked(a["at"], a["n"], np.int64)))
+                    ids.append(np.cumsum(_unpacked(a["ids"], a["n"], np.int64)))
+                hit = np.concatenate(hits)
+                size, lo, rlo = (c[hit] for c in columns[2:])
+                alive = pa.ListArray.from_arrays(pa.array([0, 1], pa.int32()), _pack([np.concatenate(ids), lo, rlo, size]))
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), alive], ["shard", "alive"])
+                pa.default_memory_pool().release_unused()
 
-def _joined(rows: DataFrame, sums: DataFrame) -> DataFrame:
-    """The same for any number of frequent phrases, which meet the shards' phrases by a shuffle."""
+    if answers is None:
+        return index.select(*names).mapInArrow(counted, "part long, shard long, n long, data binary")
+    return index.select(*names).mapInArrow(kept, f"shard long, alive array<{_PACKED}>")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shard, ids, lo, rlo, size = (batch.column(c).to_numpy() for c in ("shard", "id", "lo", "rlo", "size"))
-            for own in np.unique(shard):
-                mine = shard == own
-                packed = _pack([ids[mine], lo[mine], rlo[mine], size[mine]])
-                yield pa.RecordBatch.from_arrays([pa.array([own], pa.int64()), packed], ["shard", "alive"])
 
-    met = rows.join(sums.select("head", "tail", "id"), ["head", "tail"])
-    return met.select("shard", "id", "lo", "rlo", "size").mapInArrow(work, f"shard long, alive {_PACKED}")
+def _bucketed(index: DataFrame, buckets: int) -> tuple[DataFrame, str]:
+    """``index`` written once in buckets by shard, so that what is joined to it moves and it does not; and its table's name."""
+    name = f"word_indexes_{uuid4().hex}"
+    path = new_folder(index.sparkSession, "word-indexes")
+    index.write.bucketBy(buckets, "shard").option("path", path).saveAsTable(name, format="parquet")
+    return index.sparkSession.table(name), name
 
 
 def phrases(
@@ -302,6 +441,7 @@ def phrases(
     longest: int = LONGEST,
     shard: int = SHARD,
     few: int = FEW,
+    share: int = SHARE,
 ) -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to ``longest`` words that occur ``least`` times in a language, and ``lang, n`` words in all.
 
@@ -310,23 +450,35 @@ def phrases(
     """
     pieces = stored(_pieces(docs, text_col, lang_col, shard), "pieces")
     totals = pieces.groupBy("lang").agg(F.sum("n").alias("n"))
-    local = pieces.select("piece", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
-    local = local.select("piece", "lang", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    often = local.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    often = stored(often.withColumn("id", F.monotonically_increasing_id()), "frequent-words")
     shard_of = stored(_shards(pieces, shard), "shards")
-    index = stored(_indexed(pieces, shard_of, often, local, longest), "word-indexes")
+    # A shard has no more different phrases than words, which bounds what a group of a sum holds.
+    size = pieces.agg(F.sum(F.size("words")).alias("words"), F.sum("n").alias("n")).first()
+    known = stored(_known(pieces, shard_of, least, 1 + 8 * (size.words or 0) // share), "frequent-words")
+    often = known.filter("word is not null").select("lang", "word", "f", "id")
+    parts = 1 + (size.n or 0) // share
+    index, table = _bucketed(_indexed(pieces, shard_of, known.filter("word is null"), longest), parts)
+    try:
+        found = [*_levels(index, often, least, longest, few, parts)]
+    finally:
+        docs.sparkSession.sql(f"DROP TABLE {table}")
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    return out, totals
+
+
+def _levels(index: DataFrame, often: DataFrame, least: int, longest: int, few: int, parts: int) -> Iterator[DataFrame]:
+    """The frequent phrases of one word, two words and so on, each kept in the shared folder."""
     none = F.lit(None).cast("long")
-    one = often.select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("head"), none.alias("tail"))
-    found, level, alive = [one], one, index
+    level = often.select("id", "lang", F.array("word").alias("words"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("head"), none.alias("tail"))
+    yield level
+    alive = index
     for words in range(2, longest + 1):
         right = words % 2 == 0
-        rows = _longer(alive, right)  # not kept: there are many, and they are made again where they are frequent
-        sums = rows.groupBy("head", "tail").agg(F.sum("size").alias("f")).filter(F.col("f") >= least)
-        sums = stored(sums.withColumn("id", F.monotonically_increasing_id()), f"frequent-phrases-of-{words}")
-        n = sums.count()
-        if not n:
-            break
+        summed = stored(_summed(_longer(alive, right, parts), least, parts), f"frequent-phrases-of-{words}")
+        sums = summed.filter("head is not null").select("head", "tail", "f", "id")
+        if sums.isEmpty():
+            return
         first = level.select(F.col("id").alias("head"), "lang", "words", "heads")
         last = level.select(F.col("id").alias("tail"), F.element_at("words", -1).alias("word"), "tails")
         whole = F.array("f")
@@ -335,20 +487,15 @@ def phrases(
             F.concat("heads", whole).alias("heads"), F.concat("tails", whole).alias("tails"), "head", "tail",
         )
         level = stored(level, f"phrases-of-{words}-named")
-        found.append(level)
+        yield level
         if words < longest:
-            if n <= few:
-                kept = _longer(alive, right, docs.sparkSession.sparkContext.broadcast(Frequent(sums)))
-            else:
-                kept = _joined(rows, sums)
-            kept = kept.groupBy("shard").agg(F.collect_list("alive").alias("alive"))
-            kept = stored(kept, f"alive-phrases-of-{words}")
+            # Dealt as the index is, so that it stays where it is.
+            answers = summed.filter("head is null").select("shard", F.struct("part", "n", "at", "ids").alias("answer"))
+            answers = answers.repartition(parts, "shard").groupBy("shard").agg(F.collect_list("answer").alias("answers"))
+            kept = stored(_longer(alive, right, parts, answers), f"alive-phrases-of-{words}")
             held = kept.select(F.explode("alive.n").alias("n")).agg(F.sum("n")).first()[0] or 0
-            alive = index.drop("alive").join(F.broadcast(kept) if held <= 4 * few else kept, "shard")
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
-    return out, totals
+            kept = F.broadcast(kept) if held <= 4 * few else kept.repartition(parts, "shard")
+            alive = index.drop("alive").join(kept, "shard")
 
 
 def collocations(
@@ -360,6 +507,7 @@ def collocations(
     top: int = TOP,
     shard: int = SHARD,
     few: int = FEW,
+    share: int = SHARE,
 ) -> DataFrame:
     """The first ``top`` phrases of every language: ``lang, rank, phrase, a, l, r, n, score``.
 
@@ -370,7 +518,7 @@ def collocations(
     longer holds it and occurs as often. Order: score, then ``a``, falling, then the phrase in bytes. Null and empty texts
     have no words. Repeated rows count each. An empty table gives no rows. Only text and language are read.
     """
-    every, totals = phrases(docs, text_col, lang_col, least, longest, shard, few)
+    every, totals = phrases(docs, text_col, lang_col, least, longest, shard, few, share)
     longer = every.filter(F.size("words") > 2)
     whole = F.element_at("heads", -1)
     size = F.size("words")  # an id is unique among phrases of its size
